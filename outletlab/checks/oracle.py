@@ -187,3 +187,160 @@ ORACLE = {
     "sales_features": sales_features,
     "sales_features_monthly": sales_features_monthly,
 }
+
+
+# ------------------------------------------------- star join and imputations
+
+def _demo_columns() -> list:
+    cols = list(DEMOGRAPHICS_RAW)
+    cols += [f"Percentage_{c}" for c in conf.AGE_GROUP_COLUMNS]
+    cols += ["wvce_01_pc", "wvce_02_pc", "TF_WINTER", "TF_SUMMER", "Season_traffic_perc_diff",
+             "Weekend_traffic_perc_diff"]
+    cols += [f"Percentage_{c}" for c in conf.TRAFFIC_HOUR_COLUMNS]
+    cols += ["population_density", "competitor_count_density"]
+    return cols
+
+
+DEMO_COLUMNS = _demo_columns()
+DEMO_NUMERIC = [c for c in DEMO_COLUMNS if c not in conf.DEMOGRAPHIC_NON_NUMERIC and c != "CUSTOMER"]
+STAR_COLUMNS = conf.CUSTOMER_COLUMNS + [c for c in DEMO_COLUMNS
+                                        if c not in ("CUSTOMER", "LONGITUDE", "LATITUDE")]
+CHECK_COLUMNS = DEMO_NUMERIC + ["LONGITUDE", "LATITUDE", "_BIC_CDMD_AREA", "CUSTOMER"]
+COMPLETE = "(" + " AND ".join(f"{q(c)} IS NOT NULL" for c in CHECK_COLUMNS) + ")"
+FILL_COLUMNS = DEMO_NUMERIC + ["_BIC_CDMD_AREA"]
+
+
+def star_ctes(p: str, as_of) -> str:
+    """CTEs {p}cust, {p}demo, {p}star, {p}nn (nearest donor), {p}imp
+    (nearest-imputed star)."""
+    fill_sel = ", ".join(
+        (f"coalesce(s.{q(c)}, dv.{q(c)}) AS {q(c)}" if c in FILL_COLUMNS else f"s.{q(c)}")
+        for c in STAR_COLUMNS)
+    return f"""
+{p}cust AS ({customer_select(as_of)}),
+{p}demo AS ({demographic_select()}),
+{p}star AS (SELECT c.*, d.* EXCLUDE (CUSTOMER, LONGITUDE, LATITUDE)
+            FROM {p}cust c LEFT JOIN {p}demo d ON c.CUSTOMER = d.CUSTOMER),
+{p}qry AS (SELECT CUSTOMER, LATITUDE, LONGITUDE FROM {p}star
+           WHERE NOT {COMPLETE} AND LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL),
+{p}don AS (SELECT CUSTOMER AS DONOR, LATITUDE, LONGITUDE FROM {p}star WHERE {COMPLETE}),
+{p}pairs AS (
+  SELECT a.CUSTOMER, b.DONOR,
+    sqrt((a.LATITUDE - b.LATITUDE) * (a.LATITUDE - b.LATITUDE)
+         + (a.LONGITUDE - b.LONGITUDE) * (a.LONGITUDE - b.LONGITUDE)) * {conf.KM_PER_DEGREE} AS distance_km
+  FROM {p}qry a, {p}don b),
+{p}nn AS (
+  SELECT CUSTOMER, DONOR, distance_km FROM (
+    SELECT *, row_number() OVER (PARTITION BY CUSTOMER ORDER BY distance_km, DONOR) AS rn FROM {p}pairs) r
+  WHERE rn = 1 AND distance_km < {conf.NEAREST_MAX_KM}),
+{p}dv AS (SELECT CUSTOMER AS DONOR, * EXCLUDE (CUSTOMER) FROM {p}star WHERE {COMPLETE}),
+{p}imp AS (
+  SELECT {fill_sel}, nn.DONOR AS _donor
+  FROM {p}star s LEFT JOIN {p}nn nn ON s.CUSTOMER = nn.CUSTOMER
+  LEFT JOIN {p}dv dv ON nn.DONOR = dv.DONOR)"""
+
+
+def nearest_outlet() -> str:
+    return (with_views("customer_raw", "demographics_raw") + "," + star_ctes("", P.AS_OF)
+            + "\nSELECT * FROM nn")
+
+
+def impute_nearest() -> str:
+    cols = ", ".join(q(c) for c in STAR_COLUMNS)
+    return (with_views("customer_raw", "demographics_raw") + "," + star_ctes("", P.AS_OF)
+            + f"\nSELECT {cols} FROM imp")
+
+
+def impute_area_mean() -> str:
+    means = ", ".join(f"avg({q(c)}) AS {q(c)}" for c in DEMO_NUMERIC)
+    beyond = "i._donor IS NULL AND i.LATITUDE IS NOT NULL AND i.LONGITUDE IS NOT NULL"
+    sel = []
+    for c in STAR_COLUMNS:
+        if c in DEMO_NUMERIC:
+            sel.append(f"round(CASE WHEN {beyond} THEN coalesce(i.{q(c)}, am.{q(c)}) ELSE i.{q(c)} END, 6)"
+                       f" AS {q(c)}")
+        else:
+            sel.append(f"i.{q(c)}")
+    return (with_views("customer_raw", "demographics_raw") + "," + star_ctes("", P.AS_OF) + f""",
+am AS (SELECT _BIC_CDMD_AREA AS _area, {means} FROM star GROUP BY _BIC_CDMD_AREA)
+SELECT {', '.join(sel)}
+FROM imp i LEFT JOIN am ON am._area IS NOT DISTINCT FROM i._BIC_CDMD_AREA""")
+
+
+def hierarchical_ctes(src: str, p: str) -> str:
+    """{p}hf / {p}hc / {p}ho group means of the two sales means over ``src``."""
+    v, n = "Sales_Volume_in_UC_rolling_xmonths_back_avg", "Sales_NSR_rolling_xmonths_back_avg"
+    return f"""
+{p}hf AS (SELECT CUST_CTRADE_CH_DESC AS _ch, CUST_CDMD_AREA AS _ar, avg({v}) AS fv, avg({n}) AS fn
+          FROM {src} GROUP BY CUST_CTRADE_CH_DESC, CUST_CDMD_AREA),
+{p}hc AS (SELECT CUST_CTRADE_CH_DESC AS _ch, avg({v}) AS cv, avg({n}) AS cn
+          FROM {src} GROUP BY CUST_CTRADE_CH_DESC),
+{p}ho AS (SELECT avg({v}) AS ov, avg({n}) AS onn FROM {src})"""
+
+
+def hierarchical_join(alias: str, p: str) -> str:
+    return (f"LEFT JOIN {p}hf hf ON hf._ch IS NOT DISTINCT FROM {alias}.CUST_CTRADE_CH_DESC "
+            f"AND hf._ar IS NOT DISTINCT FROM {alias}.CUST_CDMD_AREA "
+            f"LEFT JOIN {p}hc hc ON hc._ch IS NOT DISTINCT FROM {alias}.CUST_CTRADE_CH_DESC "
+            f"CROSS JOIN {p}ho ho")
+
+
+IMPUTED_VOLUME = ("round(coalesce(Sales_Volume_in_UC_rolling_xmonths_back_avg, hf.fv, hc.cv, ho.ov, 0), 6)"
+                  " AS Sales_Volume_in_UC_imputed")
+IMPUTED_NSR = ("round(coalesce(Sales_NSR_rolling_xmonths_back_avg, hf.fn, hc.cn, ho.onn, 0), 6)"
+               " AS Sales_NSR_imputed")
+
+
+def impute_hierarchical() -> str:
+    return (with_views("customer_raw", "sales_raw", "calendar") + "," + SALES_CTES + f""",
+cust AS ({customer_select(P.AS_OF)}),
+h AS (SELECT c.CUSTOMER, c.CUST_CTRADE_CH_DESC, c.CUST_CDMD_AREA, s.Sales_Volume_in_UC_rolling_xmonths_back_avg,
+             s.Sales_NSR_rolling_xmonths_back_avg
+      FROM cust c LEFT JOIN sales_feat s ON c.CUSTOMER = s.CUSTOMER),""" + hierarchical_ctes("h", "") + f"""
+SELECT h.*, {IMPUTED_VOLUME}, {IMPUTED_NSR}
+FROM h {hierarchical_join('h', '')}""")
+
+
+def abt_ctes(p: str, as_of) -> str:
+    """CTEs ending in {p}abt: the base table for one as-of date (rounded
+    sales means, see queries.round_means)."""
+    star_cols = ", ".join(f"i.{q(c)}" for c in STAR_COLUMNS)
+    out_cols = ", ".join(q(c) for c in conf.ABT_COLUMNS)
+    return star_ctes(p, as_of) + f""",
+{p}joined AS (
+  SELECT {star_cols}, cf.COOLER_DOORS_SUM, cf.COOLER_EQUIP_COUNT,
+         sf.Sales_Volume_in_UC_rolling_xmonths_back_avg, sf.Sales_NSR_rolling_xmonths_back_avg
+  FROM {p}imp i LEFT JOIN cooler_feat cf ON i.CUSTOMER = cf.CUSTOMER
+  LEFT JOIN sales_feat sf ON i.CUSTOMER = sf.CUSTOMER),""" + hierarchical_ctes(f"{p}joined", p) + f""",
+{p}abt AS (
+  SELECT {out_cols} FROM (
+    SELECT f.*, {IMPUTED_VOLUME}, {IMPUTED_NSR}
+    FROM {p}joined f {hierarchical_join('f', p)}) x)"""
+
+
+def _abt_views() -> str:
+    return (with_views("customer_raw", "demographics_raw", "coolers_raw", "sales_raw", "calendar")
+            + "," + COOLER_CTES + "," + SALES_CTES)
+
+
+def abt() -> str:
+    return _abt_views() + "," + abt_ctes("", P.AS_OF) + "\nSELECT * FROM abt"
+
+
+def abt_incremental() -> str:
+    return (_abt_views() + "," + abt_ctes("", P.AS_OF) + "," + abt_ctes("prev_", P.PREVIOUS_AS_OF)
+            + f"""
+SELECT *, '{conf.DEFAULT_PREVIOUS_PARDT}' AS pardt FROM prev_abt
+UNION ALL
+SELECT *, '{P.RUN_PARDT}' AS pardt FROM abt
+WHERE CUSTOMER NOT IN (SELECT CUSTOMER FROM prev_abt)""")
+
+
+ORACLE.update({
+    "nearest_outlet": nearest_outlet,
+    "impute_nearest": impute_nearest,
+    "impute_area_mean": impute_area_mean,
+    "impute_hierarchical": impute_hierarchical,
+    "abt": abt,
+    "abt_incremental": abt_incremental,
+})

@@ -61,3 +61,77 @@ QUERIES = {
     "sales_features": sales_features,
     "sales_features_monthly": sales_features_monthly,
 }
+
+
+# ------------------------------------------------- star join and imputations
+
+from outletlab.operators import impute as im  # noqa: E402
+from outletlab.plans import base_table as bt  # noqa: E402
+
+MEAN_DIGITS = 6  # float means summed in unspecified order are reported to 1e-6
+
+
+def _customers(spark, sf, as_of=P.AS_OF):
+    return fe.customer_features(view(spark, sf, "customer_raw"), P.SALES_ORGS, P.ACCOUNT_GROUPS, as_of)
+
+
+def _demographics(spark, sf):
+    return fe.demographic_features(view(spark, sf, "demographics_raw"))
+
+
+def _star(spark, sf):
+    demo = _demographics(spark, sf).drop("LONGITUDE", "LATITUDE")
+    star = _customers(spark, sf).join(demo, "CUSTOMER", "left")
+    return star, fe.demographic_numeric_columns(demo)
+
+
+def round_means(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.round(c, MEAN_DIGITS) for c in cols})
+
+
+def nearest_outlet(spark: SparkSession, sf: str) -> DataFrame:
+    star, numeric = _star(spark, sf)
+    return im.nearest_donors(star, numeric)
+
+
+def impute_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    star, numeric = _star(spark, sf)
+    return im.impute_nearest(star, numeric)
+
+
+def impute_area_mean(spark: SparkSession, sf: str) -> DataFrame:
+    star, numeric = _star(spark, sf)
+    return round_means(im.impute_nearest(star, numeric, area_fallback=True), numeric)
+
+
+def impute_hierarchical(spark: SparkSession, sf: str) -> DataFrame:
+    cust = _customers(spark, sf).select("CUSTOMER", "CUST_CTRADE_CH_DESC", "CUST_CDMD_AREA")
+    df = cust.join(sales_features(spark, sf), "CUSTOMER", "left")
+    out = im.impute_zero(im.impute_hierarchical(df, bt.SALES_IMPUTED), list(bt.SALES_IMPUTED.values()))
+    return round_means(out, bt.SALES_IMPUTED.values())
+
+
+def _abt(spark, sf, as_of=P.AS_OF):
+    abt = bt.analytical_base_table(
+        _customers(spark, sf, as_of), _demographics(spark, sf), cooler_features(spark, sf),
+        sales_features(spark, sf))
+    return round_means(abt, bt.SALES_IMPUTED.values())
+
+
+def abt(spark: SparkSession, sf: str) -> DataFrame:
+    return _abt(spark, sf)
+
+
+def abt_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    previous = _abt(spark, sf, P.PREVIOUS_AS_OF)
+    return bt.incremental_base_table(_abt(spark, sf), previous, P.RUN_PARDT)
+
+
+QUERIES.update({
+    "nearest_outlet": nearest_outlet,
+    "impute_nearest": impute_nearest,
+    "impute_area_mean": impute_area_mean,
+    "impute_hierarchical": impute_hierarchical,
+    "abt": abt,
+    "abt_incremental": abt_incremental,
+})

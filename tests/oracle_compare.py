@@ -65,13 +65,15 @@ def compare(spark, con, sf_dir, key, fn, sql):
     if scols != ocols:
         res.update(ok=False, why=f"columns differ: {set(scols) ^ set(ocols)}")
         return res
-    orecs = [{c: (None if (isinstance(v, float) and math.isnan(v) and pdf[c].dtype == object) else v)
-              for c, v in zip(pdf.columns, rec)} for rec in pdf.itertuples(index=False)]
-    # pandas turns SQL NULL in numeric columns into NaN; map back to None
-    orecs = [{c: (None if (isinstance(v, float) and math.isnan(v)) else v) for c, v in r.items()}
-             for r in orecs]
-    orecs = [{c: (None if v is getattr(__import__("pandas"), "NaT", object()) else v)
-              for c, v in r.items()} for r in orecs]
+    import pandas as pd
+
+    def _clean(v):
+        try:
+            return None if pd.isna(v) else v
+        except (TypeError, ValueError):
+            return v
+
+    orecs = [{c: _clean(v) for c, v in zip(pdf.columns, rec)} for rec in pdf.itertuples(index=False)]
     a, b = rows_of(srows, scols), rows_of(orecs, ocols)
     if a != b:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
