@@ -82,7 +82,7 @@ def demographic_select(literal_seasonal: bool = False) -> str:
     for c in DEMOGRAPHICS_RAW:
         cols.append(q(c) if c in STRING_DEMOGRAPHICS else f"TRY_CAST({q(c)} AS DOUBLE) AS {q(c)}")
     base = "SELECT " + ", ".join(cols) + " FROM demographics_raw"
-    share = lambda a, b: f"coalesce(round({div(q(a), q(b))}, 2), 0)"
+    share = lambda a, b: f"(coalesce(round({div(q(a), q(b))}, 2), 0) + 0.0)"
     w, s = conf.WINTER_TRAFFIC_COLUMNS, conf.SUMMER_TRAFFIC_COLUMNS
     if literal_seasonal:
         tf = lambda x: f"{q(x[0])} + {q(x[1])} + {q(x[2])} / 3"
@@ -94,9 +94,9 @@ def demographic_select(literal_seasonal: bool = False) -> str:
            f"{div(q('wvce_02_sum'), q('pop_sum'))} AS wvce_02_pc",
            f"{tf(w)} AS TF_WINTER", f"{tf(s)} AS TF_SUMMER"]
     d2 = ["*",
-          f"coalesce(round({div('TF_SUMMER - TF_WINTER', 'TF_WINTER')}, 2), 0) AS Season_traffic_perc_diff",
-          ("coalesce(round(" + div("monthly_traffic_weekend_avg_mean - monthly_traffic_weekday_avg_mean",
-                                   "monthly_traffic_weekday_avg_mean") + ", 2), 0) AS Weekend_traffic_perc_diff")]
+          f"(coalesce(round({div('TF_SUMMER - TF_WINTER', 'TF_WINTER')}, 2), 0) + 0.0) AS Season_traffic_perc_diff",
+          ("(coalesce(round(" + div("monthly_traffic_weekend_avg_mean - monthly_traffic_weekday_avg_mean",
+                                    "monthly_traffic_weekday_avg_mean") + ", 2), 0) + 0.0) AS Weekend_traffic_perc_diff")]
     d2 += [f"{share(c, 'monthly_traffic_avg_mean')} AS {q('Percentage_' + c)}" for c in conf.TRAFFIC_HOUR_COLUMNS]
     d2 += [f"{div('pop_sum', f'{conf.PI_APPROX} * ta_size * ta_size')} AS population_density",
            f"{div('competitor_count', f'{conf.PI_APPROX} * ta_size * ta_size')} AS competitor_count_density"]
@@ -257,8 +257,8 @@ def impute_area_mean() -> str:
     sel = []
     for c in STAR_COLUMNS:
         if c in DEMO_NUMERIC:
-            sel.append(f"round(CASE WHEN {beyond} THEN coalesce(i.{q(c)}, am.{q(c)}) ELSE i.{q(c)} END, 6)"
-                       f" AS {q(c)}")
+            sel.append(f"(round(CASE WHEN {beyond} THEN coalesce(i.{q(c)}, am.{q(c)}) ELSE i.{q(c)} END, 6)"
+                       f" + 0.0) AS {q(c)}")
         else:
             sel.append(f"i.{q(c)}")
     return (with_views("customer_raw", "demographics_raw") + "," + star_ctes("", P.AS_OF) + f""",
@@ -285,9 +285,9 @@ def hierarchical_join(alias: str, p: str) -> str:
             f"CROSS JOIN {p}ho ho")
 
 
-IMPUTED_VOLUME = ("round(coalesce(Sales_Volume_in_UC_rolling_xmonths_back_avg, hf.fv, hc.cv, ho.ov, 0), 6)"
+IMPUTED_VOLUME = ("(round(coalesce(Sales_Volume_in_UC_rolling_xmonths_back_avg, hf.fv, hc.cv, ho.ov, 0), 6) + 0.0)"
                   " AS Sales_Volume_in_UC_imputed")
-IMPUTED_NSR = ("round(coalesce(Sales_NSR_rolling_xmonths_back_avg, hf.fn, hc.cn, ho.onn, 0), 6)"
+IMPUTED_NSR = ("(round(coalesce(Sales_NSR_rolling_xmonths_back_avg, hf.fn, hc.cn, ho.onn, 0), 6) + 0.0)"
                " AS Sales_NSR_imputed")
 
 
@@ -344,3 +344,114 @@ ORACLE.update({
     "abt": abt,
     "abt_incremental": abt_incremental,
 })
+
+
+# ------------------------------------------------------ feature selection
+
+LABEL = "CUST_CCAF_GROUP"
+
+
+def _features() -> list:
+    excluded = set(conf.FEATURE_SELECTION_EXCLUDED) | {LABEL}
+    return [c for c in conf.ABT_COLUMNS if c not in excluded]
+
+
+ABT_STRING = set(conf.CUSTOMER_COLUMNS) - {"CUST_ROUTED", "LONGITUDE", "LATITUDE"} | {
+    "TAA_TC", "urbanicity"}
+
+
+def chi_square() -> str:
+    feats = _features()
+    cat = lambda c: f"coalesce(CAST({q(c)} AS VARCHAR), '<NULL>')"
+    wide = ", ".join([f"{cat(LABEL)} AS _label"] + [f"{cat(c)} AS {q(c)}" for c in feats])
+    return _abt_views() + "," + abt_ctes("", P.AS_OF) + f""",
+wide AS (SELECT {wide} FROM abt),
+long AS (UNPIVOT wide ON {', '.join(q(c) for c in feats)} INTO NAME feature VALUE value),
+cont AS (SELECT feature, value, _label, count(*) AS n FROM long GROUP BY feature, value, _label),
+rm AS (SELECT feature, _label, sum(n) AS R FROM cont GROUP BY feature, _label),
+cm AS (SELECT feature, value, sum(n) AS C FROM cont GROUP BY feature, value),
+tot AS (SELECT feature, sum(R) AS N, count(*) AS r FROM rm GROUP BY feature),
+ncat AS (SELECT feature, count(*) AS c FROM cm GROUP BY feature),
+grid AS (
+  SELECT cm.feature, CAST(rm.R AS DOUBLE) * cm.C / tot.N AS E, CAST(coalesce(cont.n, 0) AS DOUBLE) AS O
+  FROM cm JOIN rm ON cm.feature = rm.feature JOIN tot ON cm.feature = tot.feature
+  LEFT JOIN cont ON cont.feature = cm.feature AND cont.value = cm.value AND cont._label = rm._label),
+stat AS (
+  SELECT feature, sum((O - E) * (O - E) / E) AS plain,
+         sum((abs(O - E) - least(0.5, abs(O - E))) * (abs(O - E) - least(0.5, abs(O - E))) / E) AS yates
+  FROM grid GROUP BY feature)
+SELECT stat.feature, CAST((tot.r - 1) * (ncat.c - 1) AS BIGINT) AS dof,
+  round(CASE WHEN (tot.r - 1) * (ncat.c - 1) = 1 THEN yates ELSE plain END, 6) + 0.0 AS chi2
+FROM stat JOIN tot ON stat.feature = tot.feature JOIN ncat ON stat.feature = ncat.feature"""
+
+
+def _assoc_parts(feats) -> str:
+    numeric = [c for c in feats if c not in ABT_STRING]
+    pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
+    sqls = []
+    for a, b in pairs:
+        if a in numeric and b in numeric:
+            sqls.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, 'pearson' AS kind, "
+                        f"corr(CAST({q(a)} AS DOUBLE), CAST({q(b)} AS DOUBLE)) AS assoc FROM abt")
+        elif a not in numeric and b not in numeric:
+            sqls.append(f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b, 'cramers_v' AS kind, (
+  WITH x AS (SELECT CAST({q(a)} AS VARCHAR) AS va, CAST({q(b)} AS VARCHAR) AS vb FROM abt
+             WHERE {q(a)} IS NOT NULL AND {q(b)} IS NOT NULL),
+  ct AS (SELECT va, vb, count(*) AS n FROM x GROUP BY va, vb),
+  ma AS (SELECT va, count(*) AS A FROM x GROUP BY va), mb AS (SELECT vb, count(*) AS B FROM x GROUP BY vb),
+  t AS (SELECT count(*) AS T, count(DISTINCT va) AS ra, count(DISTINCT vb) AS rb FROM x),
+  g AS (SELECT CAST(ma.A AS DOUBLE) * mb.B / t.T AS E, CAST(coalesce(ct.n, 0) AS DOUBLE) AS O
+        FROM ma CROSS JOIN mb CROSS JOIN t LEFT JOIN ct ON ct.va = ma.va AND ct.vb = mb.vb)
+  SELECT CASE WHEN least(ra, rb) > 1 THEN sqrt((SELECT sum((O - E) * (O - E) / E) FROM g)
+                                            / (T * (least(ra, rb) - 1))) END FROM t) AS assoc""")
+        else:
+            c, y = (a, b) if a not in numeric else (b, a)
+            sqls.append(f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b, 'eta' AS kind, (
+  WITH x AS (SELECT CAST({q(c)} AS VARCHAR) AS va, CAST({q(y)} AS DOUBLE) AS y FROM abt
+             WHERE {q(c)} IS NOT NULL AND {q(y)} IS NOT NULL),
+  g AS (SELECT count(*) AS n, avg(y) AS m FROM x GROUP BY va),
+  t AS (SELECT avg(y) AS m, sum((y - (SELECT avg(y) FROM x)) * (y - (SELECT avg(y) FROM x))) AS sst FROM x)
+  SELECT CASE WHEN t.sst > 0 THEN sqrt((SELECT sum(n * (g.m - t.m) * (g.m - t.m)) FROM g) / t.sst) END
+  FROM t) AS assoc""")
+    return "\nUNION ALL\n".join(sqls)
+
+
+def association_matrix() -> str:
+    return (_abt_views() + "," + abt_ctes("", P.AS_OF) + f""",
+assoc AS ({_assoc_parts(_features())})
+SELECT feature_a, feature_b, kind, round(CASE WHEN isnan(assoc) THEN NULL ELSE assoc END, 6) + 0.0 AS assoc
+FROM assoc""")
+
+
+def association_prune() -> str:
+    feats = _features()
+    order = ", ".join(f"('{f}', {i})" for i, f in enumerate(feats))
+    return (_abt_views() + "," + abt_ctes("", P.AS_OF) + f""",
+assoc AS ({_assoc_parts(feats)}),
+r AS (SELECT feature_a, feature_b, round(CASE WHEN isnan(assoc) THEN NULL ELSE assoc END, 6) + 0.0 AS assoc
+      FROM assoc),
+o(feature, position) AS (VALUES {order}),
+w AS (SELECT feature_b AS feature, max(assoc) AS max_prior_assoc FROM r GROUP BY feature_b)
+SELECT o.feature, CAST(o.position AS INTEGER) AS position, w.max_prior_assoc,
+       coalesce(w.max_prior_assoc > {conf.ASSOCIATION_THRESHOLD}, false) AS dropped
+FROM o LEFT JOIN w ON o.feature = w.feature""")
+
+
+def stratified_split() -> str:
+    return with_views("customer_raw") + f""",
+cust AS ({customer_select(P.AS_OF)}),
+lab AS (SELECT CUSTOMER, CUST_CCAF_GROUP AS targetVar FROM cust WHERE CUST_CCAF_GROUP <> '{conf.LABEL_EXCLUDED}'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY targetVar ORDER BY md5(CUSTOMER), CUSTOMER) AS rn,
+         count(*) OVER (PARTITION BY targetVar) AS cnt
+  FROM lab)
+SELECT CUSTOMER, targetVar, CASE WHEN rn <= floor({conf.TRAIN_FRACTION} * cnt) THEN 'train' ELSE 'test' END AS split
+FROM ranked"""
+
+
+ORACLE.update({
+    "chi_square": chi_square,
+    "association_matrix": association_matrix,
+    "association_prune": association_prune,
+    "stratified_split": stratified_split,
+})

@@ -135,3 +135,57 @@ QUERIES.update({
     "abt": abt,
     "abt_incremental": abt_incremental,
 })
+
+
+# ------------------------------------------------------ feature selection
+
+from outletlab import conf  # noqa: E402
+from outletlab.operators import select as sel  # noqa: E402
+
+LABEL = "CUST_CCAF_GROUP"
+ROUND = 6
+
+
+def selection_features(columns=None) -> list:
+    """Base-table columns tested against the label (exclusions from the
+    modelling configuration; the label itself is not a feature)."""
+    excluded = set(conf.FEATURE_SELECTION_EXCLUDED) | {LABEL}
+    return [c for c in (columns or conf.ABT_COLUMNS) if c not in excluded]
+
+
+def chi_square(spark: SparkSession, sf: str) -> DataFrame:
+    out = sel.chi_square(_abt(spark, sf), selection_features(), LABEL)
+    return out.select("feature", F.round("chi2", ROUND).alias("chi2"), "dof")
+
+
+def chi_square_selection(spark: SparkSession, sf: str) -> DataFrame:
+    return sel.chi_square(_abt(spark, sf), selection_features(), LABEL)
+
+
+def association_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    out = sel.associations(_abt(spark, sf), selection_features())
+    return out.withColumn("assoc", F.round("assoc", ROUND))
+
+
+def association_prune(spark: SparkSession, sf: str) -> DataFrame:
+    feats = selection_features()
+    assoc = sel.associations(_abt(spark, sf), feats).withColumn("assoc", F.round("assoc", ROUND))
+    return sel.association_prune(assoc, feats)
+
+
+def _labelled_customers(spark, sf):
+    cust = _customers(spark, sf).filter(F.col(LABEL) != conf.LABEL_EXCLUDED)
+    return cust.select("CUSTOMER", F.col(LABEL).alias("targetVar"))
+
+
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    return sel.split_labels(_labelled_customers(spark, sf), "targetVar", "CUSTOMER")
+
+
+QUERIES.update({
+    "chi_square": chi_square,
+    "chi_square_selection": chi_square_selection,
+    "association_matrix": association_matrix,
+    "association_prune": association_prune,
+    "stratified_split": stratified_split,
+})
