@@ -455,3 +455,82 @@ ORACLE.update({
     "association_prune": association_prune,
     "stratified_split": stratified_split,
 })
+
+
+# ------------------------------------------------------------- evaluation
+
+EVAL_CTES = """,
+cm AS (SELECT Holdout, label, prediction, count(*) AS n FROM predictions GROUP BY Holdout, label, prediction),
+cls AS (SELECT Holdout, label AS class FROM cm UNION SELECT Holdout, prediction FROM cm),
+st AS (
+  SELECT c.Holdout, c.class,
+    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout AND cm.label = c.class
+              AND cm.prediction = c.class), 0) AS tp,
+    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout AND cm.label = c.class), 0) AS actual,
+    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout AND cm.prediction = c.class), 0) AS predicted,
+    (SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout) AS total
+  FROM cls c),
+st2 AS (
+  SELECT *, CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS prec,
+            CASE WHEN actual > 0 THEN CAST(tp AS DOUBLE) / actual ELSE 0.0 END AS rec
+  FROM st),
+st3 AS (SELECT *, CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END AS f1 FROM st2),
+overall AS (
+  SELECT Holdout, CAST(sum(tp) AS DOUBLE) / max(total) AS accuracy,
+    sum(CAST(actual AS DOUBLE) / total * prec) AS weighted_precision,
+    sum(CAST(actual AS DOUBLE) / total * rec) AS weighted_recall,
+    sum(CAST(actual AS DOUBLE) / total * f1) AS weighted_f1
+  FROM st3 GROUP BY Holdout),
+per AS (SELECT Holdout, probability, label, count(*) AS n FROM predictions GROUP BY Holdout, probability, label),
+sc AS (SELECT Holdout, probability, sum(n) AS cnt FROM per GROUP BY Holdout, probability),
+rk AS (
+  SELECT *, coalesce(sum(cnt) OVER (PARTITION BY Holdout ORDER BY probability
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + (cnt + 1) / 2.0 AS avg_rank
+  FROM sc),
+pos AS (
+  SELECT p.Holdout, p.label AS class, sum(p.n * r.avg_rank) AS rank_sum, sum(p.n) AS n_pos
+  FROM per p JOIN rk r ON p.Holdout = r.Holdout AND p.probability = r.probability
+  GROUP BY p.Holdout, p.label),
+tot AS (SELECT Holdout, sum(n) AS n_all FROM per GROUP BY Holdout),
+auc AS (
+  SELECT pos.Holdout, pos.class, pos.n_pos,
+    CASE WHEN n_pos > 0 AND n_all - n_pos > 0
+         THEN (rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * (n_all - n_pos)) END AS auc
+  FROM pos JOIN tot ON pos.Holdout = tot.Holdout)"""
+
+
+def _eval(tail: str) -> str:
+    return with_views("predictions") + EVAL_CTES + "\n" + tail
+
+
+def confusion_matrix() -> str:
+    return _eval("SELECT * FROM cm")
+
+
+def classification_metrics() -> str:
+    parts = [f"SELECT Holdout, '{m}' AS metric, class, round({c}, 9) + 0.0 AS value FROM st3"
+             for m, c in (("precision", "prec"), ("recall", "rec"), ("f1", "f1"))]
+    parts += [f"SELECT Holdout, '{m}' AS metric, CAST(NULL AS DOUBLE) AS class, round({m}, 9) + 0.0 AS value "
+              f"FROM overall" for m in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]
+    return _eval("\nUNION ALL\n".join(parts))
+
+
+def auc_by_class() -> str:
+    return _eval("SELECT Holdout, class, round(auc, 12) + 0.0 AS auc FROM auc")
+
+
+def metric_table() -> str:
+    return _eval("""SELECT o.Holdout, round(accuracy, 9) + 0.0 AS accuracy,
+  round(weighted_precision, 9) + 0.0 AS weighted_precision, round(weighted_recall, 9) + 0.0 AS weighted_recall,
+  round(weighted_f1, 9) + 0.0 AS weighted_f1,
+  round((SELECT sum(auc * n_pos) / sum(n_pos) FROM auc WHERE auc.Holdout = o.Holdout), 9) + 0.0 AS auc
+FROM overall o""")
+
+
+ORACLE.update({
+    "confusion_matrix": confusion_matrix,
+    "classification_metrics": classification_metrics,
+    "auc_by_class": auc_by_class,
+    "metric_table": metric_table,
+})

@@ -189,3 +189,41 @@ QUERIES.update({
     "association_prune": association_prune,
     "stratified_split": stratified_split,
 })
+
+
+# ------------------------------------------------------------- evaluation
+
+from outletlab.operators import metrics as me  # noqa: E402
+
+METRIC_DIGITS = 9
+
+
+def _predictions(spark, sf):
+    return view(spark, sf, "predictions")
+
+
+def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return me.confusion_matrix(_predictions(spark, sf), by="Holdout")
+
+
+def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    out = me.classification_metrics(_predictions(spark, sf), by="Holdout")
+    return out.withColumn("value", F.round("value", METRIC_DIGITS))
+
+
+def auc_by_class(spark: SparkSession, sf: str) -> DataFrame:
+    out = me.auc_one_vs_rest(_predictions(spark, sf), by="Holdout")
+    return out.withColumn("auc", F.round("auc", 12))
+
+
+def metric_table(spark: SparkSession, sf: str) -> DataFrame:
+    out = me.metric_table(_predictions(spark, sf))
+    return out.withColumns({c: F.round(c, METRIC_DIGITS) for c in out.columns if c != "Holdout"})
+
+
+QUERIES.update({
+    "confusion_matrix": confusion_matrix,
+    "classification_metrics": classification_metrics,
+    "auc_by_class": auc_by_class,
+    "metric_table": metric_table,
+})
