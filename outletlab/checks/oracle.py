@@ -534,3 +534,53 @@ ORACLE.update({
     "auc_by_class": auc_by_class,
     "metric_table": metric_table,
 })
+
+
+# ---------------------------------------------------------- files and sinks
+
+def scan_union_partitions() -> str:
+    return with_views("sales_raw") + f"\nSELECT * FROM sales_raw WHERE SALESORG IN ({lit(P.SALES_ORGS)})"
+
+
+def scan_company_partitions() -> str:
+    return with_views("coolers_raw") + f"\nSELECT * FROM coolers_raw WHERE COMP_CODE IN ({lit(P.COMPANY_CODES)})"
+
+
+def csv_roundtrip() -> str:
+    return with_views("customer_raw") + """
+SELECT * REPLACE (TRY_CAST(LATITUDE AS DOUBLE) AS LATITUDE, TRY_CAST(LONGITUDE AS DOUBLE) AS LONGITUDE)
+FROM customer_raw"""
+
+
+def cast_model_inputs() -> str:
+    cols = ", ".join(f"TRY_CAST({q(c)} AS DOUBLE) AS {q(c)}" if c in conf.MODEL_DOUBLE_COLUMNS else q(c)
+                     for c in conf.ABT_COLUMNS)
+    return _abt_views() + "," + abt_ctes("", P.AS_OF) + f"\nSELECT {cols} FROM abt"
+
+
+def managed_table_roundtrip() -> str:
+    return customer_master()
+
+
+INGEST = """
+SELECT *, (SELECT CAST(max(ts) AS DATE) FROM events WHERE event_type = 'purchase') AS CCH_DATA_UPDATED_DATE
+FROM orders"""
+
+
+def bulk_load() -> str:
+    from outletlab.checks.queries import BULK_OBJECTS
+
+    return "\nUNION ALL\n".join(f"SELECT '{n}' AS object, count(*) AS rows FROM {n}" for n in BULK_OBJECTS)
+
+
+ORACLE.update({
+    "scan_union_partitions": scan_union_partitions,
+    "scan_company_partitions": scan_company_partitions,
+    "csv_roundtrip": csv_roundtrip,
+    "cast_model_inputs": cast_model_inputs,
+    "load_latest_abt": cast_model_inputs,
+    "managed_table_roundtrip": managed_table_roundtrip,
+    "ingest_stamp": lambda: INGEST,
+    "ingest_write": lambda: INGEST,
+    "bulk_load": bulk_load,
+})

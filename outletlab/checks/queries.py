@@ -227,3 +227,149 @@ QUERIES.update({
     "auc_by_class": auc_by_class,
     "metric_table": metric_table,
 })
+
+
+# ---------------------------------------------------------- files and sinks
+
+import uuid  # noqa: E402
+
+from outletlab.plans import ingestion as ing  # noqa: E402
+from outletlab.session import scratch_path  # noqa: E402
+from outletlab.sources import country as cy  # noqa: E402
+from outletlab.sources import files as fs  # noqa: E402
+from outletlab.sources.fixtures import table, WRITE_OPERATION  # noqa: E402
+
+
+def scan_union_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales lines stored one directory per sales organisation, read for the
+    organisations of one country (join with the country dimension ->
+    dynamic partition pruning)."""
+    raw = view(spark, sf, "sales_raw")
+    root = fs.write_parquet(raw, scratch_path(spark, "sales_by_org"), partition_by="SALESORG")
+    orgs = cy.sales_orgs(cy.country_dimension(spark), P.COUNTRY)
+    return fs.read_partitioned_by_dimension(spark, root, "SALESORG", orgs, schema=raw.schema)
+
+
+def scan_company_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Cooler lines stored one directory per company code ('0480'), read for a
+    static code list (static partition pruning; codes stay strings)."""
+    raw = view(spark, sf, "coolers_raw")
+    root = fs.write_parquet(raw, scratch_path(spark, "coolers_by_code"), partition_by="COMP_CODE")
+    return fs.read_partitioned(spark, root, "COMP_CODE", P.COMPANY_CODES, schema=raw.schema)
+
+
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer master written as pipe-separated CSV with header and read
+    back with an explicit all-string schema; coordinates typed on read."""
+    raw = view(spark, sf, "customer_raw")
+    path = fs.write_csv(raw, scratch_path(spark, "customer_csv"), sep="|")
+    back = fs.read_csv(spark, path, fs.string_schema(raw.columns), sep="|")
+    return back.withColumns({c: F.col(c).try_cast("double") for c in ("LATITUDE", "LONGITUDE")})
+
+
+def cast_model_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    abt = _abt(spark, sf)
+    return abt.withColumns({c: F.col(c).try_cast("double") for c in conf.MODEL_DOUBLE_COLUMNS})
+
+
+def load_latest_abt(spark: SparkSession, sf: str) -> DataFrame:
+    """Base table written as CSV under a country output folder; the newest
+    file there names the data set to load, read back and typed for
+    modelling."""
+    root = scratch_path(spark, "abt_out")
+    abt = _abt(spark, sf)
+    fs.write_csv(abt, f"{root}/{P.COUNTRY.upper()}/output/{P.COUNTRY}_abt_{P.RUN_PARDT}_000000.csv")
+    directory = fs.latest_dataset_directory(spark, root)
+    back = fs.read_csv(spark, directory, fs.string_schema(abt.columns))
+    return back.withColumns({c: F.col(c).try_cast("double") for c in conf.MODEL_DOUBLE_COLUMNS})
+
+
+def latest_file(spark: SparkSession, sf: str) -> DataFrame:
+    return fs.latest_file(spark, sf, "*.parquet")
+
+
+def managed_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    name = f"outletlab_customer_master_{uuid.uuid4().hex[:8]}"
+    return fs.save_table(customer_master(spark, sf), name, scratch_path(spark, name))
+
+
+def ingest_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    return ing.load_stamped(table(spark, sf, "orders"), view(spark, sf, "commit_log"), WRITE_OPERATION)
+
+
+def ingest_write(spark: SparkSession, sf: str) -> DataFrame:
+    stamped = ingest_stamp(spark, sf)
+    db = ing.layer_database_name(P.COUNTRY, "outletlab", "deng", "l1")
+    path = ing.write_layer(stamped, f"{scratch_path(spark, 'layer1')}/{db}/orders")
+    return spark.read.parquet(path)
+
+
+BULK_OBJECTS = ["customer", "orders", "lineitem", "part", "supplier", "nation", "region"]
+
+
+def bulk_load(spark: SparkSession, sf: str) -> DataFrame:
+    loaded = ing.bulk_load(lambda n: table(spark, sf, n), BULK_OBJECTS)
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("object"), "rows")
+              for n, df in loaded.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+QUERIES.update({
+    "scan_union_partitions": scan_union_partitions,
+    "scan_company_partitions": scan_company_partitions,
+    "csv_roundtrip": csv_roundtrip,
+    "cast_model_inputs": cast_model_inputs,
+    "load_latest_abt": load_latest_abt,
+    "latest_file": latest_file,
+    "managed_table_roundtrip": managed_table_roundtrip,
+    "ingest_stamp": ingest_stamp,
+    "ingest_write": ingest_write,
+    "bulk_load": bulk_load,
+})
+
+
+# -------------------------------------------------------------- modelling
+
+from outletlab.plans import model as mo  # noqa: E402
+
+
+def _modelled(spark, sf):
+    abt = cast_model_inputs(spark, sf)
+    feats = mo.select_features(abt, selection_features())
+    return mo.model_base_table(abt, feats, cfg=mo.ModelConfig(folds=3, parallelism=2))
+
+
+def mbt(spark: SparkSession, sf: str) -> DataFrame:
+    return _modelled(spark, sf)[0]
+
+
+def mbt_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    preds = _modelled(spark, sf)[1]
+    return me.metric_table(preds, label="labelIndCol", prediction="prediction", score=None)
+
+
+def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
+    _, preds, model = _modelled(spark, sf)
+    abt = cast_model_inputs(spark, sf).withColumnRenamed(LABEL, mo.LABEL)
+    field = mo.assembled_features_field(model, abt.limit(0))
+    rows = me.feature_importances(mo.best_forest(model).featureImportances, field)
+    return spark.createDataFrame(rows, "feature string, idx int, score double")
+
+
+def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    mbt_df, _, model = _modelled(spark, sf)
+    root = scratch_path(spark, "mbt")
+    mo.save_model(model, mbt_df, f"{root}/artifacts", f"{root}/data")
+    mo.load_model(f"{root}/artifacts")
+    return spark.read.parquet(f"{root}/data")
+
+
+QUERIES.update({
+    "mbt": mbt,
+    "mbt_metrics": mbt_metrics,
+    "feature_importances": feature_importances,
+    "model_roundtrip": model_roundtrip,
+})

@@ -38,7 +38,8 @@ def _norm(v):
     if isinstance(v, Decimal):
         return round(float(v), 9)
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:19]
+        text = v.isoformat()[:19]
+        return text[:10] if text.endswith("T00:00:00") else text
     if isinstance(v, bool):
         return int(v)
     return v
