@@ -29,7 +29,7 @@ def demographic_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def latest_fiscal_period(spark: SparkSession, sf: str) -> DataFrame:
     latest = fe.latest_fiscal_period(_sales_lines(spark, sf))
-    start, _ = fe.period_window(F.col("FISCPER"))
+    start, _ = fe.period_window(F.col("FISCPER"))  # noqa: F841
     return latest.select(F.col("FISCPER").alias("FISCPER_LATEST"),
                          start.cast("string").alias("FISCPER_START"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from outletlab import conf
 from outletlab.functions import scalar as S
 from outletlab.plans.joins import broadcast_if_small
+from outletlab.session import cut_lineage
 from outletlab.spec import FeatureSpec, apply_specs
 
 # ------------------------------------------------------------------ coolers
@@ -34,11 +35,21 @@ def latest_cooler_period(raw: DataFrame) -> DataFrame:
     return raw.select(F.max(F.col("FISCPER").try_cast("int")).alias("FISCPER"))
 
 
+def scalar_value(one_row: DataFrame):
+    """The single value of a one-row, one-column aggregate (one small job).
+    Used for the data-determined scalars of the original (latest period,
+    window bounds) so later filters carry literals Spark can push down."""
+    row = one_row.first()
+    return None if row is None else row[0]
+
+
 def cooler_lines(raw: DataFrame, period=None, company_codes=None) -> DataFrame:
     """Eligible cooler placements of the latest (or given) period, projected."""
     if company_codes is not None and "COMP_CODE" in raw.columns:
         raw = raw.filter(F.col("COMP_CODE").isin(list(company_codes)))
-    latest = latest_cooler_period(raw).scalar() if period is None else F.lit(int(period))
+    if period is None:
+        period = scalar_value(latest_cooler_period(raw))
+    latest = F.lit(period).cast("int")
     eligible = (
         (F.col("CUSTOMERS_WITH_COOLERS").try_cast("int") != 0)
         & (F.col("DF_STATUS_D") == "placed")
@@ -180,8 +191,13 @@ def latest_fiscal_period(lines: DataFrame) -> DataFrame:
     A group-by on the period (map-side combined, one row per period) replaces
     the per-row window + DISTINCT of the original.
     """
-    per = lines.groupBy("FISCPER").agg(F.max("CALDAY").alias("last_day"))
-    days = S.days_since_month_start(S.yyyymmdd_to_date("last_day"))
+    # yyyyMMdd days compare as integers: a hash aggregate, not a sort on strings
+    per = lines.groupBy("FISCPER").agg(F.max(F.col("CALDAY").try_cast("int")).alias("last_day"))
+    return _latest_qualifying(per)
+
+
+def _latest_qualifying(per: DataFrame) -> DataFrame:
+    days = S.days_since_month_start(S.yyyymmdd_to_date(F.col("last_day").cast("string")))
     ok = (days > conf.PERIOD_MIN_DAYS) | (days == 0)
     return per.filter(ok).agg(F.max("FISCPER").alias("FISCPER"))
 
@@ -191,11 +207,19 @@ def period_window(latest_period_col, months_back: int = conf.SALES_MONTHS_BACK):
     return start, latest_period_col.cast("int")
 
 
+def window_bounds(latest: DataFrame, months_back: int = conf.SALES_MONTHS_BACK):
+    """(lo, hi) integer period bounds, computed in one small job from the
+    one-row latest-period frame."""
+    start, end = period_window(F.col("FISCPER"), months_back)
+    row = latest.select(start.alias("lo"), end.alias("hi")).first()
+    lo, hi = (row["lo"], row["hi"]) if row is not None else (None, None)
+    return F.lit(lo).cast("int"), F.lit(hi).cast("int")
+
+
 def sales_in_window(lines: DataFrame, months_back: int = conf.SALES_MONTHS_BACK) -> DataFrame:
     """Lines of the last ``months_back + 1`` fiscal periods (inclusive)."""
-    latest = latest_fiscal_period(lines).scalar()
-    start, end = period_window(latest, months_back)
-    return lines.filter(F.col("FISCPER").try_cast("int").between(start, end))
+    lo, hi = window_bounds(latest_fiscal_period(lines), months_back)
+    return lines.filter(F.col("FISCPER").try_cast("int").between(lo, hi))
 
 
 def sales_amounts(lines: DataFrame) -> DataFrame:
@@ -229,14 +253,23 @@ SALES_NSR_MEAN = "Sales_NSR_rolling_xmonths_back_avg"
 
 
 def monthly_sales(amounts: DataFrame) -> DataFrame:
+    """One row per (customer, fiscal period): sums, line count and the last
+    sale day of that customer in that period."""
     return amounts.groupBy("CUSTOMER", "FISCPER").agg(
         F.sum("Sales_Volume_in_UC").alias("volume_month"),
         F.sum("Sales_NSR").alias("nsr_month"),
         F.count(F.lit(1)).alias("lines_month"),
+        F.max(F.col("CALDAY").try_cast("int")).alias("last_day"),
     )
 
 
-def sales_features(amounts: DataFrame, weighting: str = "line") -> DataFrame:
+def latest_period_of_months(monthly: DataFrame) -> DataFrame:
+    """Same rule as ``latest_fiscal_period`` applied to the monthly table
+    (the last day of a period is the max of its customers' last days)."""
+    return _latest_qualifying(monthly.groupBy("FISCPER").agg(F.max("last_day").alias("last_day")))
+
+
+def sales_features(amounts: DataFrame, weighting: str = "line", monthly: DataFrame | None = None) -> DataFrame:
     """Mean monthly volume and revenue per customer.
 
     ``weighting='line'`` (default) reproduces the original per-line window
@@ -244,7 +277,7 @@ def sales_features(amounts: DataFrame, weighting: str = "line") -> DataFrame:
     sum(n_m * S_m) / sum(n_m). ``'month'`` is the plain mean of monthly sums.
     Both are two map-side-combined group-bys (customer-month, then customer).
     """
-    monthly = monthly_sales(amounts)
+    monthly = monthly_sales(amounts) if monthly is None else monthly
     if weighting == "line":
         n = F.col("lines_month")
         vol = F.sum(F.col("volume_month") * n).cast("double") / F.sum(n).cast("double")
@@ -259,8 +292,23 @@ def sales_features(amounts: DataFrame, weighting: str = "line") -> DataFrame:
 
 
 def sales_pipeline(raw: DataFrame, calendar: DataFrame, sales_orgs=None,
-                   months_back: int = conf.SALES_MONTHS_BACK, weighting: str = "line") -> DataFrame:
-    """Sales source end to end: lines -> calendar -> latest window -> amounts
-    -> monthly sums -> per-customer mean."""
-    lines = sales_in_window(sales_lines(raw, calendar, sales_orgs), months_back)
-    return sales_features(sales_amounts(lines), weighting)
+                   months_back: int = conf.SALES_MONTHS_BACK, weighting: str = "line",
+                   materialize: bool = True) -> DataFrame:
+    """Sales source end to end with a single scan of the sales lines.
+
+    Lines are aggregated once to (customer, period) rows that keep the last
+    sale day; the latest qualifying period and the window filter are then
+    applied to that monthly table. With ``materialize`` the monthly table
+    (customers x periods, orders of magnitude smaller than the lines) is
+    written once to the shared checkpoint folder, so the largest table is
+    read once instead of twice (once for the latest period, once for the
+    features). Without it, Catalyst pushes the window filter below the
+    aggregation and the lines are scanned by both the subquery and the
+    main plan.
+    """
+    monthly = monthly_sales(sales_amounts(sales_lines(raw, calendar, sales_orgs)))
+    if materialize:
+        monthly = cut_lineage(monthly, "sales_monthly")
+    lo, hi = window_bounds(latest_period_of_months(monthly), months_back)
+    in_window = monthly.filter(F.col("FISCPER").try_cast("int").between(lo, hi))
+    return sales_features(None, weighting, monthly=in_window)

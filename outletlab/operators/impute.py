@@ -37,12 +37,12 @@ def nearest_donors(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: s
     nearest complete row is closer than ``max_km``."""
     check = list(numeric_cols) + [lon, lat, area, key]
     base = df.select(key, lat, lon, completeness(check).alias("_complete"))
-    if materialize:
-        base = cut_lineage(base)
+    if materialize:  # later steps read the narrow copy, not the upstream joins
+        base = cut_lineage(base, "nearest_base")
     donors = base.filter("_complete").select(F.col(key).alias("DONOR"), lat, lon)
     queries = base.filter(~F.col("_complete")).select(key, lat, lon)
     return nearest_within(queries, donors, key=key, donor_key="DONOR", lat=lat, lon=lon,
-                          max_km=max_km, levels=levels, materialize=materialize)
+                          max_km=max_km, levels=levels)
 
 
 def impute_nearest(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: str = "LATITUDE",
@@ -82,7 +82,7 @@ def impute_nearest(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: s
 
 def impute_hierarchical(df: DataFrame, columns: dict,
                         strata=("CUST_CTRADE_CH_DESC", "CUST_CDMD_AREA"),
-                        materialize: bool = True) -> DataFrame:
+                        materialize: bool = False) -> DataFrame:
     """``columns`` maps source column -> output column. Output = own value as
     double, else the mean over rows of the same (strata[0], strata[1]), else of
     the same strata[0], else of all rows. NULL strata form a group."""
@@ -93,7 +93,7 @@ def impute_hierarchical(df: DataFrame, columns: dict,
         *[F.sum(v[c]).alias(f"s{i}") for i, c in enumerate(srcs)],
         *[F.count(v[c]).alias(f"n{i}") for i, c in enumerate(srcs)])
     if materialize:  # one row per stratum; later levels and the join reuse it
-        fine = cut_lineage(fine)
+        fine = cut_lineage(fine, "strata_means")
     coarse = fine.groupBy(strata[0]).agg(
         *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(srcs))],
         *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(srcs))])

@@ -42,21 +42,21 @@ def _distance_deg(lat_a, lon_a, lat_b, lon_b):
 def nearest_within(queries: DataFrame, donors: DataFrame, *, key: str = "CUSTOMER",
                    donor_key: str = "DONOR", lat: str = "LATITUDE", lon: str = "LONGITUDE",
                    max_km: float = conf.NEAREST_MAX_KM, km_per_degree: float = conf.KM_PER_DEGREE,
-                   levels: int = 2, materialize: bool = True) -> DataFrame:
+                   levels: int = 2, materialize: bool = False) -> DataFrame:
     """Return (key, donor_key, distance_km) for every query with a donor
     closer than ``max_km``. ``queries`` has (key, lat, lon); ``donors`` has
     (donor_key, lat, lon). Rows without coordinates never match.
 
-    With ``materialize`` the donor points and each level's best candidates
-    are checkpointed to the shared checkpoint folder, so later levels plan
-    and run over a short lineage instead of repeating earlier joins.
+    The levels form one plan; repeated subtrees (donor cells, earlier
+    levels) are shared by exchange reuse. With ``materialize`` each level's
+    best candidates are written to the shared checkpoint folder instead,
+    which bounds the plan when ``levels`` is large.
     """
-    keep = cut_lineage if materialize else (lambda df: df)
+    keep = (lambda df: cut_lineage(df, "nearest_level")) if materialize else (lambda df: df)
     radius_deg = max_km / km_per_degree
     d_pts = (donors.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
              .groupBy(F.col(lat).alias("d_lat"), F.col(lon).alias("d_lon"))
              .agg(F.min(donor_key).alias(donor_key)))
-    d_pts = keep(d_pts)
     q_rows = queries.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(key, lat, lon)
     q_pts = q_rows.select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon")).distinct()
 

@@ -60,11 +60,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (written to the shared folder, survives executor loss)."""
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as Parquet in the shared checkpoint folder and
+    return a frame that reads it back.
+
+    One job writes the data (an unpersisted ``Dataset.checkpoint`` would run
+    the plan twice: once to count, once to write), the copy is columnar with
+    statistics, and it lives on storage every executor reaches, so losing an
+    executor never sends recomputation further back than this point.
+    """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    return df.checkpoint(eager=eager)
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(path: str) -> str:
