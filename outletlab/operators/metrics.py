@@ -130,6 +130,7 @@ def auc_one_vs_rest(df: DataFrame, label: str = "label", score: str = "probabili
     return pos.select(*g, F.col("class").cast("double").alias("class"), auc.alias("auc"))
 
 
+
 def metric_table(df: DataFrame, label: str = "label", prediction: str = "prediction",
                  score: str | None = "probability", by="Holdout") -> DataFrame:
     """One row per ``by`` value: accuracy, weighted precision / recall / f1,
@@ -158,3 +159,20 @@ def feature_importances(importances, features_schema_field) -> list:
         for a in group:
             rows.append((a.get("name"), int(a["idx"]), float(importances[int(a["idx"])])))
     return sorted([r for r in rows if r[2] > 0], key=lambda r: (-r[2], r[1]))
+
+
+def auc_from_class_scores(df: DataFrame, label: str, score_columns: dict, by=None,
+                          buckets: int = 1 << 16) -> DataFrame:
+    """One-vs-rest AUC where each class has its own score column
+    (``score_columns`` maps class value -> column, e.g. a model's per-class
+    probability). All classes are ranked in one job: the table is stacked to
+    (class, score, positive) rows and ranked per (group, class)."""
+    g = _group_cols(by)
+    stacked = df.select(*g, F.col(label).alias("_label"), F.explode(F.array(*[
+        F.struct(F.lit(cls).alias("_cls"), F.col(col).cast("double").alias("_score"))
+        for cls, col in score_columns.items()])).alias("_s"))
+    stacked = stacked.select(*g, "_s._cls", "_s._score",
+                             (F.col("_label") == F.col("_s._cls")).alias("_pos"))
+    stacked = stacked.filter(F.col("_score").isNotNull() & F.col("_pos").isNotNull())
+    out = auc_one_vs_rest(stacked, label="_pos", score="_score", by=g + ["_cls"], buckets=buckets)
+    return out.filter(F.col("class") == 1.0).select(*g, F.col("_cls").alias("class"), "auc")

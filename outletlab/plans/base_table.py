@@ -78,3 +78,31 @@ def incremental_base_table(current: DataFrame, previous: DataFrame, pardt: str,
         F.col("pardt").cast("string").alias("pardt"))
     fresh = new_rows(current, prev, key).withColumn("pardt", F.lit(pardt))
     return prev.unionByName(fresh)
+
+
+def base_table_path(output_root: str, country: str, partition_date: str) -> str:
+    return f"{output_root.rstrip('/')}/{country.upper()}/output/{country}_abt_{partition_date}.csv"
+
+
+def build_and_store_base_table(spark, customers: DataFrame, demographics: DataFrame,
+                               coolers: DataFrame, sales: DataFrame, output_root: str, country: str,
+                               run_date: str, partition_date: str | None = None,
+                               columns=None) -> str:
+    """Entry point of the base-table run: build the table, append the
+    customers the newest stored snapshot does not have (all rows when there
+    is none) and write the result as a new CSV snapshot. Returns its path."""
+    from outletlab.sources import files as fs
+
+    current = analytical_base_table(customers, demographics, coolers, sales, columns)
+    schema = fs.string_schema(current.columns + ["pardt"])
+    try:
+        previous = fs.load_latest_csv(spark, output_root, schema)
+    except FileNotFoundError:
+        previous = None
+    if previous is None:
+        result = current.withColumn("pardt", F.lit(run_date))
+    else:
+        result = incremental_base_table(current, previous, run_date)
+    path = base_table_path(output_root, country, partition_date or run_date)
+    fs.write_csv(result, path)
+    return path

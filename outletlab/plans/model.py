@@ -137,3 +137,37 @@ def save_model(model: PipelineModel, mbt: DataFrame, artifact_dir: str, data_dir
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def cast_to_double(df: DataFrame, columns) -> DataFrame:
+    """Named columns as double (NULL where a value does not parse)."""
+    wanted = [c for c in columns if c in df.columns]
+    return df.withColumns({c: F.col(c).try_cast("double") for c in wanted})
+
+
+def evaluate(preds: DataFrame) -> DataFrame:
+    """Metric table per Holdout from the prediction columns of
+    ``model_base_table``: accuracy, weighted precision / recall / f1 on the
+    label index, and the prevalence-weighted one-vs-rest AUC of the
+    per-class probability columns."""
+    from outletlab.operators import metrics as me
+
+    table = me.metric_table(preds, label="labelIndCol", prediction="prediction", score=None)
+    auc = me.auc_from_class_scores(preds, "labelCol", {c: c for c in CLASS_OUTPUTS}, by="Holdout")
+    prev = preds.groupBy("Holdout", F.col("labelCol").alias("class")).agg(F.count(F.lit(1)).alias("k"))
+    auc = auc.join(prev, ["Holdout", "class"]).groupBy("Holdout").agg(
+        (F.sum(F.col("auc") * F.col("k")) / F.sum("k")).alias("auc"))
+    return table.join(auc, "Holdout", "left")
+
+
+def run_modelling(abt: DataFrame, features, cfg: ModelConfig | None = None,
+                  artifact_dir: str | None = None, data_dir: str | None = None) -> tuple:
+    """Modelling entry point: cast inputs, select features, fit, score,
+    evaluate and (optionally) save. Returns (mbt, metrics, model)."""
+    abt = cast_to_double(abt, conf.MODEL_DOUBLE_COLUMNS)
+    kept = select_features(abt, features)
+    mbt, preds, model = model_base_table(abt, kept, cfg=cfg)
+    metrics = evaluate(preds)
+    if artifact_dir and data_dir:
+        save_model(model, mbt, artifact_dir, data_dir)
+    return mbt, metrics, model

@@ -103,3 +103,9 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") ->
     the table read back, i.e. a plan with no lineage before it."""
     df.write.mode(mode).option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def load_latest_csv(spark: SparkSession, root: str, schema: StructType, sep: str = ",") -> DataFrame:
+    """The data set the newest file under ``root`` belongs to, read as CSV
+    with header and an explicit schema."""
+    return read_csv(spark, latest_dataset_directory(spark, root), schema, sep)

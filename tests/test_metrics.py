@@ -44,3 +44,12 @@ def test_auc_matches_pairwise_definition(spark):
 def test_metric_table(spark):
     t = me.metric_table(preds(spark), by="g").first()
     assert t.accuracy == 0.5 and t.auc is not None
+
+
+def test_auc_from_class_scores(spark):
+    rows = [("A", 0.9, 0.1, "T"), ("A", 0.6, 0.4, "T"), ("B", 0.3, 0.7, "T"), ("B", 0.6, 0.2, "T")]
+    df = spark.createDataFrame(rows, "lab string, pa double, pb double, g string")
+    got = {r["class"]: r.auc for r in me.auc_from_class_scores(df, "lab", {"A": "pa", "B": "pb"}, by="g").collect()}
+    # A: positives (0.9, 0.6) vs negatives (0.3, 0.6) -> (1 + 1 + 1 + 0.5) / 4
+    assert got["A"] == 3.5 / 4
+    assert got["B"] == 3 / 4  # 0.7 beats both negatives, 0.2 beats 0.1 only
