@@ -347,8 +347,7 @@ def mbt(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mbt_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    preds = _modelled(spark, sf)[1]
-    return me.metric_table(preds, label="labelIndCol", prediction="prediction", score=None)
+    return mo.evaluate(_modelled(spark, sf)[1])
 
 
 def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
