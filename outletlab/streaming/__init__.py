@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming.
+
+The original application is batch only: it has no stream source, sink,
+watermark, time window or stateful operator, so nothing is defined here.
+Incremental behaviour (appending new customers to the previous snapshot) is
+a batch anti-join, see ``outletlab.plans.base_table.incremental_base_table``.
+"""
