@@ -28,15 +28,18 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = bool(__import__("os").environ.get("ORACLE_STRICT"))
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return (v + 0.0) if STRICT else round(v, 9)
     if isinstance(v, Decimal):
-        return round(float(v), 9)
+        return float(v) if STRICT else round(float(v), 9)
     if hasattr(v, "isoformat"):
         text = v.isoformat()[:19]
         return text[:10] if text.endswith("T00:00:00") else text
