@@ -563,7 +563,7 @@ def managed_table_roundtrip() -> str:
 
 
 INGEST = """
-SELECT *, (SELECT CAST(max(ts) AS DATE) FROM events WHERE event_type = 'purchase') AS CCH_DATA_UPDATED_DATE
+SELECT *, (SELECT CAST(max(ts) AS DATE) FROM events WHERE event_type = 'purchase') AS DATA_UPDATED_DATE
 FROM orders"""
 
 

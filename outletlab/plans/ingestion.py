@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from outletlab.functions.scalar import clean_column_name
 
-UPDATED_DATE_COLUMN = "CCH_DATA_UPDATED_DATE"
+UPDATED_DATE_COLUMN = "DATA_UPDATED_DATE"
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
@@ -30,10 +30,11 @@ def last_write_date(log: DataFrame, write_operation: str = "WRITE", **kw) -> Col
     return last_write_time(log, write_operation, **kw).select(F.to_date("last_time")).scalar()
 
 
-def load_stamped(table: DataFrame, log: DataFrame, write_operation: str = "WRITE", **kw) -> DataFrame:
-    """Curated table with clean column names and the date of its last write."""
-    return clean_column_names(table).withColumn(
-        UPDATED_DATE_COLUMN, last_write_date(log, write_operation, **kw))
+def load_stamped(table: DataFrame, log: DataFrame, write_operation: str = "WRITE",
+                 column: str = UPDATED_DATE_COLUMN, **kw) -> DataFrame:
+    """Curated table with clean column names and the date of its last write
+    (in ``column``)."""
+    return clean_column_names(table).withColumn(column, last_write_date(log, write_operation, **kw))
 
 
 def bulk_load(loader: Callable[[str], DataFrame], names) -> dict:
