@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from outletlab.session import cut_lineage
+
 
 def _group_cols(by):
     return [by] if isinstance(by, str) else list(by or [])
@@ -110,12 +112,15 @@ def _average_ranks(scores: DataFrame, g, score: str, buckets: int) -> DataFrame:
 
 
 def auc_one_vs_rest(df: DataFrame, label: str = "label", score: str = "probability", by=None,
-                    buckets: int = 1 << 16) -> DataFrame:
+                    buckets: int = 1 << 16, materialize: bool = True) -> DataFrame:
     """(by..., class, auc): area under the ROC curve of ``score`` for each
     label class against the rest (Mann-Whitney rank sum, ties share the
-    average rank)."""
+    average rank). With ``materialize`` the (score, class) counts are written
+    once; ranks, positives and totals all read that copy."""
     g = _group_cols(by)
     per = df.groupBy(*g, score, label).agg(F.count(F.lit(1)).alias("n"))
+    if materialize:
+        per = cut_lineage(per, "score_counts")
     scores = per.groupBy(*g, score).agg(F.sum("n").alias("cnt"))
     ranked = _average_ranks(scores, g, score, buckets)
     cells = per.join(ranked.select(*g, score, "avg_rank"), g + [score])

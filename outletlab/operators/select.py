@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from outletlab import conf
 from outletlab.functions.stats import chi2_sf
 from outletlab.plans.joins import null_safe_keys
+from outletlab.session import cut_lineage
 
 NULL_CATEGORY = "<NULL>"
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -41,7 +42,8 @@ def contingency(df: DataFrame, features, label: str) -> DataFrame:
 
 # ----------------------------------------------------------------- chi-square
 
-def chi_square(df: DataFrame, features, label: str, alpha: float = conf.CHI_SQUARE_ALPHA) -> DataFrame:
+def chi_square(df: DataFrame, features, label: str, alpha: float = conf.CHI_SQUARE_ALPHA,
+               materialize: bool = True) -> DataFrame:
     """Chi-square test of independence of every feature against ``label``.
 
     Returns (feature, chi2, dof, p_value, important). Expected counts are
@@ -51,6 +53,8 @@ def chi_square(df: DataFrame, features, label: str, alpha: float = conf.CHI_SQUA
     at most 0.5), for which the four cells of the 2x2 table are enumerated.
     """
     cont = contingency(df, features, label)
+    if materialize:  # features x values x labels rows, read by every step below
+        cont = cut_lineage(cont, "contingency")
     row_m = cont.groupBy("feature", "label").agg(F.sum("n").alias("R"))
     totals = row_m.groupBy("feature").agg(F.sum("R").alias("total"), F.count(F.lit(1)).alias("n_labels"))
     col_w = Window.partitionBy("feature", "value")
@@ -91,13 +95,16 @@ def _kinds(df: DataFrame, features):
     return numeric, [f for f in features if f not in numeric]
 
 
-def associations(df: DataFrame, features) -> DataFrame:
+def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame:
     """Association of every ordered feature pair (a before b in ``features``):
     Pearson correlation for two numeric features, Cramér's V for two
     categorical ones, correlation ratio (eta) for a categorical and a numeric
     one. Pairwise-complete rows only. Returns (feature_a, feature_b, kind,
-    assoc); one job per kind, each a single aggregation over the table."""
+    assoc); one aggregation over the table per kind. With ``materialize`` the
+    feature columns are written once and the three kinds read that copy."""
     features = list(features)
+    if materialize:
+        df = cut_lineage(df.select(*features), "association_input")
     numeric, categorical = _kinds(df, features)
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
     parts = []
@@ -190,8 +197,8 @@ def split_labels(df: DataFrame, label: str, key: str, frac: float = conf.TRAIN_F
 
     No window runs over a whole label: rows are counted per (label, hash
     bucket) (16^bucket_hex buckets), a running count over that small table
-    finds the bucket holding each label's cut, and only that boundary bucket
-    is ranked row by row.
+    gives each bucket's offset and the label's cut, and rows are ranked only
+    inside their own (label, bucket) partition.
     """
     h = F.md5(F.col(key).cast("string"))
     rows = df.withColumns({"_h": h, "_b": F.conv(F.substring(h, 1, bucket_hex), 16, 10).cast("bigint")})
@@ -200,19 +207,12 @@ def split_labels(df: DataFrame, label: str, key: str, frac: float = conf.TRAIN_F
     buckets = buckets.withColumns({
         "_before": F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_k": F.floor(F.lit(frac) * F.sum("_cnt").over(Window.partitionBy(label))),
-    })
+    }).drop("_cnt")
     buckets, cond = null_safe_keys(rows, buckets, [label, "_b"])
     rows = rows.join(buckets, cond, "left").drop(f"{label}__r", "_b__r")
-    inner = rows.filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_cnt") > F.col("_k")))
-    ranked = inner.withColumn("_rank", F.row_number().over(
-        Window.partitionBy(label, "_b").orderBy("_h", key)))
-    ranked = ranked.withColumn("split", F.when(F.col("_before") + F.col("_rank") <= F.col("_k"), "train")
-                               .otherwise("test"))
-    whole = rows.filter(~((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_cnt") > F.col("_k"))))
-    whole = whole.withColumn("split", F.when(F.col("_before") + F.col("_cnt") <= F.col("_k"), "train")
-                             .otherwise("test"))
-    cols = df.columns + ["split"]
-    return whole.select(*cols).unionByName(ranked.select(*cols))
+    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
+    split = F.when(F.col("_before") + rank <= F.col("_k"), F.lit("train")).otherwise(F.lit("test"))
+    return rows.withColumn("split", split).select(*df.columns, "split")
 
 
 def stratified_split_train_test(df: DataFrame, frac: float, label: str, join_on: str):

@@ -42,15 +42,15 @@ def _distance_deg(lat_a, lon_a, lat_b, lon_b):
 def nearest_within(queries: DataFrame, donors: DataFrame, *, key: str = "CUSTOMER",
                    donor_key: str = "DONOR", lat: str = "LATITUDE", lon: str = "LONGITUDE",
                    max_km: float = conf.NEAREST_MAX_KM, km_per_degree: float = conf.KM_PER_DEGREE,
-                   levels: int = 2, materialize: bool = False) -> DataFrame:
+                   levels: int = 2, materialize: bool = True) -> DataFrame:
     """Return (key, donor_key, distance_km) for every query with a donor
     closer than ``max_km``. ``queries`` has (key, lat, lon); ``donors`` has
     (donor_key, lat, lon). Rows without coordinates never match.
 
-    The levels form one plan; repeated subtrees (donor cells, earlier
-    levels) are shared by exchange reuse. With ``materialize`` each level's
-    best candidates are written to the shared checkpoint folder instead,
-    which bounds the plan when ``levels`` is large.
+    With ``materialize`` (default) each level's best candidates (one row per
+    pending query point) are written to the shared checkpoint folder, so the
+    chain of anti-joins that forms the next level's pending set reads them
+    instead of re-running the earlier levels' joins.
     """
     keep = (lambda df: cut_lineage(df, "nearest_level")) if materialize else (lambda df: df)
     radius_deg = max_km / km_per_degree

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from outletlab import conf
 from outletlab.operators import select as sel
+from outletlab.session import cut_lineage
 
 LABEL = "targetVar"
 LABEL_INDEX = "targetVarInd"
@@ -100,6 +101,8 @@ def model_base_table(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP", k
     cfg = cfg or ModelConfig()
     data = (abt.filter(F.col(label) != conf.LABEL_EXCLUDED)
             .select(key, *[f for f in features if f != label], F.col(label).alias(LABEL)))
+    # the fit makes many passes (indexers, folds, tree levels): read a written copy
+    data = cut_lineage(data, "model_input")
     continuous, categorical = split_feature_types(data, exclude=(LABEL, key))
     train, test = sel.stratified_split_train_test(data, cfg.train_fraction, LABEL, key)
     model = build_pipeline(categorical, continuous, cfg).fit(train)
