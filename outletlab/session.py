@@ -48,7 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="outletlab-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # core conf not settable at run time: the context keeps it
+            pass
         spark.sparkContext.setCheckpointDir(path)
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
