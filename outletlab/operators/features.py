@@ -16,7 +16,7 @@ from outletlab import conf
 from outletlab.functions import scalar as S
 from outletlab.plans.joins import broadcast_if_small
 from outletlab.session import cut_lineage
-from outletlab.spec import FeatureSpec, apply_specs
+from outletlab.spec import FeatureSpec, apply_specs, conjunction
 
 # ------------------------------------------------------------------ coolers
 
@@ -43,21 +43,23 @@ def scalar_value(one_row: DataFrame):
     return None if row is None else row[0]
 
 
-def cooler_lines(raw: DataFrame, period=None, company_codes=None) -> DataFrame:
+COOLER_FILTERS = [
+    "TRY_CAST(CUSTOMERS_WITH_COOLERS AS INT) != 0",
+    "DF_STATUS_D = 'placed'",
+    "TRY_CAST(ACTUAL_DOORS AS DOUBLE) > 0",
+    "TRY_CAST(FISCPER AS INT) = {period}",
+]
+
+
+def cooler_lines(raw: DataFrame, period=None, company_codes=None,
+                 filters=COOLER_FILTERS) -> DataFrame:
     """Eligible cooler placements of the latest (or given) period, projected."""
     if company_codes is not None and "COMP_CODE" in raw.columns:
         raw = raw.filter(F.col("COMP_CODE").isin(list(company_codes)))
     if period is None:
         period = scalar_value(latest_cooler_period(raw))
-    latest = F.lit(period).cast("int")
-    eligible = (
-        (F.col("CUSTOMERS_WITH_COOLERS").try_cast("int") != 0)
-        & (F.col("DF_STATUS_D") == "placed")
-        & (F.col("ACTUAL_DOORS").try_cast("double") > 0)
-        & (F.col("FISCPER").try_cast("int") == latest)
-    )
-    # Filter on raw columns first so the predicates reach the scan.
-    return raw.filter(eligible).selectExpr(*COOLER_PROJECTION)
+    # Filter on raw columns before the projection so the predicates sit next to the scan.
+    return raw.filter(conjunction(filters, {"period": period})).selectExpr(*COOLER_PROJECTION)
 
 
 def cooler_features(raw: DataFrame, period=None, company_codes=None) -> DataFrame:
@@ -125,16 +127,34 @@ def demographic_numeric_columns(demographics: DataFrame) -> list:
 
 # ---------------------------------------------------------- customer master
 
-def customer_eligibility(sales_orgs, account_groups, as_of: _dt.date, months_created: int = 3):
-    created_by = S.date_to_yyyymmdd(F.add_months(F.lit(as_of), -months_created))
-    return (
-        F.col("SALESORG").isin(list(sales_orgs))
-        & F.col("ACCNT_GRP").isin(list(account_groups))
-        & F.col("CUST_HIE02").isin(conf.CUST_HIER2_LIST)
-        & (F.col("_BIC_CSUP_CUST").isin(conf.ORDER_BLOCK_LIST) | F.col("_BIC_CSUP_CUST").isNull())
-        & ~F.col("_BIC_CTRADE_CH").isin(conf.EXCLUDED_TRADE_CHANNELS)
-        & (F.col("ERDAT") <= created_by)
-    )
+CUSTOMER_FILTERS = [
+    "SALESORG IN ({sales_orgs})",
+    "ACCNT_GRP IN ({account_groups})",
+    "CUST_HIE02 IN ({hierarchy})",
+    "(_BIC_CSUP_CUST IN ({order_blocks}) OR _BIC_CSUP_CUST IS NULL)",
+    "_BIC_CTRADE_CH NOT IN ({excluded_channels})",
+    "ERDAT <= {created_by}",
+]
+
+
+def add_months(d: _dt.date, months: int) -> _dt.date:
+    """Calendar month arithmetic on a parameter date (day clamped to the
+    month's length), so the cut-off is a literal in the predicate."""
+    import calendar
+
+    y, m = divmod(d.year * 12 + (d.month - 1) + months, 12)
+    return _dt.date(y, m + 1, min(d.day, calendar.monthrange(y, m + 1)[1]))
+
+
+def customer_eligibility(sales_orgs, account_groups, as_of: _dt.date, months_created: int = 3,
+                         filters=CUSTOMER_FILTERS):
+    params = {
+        "sales_orgs": list(sales_orgs), "account_groups": list(account_groups),
+        "hierarchy": conf.CUST_HIER2_LIST, "order_blocks": conf.ORDER_BLOCK_LIST,
+        "excluded_channels": conf.EXCLUDED_TRADE_CHANNELS,
+        "created_by": add_months(as_of, -months_created).strftime("%Y%m%d"),
+    }
+    return conjunction(filters, params)
 
 
 def customer_features(raw: DataFrame, sales_orgs, account_groups, as_of: _dt.date,
@@ -172,9 +192,12 @@ SALES_LINE_SPECS = [
 ]
 
 
-def sales_lines(raw: DataFrame, calendar: DataFrame, sales_orgs=None) -> DataFrame:
+SALES_FILTERS = ["CUSTOMER IS NOT NULL"]
+
+
+def sales_lines(raw: DataFrame, calendar: DataFrame, sales_orgs=None, filters=SALES_FILTERS) -> DataFrame:
     """Typed sales lines with the fiscal period looked up in the calendar."""
-    df = raw.filter(F.col("CUSTOMER").isNotNull())
+    df = raw.filter(conjunction(filters))
     if sales_orgs is not None and "SALESORG" in raw.columns:
         df = df.filter(F.col("SALESORG").isin(list(sales_orgs)))
     df = apply_specs(df, SALES_LINE_SPECS).withColumnRenamed("FIELDNM005", "CURRENCY").drop("FISCPER")
