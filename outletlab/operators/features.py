@@ -114,9 +114,8 @@ def demographic_specs(literal_seasonal: bool = False) -> list:
 def demographic_features(raw: DataFrame, literal_seasonal: bool = False) -> DataFrame:
     """Typed demographics (every measure as double) plus derived shares,
     per-capita values, seasonal levels, relative differences and densities."""
-    typed = raw.withColumns({c: F.col(c).try_cast("double")
-                             for c in raw.columns if c not in DEMOGRAPHIC_STRING_COLUMNS})
-    return apply_specs(typed, demographic_specs(literal_seasonal))
+    typed = {c: f"TRY_CAST(`{c}` AS DOUBLE)" for c in raw.columns if c not in DEMOGRAPHIC_STRING_COLUMNS}
+    return apply_specs(raw, demographic_specs(literal_seasonal), base=typed)
 
 
 def demographic_numeric_columns(demographics: DataFrame) -> list:
@@ -162,17 +161,22 @@ def customer_features(raw: DataFrame, sales_orgs, account_groups, as_of: _dt.dat
     """Eligible customers with renamed attributes, routing flag, class group
     (the label) and typed coordinates."""
     df = raw.filter(customer_eligibility(sales_orgs, account_groups, as_of, months_created))
-    df = df.withColumnsRenamed(conf.CUSTOMER_RENAMES)
-    ccaf_digit = F.substring(F.col("_BIC_C_CCAF").cast("string"), 2, 1)
-    df = df.withColumns({
-        "CUST_ROUTED": S.routed_flag("ORDER_BLOCK_ID"),
-        "CUST_CCAF_GROUP": S.ccaf_group(ccaf_digit),
+    source = {new: old for old, new in conf.CUSTOMER_RENAMES.items()}
+    derived = {
+        "CUST_ROUTED": S.routed_flag(source["ORDER_BLOCK_ID"]),
+        "CUST_CCAF_GROUP": S.ccaf_group(F.substring(F.col("_BIC_C_CCAF").cast("string"), 2, 1)),
         "LONGITUDE": S.to_double("LONGITUDE"),
         "LATITUDE": S.to_double("LATITUDE"),
-    }).select(*conf.CUSTOMER_COLUMNS)
-    if fill_unknown:
-        df = fill_unknown_attributes(df)
-    return df
+    }
+    types = dict(raw.dtypes)
+    cols = []
+    for name in conf.CUSTOMER_COLUMNS:  # one projection: rename, derive, fill
+        expr = derived.get(name, F.col(source.get(name, name)))
+        is_text = name == "CUST_CCAF_GROUP" or types.get(source.get(name, name)) == "string"
+        if fill_unknown and name.startswith("CUST_") and is_text:
+            expr = F.coalesce(expr, F.lit("UNKNOWN"))
+        cols.append(expr.alias(name))
+    return df.select(*cols)
 
 
 def fill_unknown_attributes(customers: DataFrame) -> DataFrame:

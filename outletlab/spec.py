@@ -23,10 +23,6 @@ class FeatureSpec:
     inputs: tuple = field(default_factory=tuple)
     expr: str = ""
 
-    def render(self) -> str:
-        fields = {f"field{i + 1:02d}": f"`{c}`" for i, c in enumerate(self.inputs)}
-        return self.expr.format(**fields)
-
 
 def sql_literal(value) -> str:
     if value is None:
@@ -56,18 +52,21 @@ def conjunction(predicates, params: dict | None = None) -> Column:
     return reduce(lambda a, b: a & b, cols)
 
 
-def apply_specs(df: DataFrame, specs) -> DataFrame:
-    """Add every spec as a column in one projection, in order; a spec may use
-    a column made by an earlier spec (applied in dependency order)."""
-    known = set(df.columns)
-    batch: dict = {}
+def apply_specs(df: DataFrame, specs, base: dict | None = None) -> DataFrame:
+    """Add every spec as a column, in order, in ONE projection.
+
+    ``base`` optionally maps existing columns to SQL expressions (e.g. typed
+    casts). A spec may use a column made by an earlier spec: its expression
+    is inlined (whole-stage codegen's common-subexpression elimination
+    evaluates it once). One projection instead of a chain of ``withColumn``
+    keeps analysis time flat however many features a source has.
+    """
+    exprs = {c: f"`{c}`" for c in df.columns}
+    exprs.update(base or {})
     for spec in specs:
-        missing = [c for c in spec.inputs if c not in known]
+        missing = [c for c in spec.inputs if c not in exprs]
         if missing:
             raise ValueError(f"feature {spec.name!r}: unknown input columns {missing}")
-        if any(c in batch for c in spec.inputs):
-            df = df.withColumns(batch)
-            batch = {}
-        batch[spec.name] = F.expr(spec.render())
-        known.add(spec.name)
-    return df.withColumns(batch) if batch else df
+        fields = {f"field{i + 1:02d}": f"({exprs[c]})" for i, c in enumerate(spec.inputs)}
+        exprs[spec.name] = spec.expr.format(**fields)
+    return df.selectExpr(*[f"{e} AS `{n}`" for n, e in exprs.items()])
