@@ -460,7 +460,8 @@ ORACLE.update({
 # ------------------------------------------------------------- evaluation
 
 EVAL_CTES = """,
-cm AS (SELECT Holdout, label, prediction, count(*) AS n FROM predictions GROUP BY Holdout, label, prediction),
+scored AS (SELECT * FROM predictions WHERE labelName <> 'Other'),
+cm AS (SELECT Holdout, label, prediction, count(*) AS n FROM scored GROUP BY Holdout, label, prediction),
 cls AS (SELECT Holdout, label AS class FROM cm UNION SELECT Holdout, prediction FROM cm),
 st AS (
   SELECT c.Holdout, c.class,
@@ -481,7 +482,7 @@ overall AS (
     sum(CAST(actual AS DOUBLE) / total * rec) AS weighted_recall,
     sum(CAST(actual AS DOUBLE) / total * f1) AS weighted_f1
   FROM st3 GROUP BY Holdout),
-per AS (SELECT Holdout, probability, label, count(*) AS n FROM predictions GROUP BY Holdout, probability, label),
+per AS (SELECT Holdout, probability, label, count(*) AS n FROM scored GROUP BY Holdout, probability, label),
 sc AS (SELECT Holdout, probability, sum(n) AS cnt FROM per GROUP BY Holdout, probability),
 rk AS (
   SELECT *, coalesce(sum(cnt) OVER (PARTITION BY Holdout ORDER BY probability

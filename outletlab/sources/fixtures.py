@@ -121,13 +121,13 @@ DEMOGRAPHICS_RAW = {
 LABEL_CLASS = "c_custkey % 7"
 PREDICTIONS = {
     "CUSTOMER": _k("c_custkey"),
+    "labelName": (f"case {LABEL_CLASS} when 1 then 'Platinum' when 2 then 'Gold' when 3 then 'Silver' "
+                  "when 4 then 'Bronze' when 5 then 'Iron' else 'Other' end"),
     "label": f"cast({LABEL_CLASS} as double)",
     "prediction": f"cast(case when c_custkey % 4 <> 0 then {LABEL_CLASS} else (c_custkey + 1) % 7 end as double)",
     "probability": "cast(c_custkey * 37 % 100 as double) / 100",
     "Holdout": "case when c_custkey % 5 = 0 then 'Test' else 'Train' end",
 }
-# Rows with a modelled label: classes 1..5 (class 0 and 6 are "Other").
-PREDICTIONS_WHERE = f"{LABEL_CLASS} between 1 and 5"
 
 COMMIT_LOG = {"operation": "event_type", "timestamp": "ts"}
 WRITE_OPERATION = "purchase"
@@ -139,7 +139,7 @@ VIEWS = {
     "calendar": ("orders", CALENDAR, None),
     "coolers_raw": ("orders JOIN lineitem ON o_orderkey = l_orderkey", COOLERS_RAW, None),
     "demographics_raw": ("customer", DEMOGRAPHICS_RAW, None),
-    "predictions": ("customer", PREDICTIONS, PREDICTIONS_WHERE),
+    "predictions": ("customer", PREDICTIONS, None),
     "commit_log": ("events", COMMIT_LOG, None),
 }
 DISTINCT_VIEWS = {"calendar"}
