@@ -360,7 +360,7 @@ ABT_STRING = set(conf.CUSTOMER_COLUMNS) - {"CUST_ROUTED", "LONGITUDE", "LATITUDE
     "TAA_TC", "urbanicity"}
 
 
-def chi_square() -> str:
+def chi_square_ctes() -> str:
     feats = _features()
     cat = lambda c: f"coalesce(CAST({q(c)} AS VARCHAR), '<NULL>')"
     wide = ", ".join([f"{cat(LABEL)} AS _label"] + [f"{cat(c)} AS {q(c)}" for c in feats])
@@ -379,10 +379,33 @@ grid AS (
 stat AS (
   SELECT feature, sum((O - E) * (O - E) / E) AS plain,
          sum((abs(O - E) - least(0.5, abs(O - E))) * (abs(O - E) - least(0.5, abs(O - E))) / E) AS yates
-  FROM grid GROUP BY feature)
-SELECT stat.feature, CAST((tot.r - 1) * (ncat.c - 1) AS BIGINT) AS dof,
-  round(CASE WHEN (tot.r - 1) * (ncat.c - 1) = 1 THEN yates ELSE plain END, 6) + 0.0 AS chi2
-FROM stat JOIN tot ON stat.feature = tot.feature JOIN ncat ON stat.feature = ncat.feature"""
+  FROM grid GROUP BY feature),
+chi AS (
+  SELECT stat.feature, CAST((tot.r - 1) * (ncat.c - 1) AS BIGINT) AS dof,
+    CASE WHEN (tot.r - 1) * (ncat.c - 1) = 1 THEN yates ELSE plain END AS chi2
+  FROM stat JOIN tot ON stat.feature = tot.feature JOIN ncat ON stat.feature = ncat.feature)"""
+
+
+def chi_square() -> str:
+    return chi_square_ctes() + "\nSELECT feature, dof, round(chi2, 6) + 0.0 AS chi2 FROM chi"
+
+
+def chi_square_selection() -> str:
+    """p = 1 - P(dof/2, chi2/2), P by its power series
+    sum_n exp((a + n) ln x - x - lgamma(a + n + 1)) (independent of the
+    continued fraction used on the Spark side)."""
+    return chi_square_ctes() + f""",
+series AS (
+  SELECT feature, sum(exp((dof / 2.0 + t.n) * ln(chi2 / 2.0) - chi2 / 2.0 - lgamma(dof / 2.0 + t.n + 1))) AS lower_p
+  FROM chi, (SELECT range AS n FROM range(0, 20000)) t
+  WHERE dof > 0 AND chi2 > 0 GROUP BY feature),
+pv AS (
+  SELECT chi.feature, chi.dof, chi.chi2,
+    CASE WHEN chi.dof = 0 OR chi.chi2 <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - series.lower_p) END AS p
+  FROM chi LEFT JOIN series ON chi.feature = series.feature)
+SELECT feature, round(chi2, 6) + 0.0 AS chi2, dof, round(p, 6) + 0.0 AS p_value,
+       p < {conf.CHI_SQUARE_ALPHA} AS important
+FROM pv"""
 
 
 def _assoc_parts(feats) -> str:
@@ -451,6 +474,7 @@ FROM ranked"""
 
 ORACLE.update({
     "chi_square": chi_square,
+    "chi_square_selection": chi_square_selection,
     "association_matrix": association_matrix,
     "association_prune": association_prune,
     "stratified_split": stratified_split,

@@ -171,7 +171,9 @@ def chi_square(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chi_square_selection(spark: SparkSession, sf: str) -> DataFrame:
-    return sel.chi_square(_abt(spark, sf), selection_features(), LABEL)
+    out = sel.chi_square(_abt(spark, sf), selection_features(), LABEL)
+    return out.select("feature", F.round("chi2", ROUND).alias("chi2"), "dof",
+                      F.round("p_value", ROUND).alias("p_value"), "important")
 
 
 def association_matrix(spark: SparkSession, sf: str) -> DataFrame:
