@@ -609,3 +609,40 @@ ORACLE.update({
     "ingest_write": lambda: INGEST,
     "bulk_load": bulk_load,
 })
+
+
+# ------------------------------------------------------- rounding semantics
+
+def spark_rounding(sql: str) -> str:
+    """State Spark's ``round`` in DuckDB: HALF_UP on the shortest decimal
+    form of the double (0.575 -> 0.58), where DuckDB's own ``round`` works
+    on the binary value (0.57499... -> 0.57). Every ``round(x, d)`` in an
+    oracle statement becomes a round of ``CAST(CAST(x AS VARCHAR) AS
+    DECIMAL)``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 5, None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner = spark_rounding(sql[j + 6:comma])
+        digits = sql[comma + 1:k].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(round(CAST(CAST(({inner}) AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)")
+        i = k + 1

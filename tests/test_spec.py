@@ -23,3 +23,14 @@ def test_predicates_are_anded_and_parameters_quoted(spark):
     cond = conjunction(["k IN ({keys})", "v > {low}"], {"keys": ["x'y", "q"], "low": 2})
     assert [r.k for r in df.filter(cond).collect()] == ["x'y"]
     assert sql_literal(dt.date(2001, 6, 1)) == "DATE '2001-06-01'"
+
+
+def test_oracle_rounding_follows_spark(spark):
+    import duckdb
+
+    from outletlab.checks.oracle import spark_rounding
+
+    value = 0.575  # binary value is just below 0.575
+    sql = spark_rounding(f"SELECT round({value}::DOUBLE, 2) AS r")
+    assert duckdb.sql(sql).fetchone()[0] == 0.58
+    assert spark.sql(f"SELECT round(CAST({value} AS DOUBLE), 2) AS r").first().r == 0.58
