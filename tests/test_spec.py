@@ -32,5 +32,5 @@ def test_oracle_rounding_follows_spark(spark):
 
     value = 0.575  # binary value is just below 0.575
     sql = spark_rounding(f"SELECT round({value}::DOUBLE, 2) AS r")
-    assert duckdb.sql(sql).fetchone()[0] == 0.58
+    assert duckdb.sql(sql).fetchall()[0][0] == 0.58
     assert spark.sql(f"SELECT round(CAST({value} AS DOUBLE), 2) AS r").first().r == 0.58
