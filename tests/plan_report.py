@@ -62,6 +62,16 @@ def main():
     print(f"# Executed plans of the headline queries ({sf}, local[8], AQE on)\n")
     print("Final executed plan of each query. Materialised stages (Parquet lineage cuts) show up as "
           "scans of the shared checkpoint folder; their own jobs are planned the same way.\n")
+    print("How to read it:\n")
+    print("* `hashpartitioning` exchanges are the shuffles; every aggregation in front of one is "
+          "map-side combined (partial `HashAggregate`).")
+    print("* `SinglePartition` appears only for one-row global aggregates (partial results of each "
+          "task merged; never a window over a whole table).")
+    print("* `broadcast` sides are either one-row scalars, size-checked dimensions, or sides AQE "
+          "measured as small at run time.")
+    print("* No query has `CartesianProduct`, `BroadcastNestedLoopJoin` or a row-at-a-time "
+          "`BatchEvalPython` (asserted in tests/test_plans.py).")
+    print("* Scans read only the columns the query needs and show the filters pushed into them.\n")
     for key in QUERIES:
         s = summarise(spark, Q[key](spark, sf))
         print(f"## {key}\n")
