@@ -14,9 +14,11 @@ def executed_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", ["cooler_features", "sales_features", "customer_master",
-                                 "nearest_outlet", "abt", "chi_square", "stratified_split",
-                                 "auc_by_class"])
+@pytest.mark.parametrize("key", ["cooler_features", "sales_features", "currency_impute",
+                                 "customer_master", "nearest_outlet", "impute_hierarchical", "abt",
+                                 "chi_square", "association_matrix", "stratified_split",
+                                 "auc_by_class", "classification_metrics", "scan_union_partitions",
+                                 "scan_company_partitions", "ingest_stamp"])
 def test_no_pairs_no_python(spark, key):
     plan = executed_plan(Q.QUERIES[key](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
