@@ -309,7 +309,8 @@ def ingest_stamp(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_write(spark: SparkSession, sf: str) -> DataFrame:
     stamped = ingest_stamp(spark, sf)
     db = ing.layer_database_name(P.COUNTRY, "outletlab", "deng", "l1")
-    path = ing.write_layer(stamped, f"{scratch_path(spark, 'layer1')}/{db}/orders")
+    root = ing.layer_path(scratch_path(spark, "layers"), "org", "prod", "L1", P.COUNTRY)
+    path = ing.write_layer(stamped, f"{root}{db}/orders")
     return spark.read.parquet(path)
 
 
@@ -367,9 +368,11 @@ def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    mbt_df, _, model = _modelled(spark, sf)
+    """Modelling entry point end to end (cast, select, fit, evaluate, save),
+    then the saved pipeline and table are loaded back."""
     root = scratch_path(spark, "mbt")
-    mo.save_model(model, mbt_df, f"{root}/artifacts", f"{root}/data")
+    mo.run_modelling(_abt(spark, sf), selection_features(), mo.ModelConfig(folds=3, parallelism=2),
+                     f"{root}/artifacts", f"{root}/data")
     mo.load_model(f"{root}/artifacts")
     return spark.read.parquet(f"{root}/data")
 

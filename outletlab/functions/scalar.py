@@ -54,10 +54,6 @@ def yyyymmdd_to_date(c) -> Column:
     return F.try_to_timestamp(col_(c), F.lit("yyyyMMdd")).cast("date")
 
 
-def date_to_yyyymmdd(d) -> Column:
-    return F.date_format(col_(d), "yyyyMMdd")
-
-
 def fiscal_period_start_date(p) -> Column:
     """First day of fiscal period ``YYYY0MM``."""
     p = col_(p).cast("string")

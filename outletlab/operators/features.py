@@ -179,12 +179,6 @@ def customer_features(raw: DataFrame, sales_orgs, account_groups, as_of: _dt.dat
     return df.select(*cols)
 
 
-def fill_unknown_attributes(customers: DataFrame) -> DataFrame:
-    cols = [f.name for f in customers.schema.fields
-            if f.name.startswith("CUST_") and f.dataType.simpleString() == "string"]
-    return customers.fillna("UNKNOWN", subset=cols)
-
-
 # -------------------------------------------------------------------- sales
 
 SALES_LINE_SPECS = [

@@ -16,20 +16,6 @@ SALES_IMPUTED = {
 }
 
 
-def star_join(customers: DataFrame, demographics: DataFrame, coolers: DataFrame,
-              sales: DataFrame) -> DataFrame:
-    """Customer ⟕ demographics ⟕ coolers ⟕ sales on CUSTOMER.
-
-    Coolers and sales arrive hash-partitioned on CUSTOMER by their own
-    aggregations, so the three left joins share one partitioning; AQE
-    broadcasts any side that turns out small at run time.
-    """
-    demo = demographics.drop("LONGITUDE", "LATITUDE")
-    return (customers.join(demo, "CUSTOMER", "left")
-            .join(coolers, "CUSTOMER", "left")
-            .join(sales, "CUSTOMER", "left"))
-
-
 def analytical_base_table(customers: DataFrame, demographics: DataFrame, coolers: DataFrame,
                           sales: DataFrame, columns=None, *, area_fallback: bool = False,
                           levels: int = 2, materialize: bool = True) -> DataFrame:

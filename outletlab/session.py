@@ -78,8 +78,4 @@ def cut_lineage(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "cut_lineage", "local_path"]
+__all__ = ["get_spark", "checkpoint_root", "scratch_path", "cut_lineage"]
