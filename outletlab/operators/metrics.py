@@ -5,7 +5,7 @@ importances.
 The confusion matrix is one map-side-combined group-by; every metric is
 derived from it (classes^2 rows per group), so the prediction table is read
 once whatever its size. AUC uses rank sums with average ranks for ties;
-ranks come from bucketed prefix counts so no window spans a whole group.
+ranks come from range-partitioned prefix counts so no window spans a whole group.
 """
 
 from __future__ import annotations
@@ -88,31 +88,34 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     return per_class.unionByName(overall)
 
 
-def _average_ranks(scores: DataFrame, g, score: str, buckets: int) -> DataFrame:
+def _average_ranks(scores: DataFrame, g, score: str, partitions: int | None = None) -> DataFrame:
     """For a table with one row per (group, score) and a count ``cnt``, add
     ``avg_rank`` = #rows with a smaller score + (cnt + 1) / 2.
 
-    Scores are probabilities in [0, 1]: fixed-width buckets give a small
-    per-(group, bucket) table whose running totals are a window over at
-    most ``buckets`` rows; the running count inside a bucket is a window over
-    that bucket only.
+    Distributed ranking without a window over a whole group: the table is
+    range-partitioned on (group, score), so partitions are balanced by
+    sampled boundaries and equal keys share a partition. The partition tag
+    is written once; per-(group, partition) totals (a small table) give each
+    partition's offset, and the running count is a window inside one
+    partition.
     """
-    b = F.least(F.floor(F.col(score) * buckets), F.lit(buckets - 1)).cast("int")
-    scores = scores.withColumn("_bk", F.greatest(b, F.lit(0)))
-    per_bucket = scores.groupBy(*g, "_bk").agg(F.sum("cnt").alias("_bcnt"))
-    wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_bbefore", F.coalesce(F.sum("_bcnt").over(wb), F.lit(0)))
-    ws = Window.partitionBy(*g, "_bk").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    scores = scores.join(per_bucket.drop("_bcnt"), g + ["_bk"]) if g else scores.join(
-        per_bucket.drop("_bcnt"), "_bk")
-    scores = scores.withColumn("_inbefore", F.coalesce(F.sum("cnt").over(ws), F.lit(0)))
-    return scores.withColumn(
-        "avg_rank", F.col("_bbefore") + F.col("_inbefore") + (F.col("cnt") + 1) / 2.0
-    ).drop("_bk", "_bbefore", "_inbefore")
+    spark = scores.sparkSession
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = scores.repartitionByRange(n, *g, score).withColumn("_p", F.spark_partition_id())
+    ordered = cut_lineage(ordered, "ranked_scores")  # one fixed assignment for both branches
+    per_part = ordered.groupBy(*g, "_p").agg(F.sum("cnt").alias("_pcnt"))
+    wp = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.withColumn("_pbefore", F.coalesce(F.sum("_pcnt").over(wp), F.lit(0)))
+    ordered = ordered.join(per_part.drop("_pcnt"), g + ["_p"])
+    wi = Window.partitionBy(*g, "_p").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = ordered.withColumn("_inbefore", F.coalesce(F.sum("cnt").over(wi), F.lit(0)))
+    return ordered.withColumn(
+        "avg_rank", F.col("_pbefore") + F.col("_inbefore") + (F.col("cnt") + 1) / 2.0
+    ).drop("_p", "_pbefore", "_inbefore")
 
 
 def auc_one_vs_rest(df: DataFrame, label: str = "label", score: str = "probability", by=None,
-                    buckets: int = 1 << 16, materialize: bool = True) -> DataFrame:
+                    partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """(by..., class, auc): area under the ROC curve of ``score`` for each
     label class against the rest (Mann-Whitney rank sum, ties share the
     average rank). With ``materialize`` the (score, class) counts are written
@@ -122,7 +125,7 @@ def auc_one_vs_rest(df: DataFrame, label: str = "label", score: str = "probabili
     if materialize:
         per = cut_lineage(per, "score_counts")
     scores = per.groupBy(*g, score).agg(F.sum("n").alias("cnt"))
-    ranked = _average_ranks(scores, g, score, buckets)
+    ranked = _average_ranks(scores, g, score, partitions)
     cells = per.join(ranked.select(*g, score, "avg_rank"), g + [score])
     pos = cells.groupBy(*g, F.col(label).alias("class")).agg(
         F.sum(F.col("n") * F.col("avg_rank")).alias("rank_sum"), F.sum("n").alias("n_pos"))
@@ -167,7 +170,7 @@ def feature_importances(importances, features_schema_field) -> list:
 
 
 def auc_from_class_scores(df: DataFrame, label: str, score_columns: dict, by=None,
-                          buckets: int = 1 << 16) -> DataFrame:
+                          partitions: int | None = None) -> DataFrame:
     """One-vs-rest AUC where each class has its own score column
     (``score_columns`` maps class value -> column, e.g. a model's per-class
     probability). All classes are ranked in one job: the table is stacked to
@@ -179,5 +182,5 @@ def auc_from_class_scores(df: DataFrame, label: str, score_columns: dict, by=Non
     stacked = stacked.select(*g, "_s._cls", "_s._score",
                              (F.col("_label") == F.col("_s._cls")).alias("_pos"))
     stacked = stacked.filter(F.col("_score").isNotNull() & F.col("_pos").isNotNull())
-    out = auc_one_vs_rest(stacked, label="_pos", score="_score", by=g + ["_cls"], buckets=buckets)
+    out = auc_one_vs_rest(stacked, label="_pos", score="_score", by=g + ["_cls"], partitions=partitions)
     return out.filter(F.col("class") == 1.0).select(*g, F.col("_cls").alias("class"), "auc")

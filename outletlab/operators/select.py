@@ -127,10 +127,12 @@ def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame
             for i, (a, b) in enumerate(cc)])).alias("x")).select("x.*")
         long = long.filter(F.col("va").isNotNull() & F.col("vb").isNotNull())
         cnt = long.groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("n"))
-        wa, wb, wp = (Window.partitionBy("pair", "va"), Window.partitionBy("pair", "vb"),
-                      Window.partitionBy("pair"))
-        cnt = cnt.withColumns({"A": F.sum("n").over(wa), "B": F.sum("n").over(wb),
-                               "T": F.sum("n").over(wp)})
+        # margins as aggregates joined back (no window over a value's or a
+        # pair's rows, which a high-cardinality feature would make unbounded)
+        ma = cnt.groupBy("pair", "va").agg(F.sum("n").alias("A"))
+        mb = cnt.groupBy("pair", "vb").agg(F.sum("n").alias("B"))
+        mt = cnt.groupBy("pair").agg(F.sum("n").alias("T"))
+        cnt = cnt.join(ma, ["pair", "va"]).join(mb, ["pair", "vb"]).join(mt, "pair")
         ex = F.col("A").cast("double") * F.col("B") / F.col("T")
         per = cnt.groupBy("pair").agg(
             F.sum((F.col("n") - ex) * (F.col("n") - ex) / ex).alias("obs_part"),

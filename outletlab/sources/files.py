@@ -39,9 +39,11 @@ def read_partitioned_by_dimension(spark: SparkSession, root: str, partition_colu
     """Rows of the partitions named by ``dimension`` (one column named
     ``partition_column``): a left-semi join on the partition column, which
     Spark turns into dynamic partition pruning of the scan."""
+    from outletlab.plans.joins import broadcast_if_small
+
     df = read_partitioned(spark, root, partition_column, schema=schema)
-    return df.join(F.broadcast(dimension.select(partition_column).distinct()), partition_column,
-                   "left_semi")
+    keys = broadcast_if_small(dimension.select(partition_column).distinct())
+    return df.join(keys, partition_column, "left_semi")
 
 
 def read_paths(spark: SparkSession, paths, schema: StructType | None = None) -> DataFrame:

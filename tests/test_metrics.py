@@ -34,7 +34,7 @@ def brute_auc(rows, cls):
 def test_auc_matches_pairwise_definition(spark):
     rows = [(float(i % 3), 0.0, round((i * 37 % 101) / 101, 2), "T") for i in range(200)]
     df = spark.createDataFrame(rows, "label double, prediction double, probability double, g string")
-    got = {r["class"]: r.auc for r in me.auc_one_vs_rest(df, buckets=7).collect()}
+    got = {r["class"]: r.auc for r in me.auc_one_vs_rest(df, partitions=7).collect()}
     for cls in (0.0, 1.0, 2.0):
         assert abs(got[cls] - brute_auc(rows, cls)) < 1e-12
     grouped = {r["class"]: r.auc for r in me.auc_one_vs_rest(df, by="g").collect()}
@@ -53,3 +53,11 @@ def test_auc_from_class_scores(spark):
     # A: positives (0.9, 0.6) vs negatives (0.3, 0.6) -> (1 + 1 + 1 + 0.5) / 4
     assert got["A"] == 3.5 / 4
     assert got["B"] == 3 / 4  # 0.7 beats both negatives, 0.2 beats 0.1 only
+
+
+def test_auc_with_scores_in_a_narrow_band_and_ties(spark):
+    rows = [(float(i % 2), 0.0, 0.5 + (i % 9) * 1e-7, "T") for i in range(300)]
+    df = spark.createDataFrame(rows, "label double, prediction double, probability double, g string")
+    got = {r["class"]: r.auc for r in me.auc_one_vs_rest(df, partitions=5).collect()}
+    for cls in (0.0, 1.0):
+        assert abs(got[cls] - brute_auc(rows, cls)) < 1e-12
