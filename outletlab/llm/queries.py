@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outletlab.llm.exact_dedup import exact_dedup
+from outletlab.llm.language_id import fit, held_out, label_languages
 from outletlab.llm.line_dedup import line_dedup
+from outletlab.llm.near_dedup import near_duplicates
+from outletlab.llm.packing import packed_documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +22,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return label_languages(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -26,6 +43,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_packing": op5_packing,
     "op8_line_dedup": op8_line_dedup,
 }
 
