@@ -54,7 +54,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whatever their names, are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"))
-    groups = duplicate_groups(docs, id_col, text_col)
+    # written once: joined as a stored table, a hot text's rows can be split over tasks
+    groups = cut_lineage(duplicate_groups(docs, id_col, text_col), "duplicate_groups")
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return (rows.join(groups, "text_sha256", "left")
             .select("id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
