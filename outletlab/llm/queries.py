@@ -16,6 +16,7 @@ from outletlab.llm.licenses import license_scan
 from outletlab.llm.line_dedup import line_dedup
 from outletlab.llm.near_dedup import near_duplicates
 from outletlab.llm.packing import packed_documents
+from outletlab.llm.substring_dedup import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +64,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = turn_calls(table(spark, sf_dir, "conversations"))
     return format_tool_calls(calls, results, TURN_SCHEMAS)
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
 }
 
