@@ -7,10 +7,12 @@ the smallest (round, hash) it got, so no coordinate stays empty. Bands of five
 coordinates propose pairs; every link is confirmed on the full sets.
 
 Groups are never expanded into all pairs. Equal sets collapse to one
-representative first. In a band's bucket each member is first compared with
-one centre; the verified links are contracted to components; only buckets
-that still hold several components go on, the last time with every pair of
-different components, so nothing is capped.
+representative first. In a band's bucket each member is compared with one
+centre, first the member that shares most bands, then another; the verified
+links are contracted to components. What is left in buckets that still hold
+several components is finished exactly: each document posts only its rarest
+shingles, as many as it would have to differ in (prefix filter), and documents
+of different components that meet at one are verified. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -129,6 +131,41 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, _, data, offsets in text_blocks(batch.column(1)):
+            row, value = shingle_sets(data, offsets)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), pa.array(value.view(np.int64))], names=["id", "h"])
+
+
+def comparable(n: str, m: str) -> Column:
+    """Length filter: sets of these sizes can meet the threshold."""
+    return (F.lit(100) * F.least(n, m)) >= (F.lit(PERCENT) * F.greatest(n, m))
+
+
+def prefix_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (rep, rep2) of ``nodes`` (rep, n, label) with different labels
+    that can meet the threshold: an exact prefix-filter join.
+
+    A set of n shingles shares at least PERCENT of them with any partner, so
+    with all shingles in one order, the rarest first, the two must meet among
+    the first n - ceil(PERCENT * n / 100) + 1 of each. Shingles of one
+    document alone take their places in the order but join nothing.
+    """
+    rows = texts.join(nodes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "text")
+    rows = cut_lineage(rows.mapInArrow(_shingle_rows, StructType([texts.schema["id"], StructField("h", LongType())])), "open_shingles")
+    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    ordered = (rows.join(shared, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("in_order"))
+               .join(nodes.select(F.col("rep").alias("id"), "n", "label"), "id"))
+    places = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("in_order"))
+    posts = ordered.filter(places > 0).select(F.explode(F.slice("in_order", F.lit(1), places.cast("int"))).alias("at"), F.col("id").alias("rep"), "n", "label")
+    posts = cut_lineage(posts.select("at.h", "rep", "n", "label"), "posts")
+    mixed = posts.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
+    posts = cut_lineage(posts.join(mixed, "h", "left_semi"), "posts")
+    other = posts.select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+    return posts.join(other, "h").filter((F.col("label") < F.col("label2")) & comparable("n", "n2")).select("rep", "rep2")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest
     node reachable. Alternates large-star and small-star steps; minima are
@@ -170,15 +207,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = cut_lineage(source.mapInArrow(_sketch_batches, StructType(
         [StructField("id", id_type), *longs, StructField("bands", ArrayType(LongType()))])), "sketches")
     filled = sketches.filter("n > 0 AND id IS NOT NULL")
-    classes = filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
+    # stored, so that the rows of a hot set can be split over tasks when they join it
+    classes = cut_lineage(filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
     members = cut_lineage(filled.select("id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).select("id", "n", "rep")
                           .distinct(), "members")
     reps = members.filter("id = rep").select("rep").distinct()
     rows = (filled.join(reps, F.col("id") == F.col("rep"), "left_semi")
             .select(F.explode("bands").alias("key"), F.col("id").alias("rep"), "n").distinct())
     rows = cut_lineage(rows, "band_rows")
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    buckets = cut_lineage(rows.join(shared, "key", "left_semi"), "buckets")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    sized = cut_lineage(rows.join(shared, "key"), "sized_rows")
+    company = sized.groupBy("rep").agg(F.sum("c").alias("company"))
+    buckets = cut_lineage(sized.drop("c").join(company, "rep"), "buckets")
     nodes = buckets.select(F.col("rep").alias("id")).distinct()
     texts = cut_lineage(source.join(nodes, "id", "left_semi"), "candidate_texts")
 
@@ -197,29 +237,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_linked_batches, pairs.schema)
         links.append(cut_lineage(found, "links"))
 
-    def comparable(n: str, m: str):
-        return (F.lit(100) * F.least(n, m)) >= (F.lit(PERCENT) * F.greatest(n, m))
-
     roots = spark.createDataFrame([], StructType([StructField("node", id_type), StructField("root", id_type)]))
     open_rows = buckets.withColumn("label", F.col("rep"))
     for step in range(STAR_ROUNDS + 1):
         if step:
             roots = cut_lineage(components(reduce(DataFrame.union, links)), "roots")
             labelled = (buckets.join(roots, F.col("rep") == F.col("node"), "left")
-                        .select("key", "rep", "n", F.coalesce("root", "rep").alias("label")))
+                        .select("key", "rep", "n", "company", F.coalesce("root", "rep").alias("label")))
             mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
             open_rows = cut_lineage(labelled.join(mixed.select("key"), "key", "left_semi"), "open_rows")
             if open_rows.isEmpty():
                 break
         if step < STAR_ROUNDS:
-            order = F.xxhash64(F.col("rep"), F.lit(step))
-            others = open_rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "label")).alias("c")).select(
+            order = F.xxhash64("rep") if step else -F.col("company")
+            centres = open_rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "label")).alias("c")).select(
                 "key", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2"), F.col("c.label").alias("label2"))
-            joined = open_rows.join(others, "key").filter((F.col("label") != F.col("label2")) & comparable("n", "n2"))
+            pairs = open_rows.join(centres, "key").filter((F.col("label") != F.col("label2")) & comparable("n", "n2"))
         else:
-            others = open_rows.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-            joined = open_rows.join(others, "key").filter((F.col("label") < F.col("label2")) & comparable("n", "n2"))
-        test(joined.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
+            pairs = prefix_pairs(open_rows.select("rep", "n", "label").distinct(), texts)
+        test(pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
     else:
         roots = components(reduce(DataFrame.union, links))
     found = members.join(roots, F.col("rep") == F.col("node"), "left").select(
