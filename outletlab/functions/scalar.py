@@ -22,34 +22,6 @@ def to_double(c) -> Column:
     return col_(c).try_cast("double")
 
 
-def ratio(num, den) -> Column:
-    """num / den as double; NULL on a zero or missing divisor."""
-    return F.try_divide(to_double(num), to_double(den))
-
-
-def share(num, den, scale: int = 2) -> Column:
-    """Rounded share with 0 when undefined (zero divisor or missing input)."""
-    return F.coalesce(F.round(ratio(num, den), scale), F.lit(0.0))
-
-
-def relative_diff(a, b, scale: int = 2) -> Column:
-    """(a - b) / b, rounded, 0 when undefined."""
-    a, b = to_double(a), to_double(b)
-    return F.coalesce(F.round(F.try_divide(a - b, b), scale), F.lit(0.0))
-
-
-def three_month_mean(a, b, c, literal: bool = False) -> Column:
-    """Seasonal traffic level. ``literal=True`` keeps the original operator
-    precedence ``a + b + c/3``."""
-    a, b, c = to_double(a), to_double(b), to_double(c)
-    return a + b + c / F.lit(3.0) if literal else (a + b + c) / F.lit(3.0)
-
-
-def disc_density(x, radius) -> Column:
-    r = to_double(radius)
-    return F.try_divide(to_double(x), F.lit(conf.PI_APPROX) * r * r)
-
-
 def yyyymmdd_to_date(c) -> Column:
     return F.try_to_timestamp(col_(c), F.lit("yyyyMMdd")).cast("date")
 
@@ -89,11 +61,6 @@ def zero_default_sum(a, b, dtype: str) -> Column:
     return (F.coalesce(col_(a), zero) + F.coalesce(col_(b), zero)).cast(dtype)
 
 
-def strip_leading_zeros_code(c) -> Column:
-    """Numeric code kept as string without leading zeros (via BIGINT)."""
-    return col_(c).try_cast("bigint").cast("string")
-
-
 def clean_column_name(name: str) -> str:
     """Non-alphanumerics -> '_' (metadata only, applied on the driver)."""
     import re

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from outletlab import conf
 from outletlab.functions.stats import chi2_sf
-from outletlab.plans.joins import null_safe_keys
+from outletlab.plans.joins import broadcast_counted, null_safe_keys
 from outletlab.session import cut_lineage
 
 NULL_CATEGORY = "<NULL>"
+CORRELATIONS_PER_PASS = 200
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
 
@@ -55,26 +56,30 @@ def chi_square(df: DataFrame, features, label: str, alpha: float = conf.CHI_SQUA
     cont = contingency(df, features, label)
     if materialize:  # features x values x labels rows, read by every step below
         cont = cut_lineage(cont, "contingency")
-    row_m = cont.groupBy("feature", "label").agg(F.sum("n").alias("R"))
-    totals = row_m.groupBy("feature").agg(F.sum("R").alias("total"), F.count(F.lit(1)).alias("n_labels"))
+    # features x labels rows: counted, then broadcast, so that the cells (which
+    # grow with the values of continuous features) are not dealt by feature
+    row_m = broadcast_counted(cont.groupBy("feature", "label").agg(F.sum("n").alias("R")), "label_margins")
+    totals = broadcast_counted(row_m.groupBy("feature").agg(F.sum("R").alias("total"), F.count(F.lit(1)).alias("n_labels")), "feature_totals")
     col_w = Window.partitionBy("feature", "value")
-    cells = (cont.withColumn("C", F.sum("n").over(col_w))
+    cells = (cont.withColumn("C", F.sum("n").over(col_w)).withColumn("first_of_value", F.row_number().over(col_w.orderBy("label")) == 1)
              .join(row_m, ["feature", "label"]).join(totals, "feature"))
     e = F.col("R").cast("double") * F.col("C") / F.col("total")
     cells = cells.withColumn("E", e)
     plain = cells.groupBy("feature").agg(
         F.sum((F.col("n") - F.col("E")) * (F.col("n") - F.col("E")) / F.col("E")).alias("obs_part"),
         F.sum("E").alias("obs_e"),
-        F.countDistinct("value").alias("n_values"),
+        F.sum(F.col("first_of_value").cast("long")).alias("n_values"),
         F.first("total").alias("total"), F.first("n_labels").alias("n_labels"))
     plain = plain.withColumns({
         "chi2_plain": F.col("obs_part") + (F.col("total") - F.col("obs_e")),
         "dof": (F.col("n_labels") - 1) * (F.col("n_values") - 1),
     })
+    plain = broadcast_counted(plain, "plain_statistics")  # one row a feature
     # Yates: features with a 2x2 table, all four cells (unobserved ones with O = 0).
-    two = plain.filter(F.col("dof") == 1).select("feature", "total")
-    col_m = cont.groupBy("feature", "value").agg(F.sum("n").alias("C")).join(two, "feature")
-    grid = col_m.join(row_m, "feature").join(cont, ["feature", "value", "label"], "left")
+    two = plain.filter("dof = 1").select("feature", "total")
+    small = cont.join(F.broadcast(two), "feature")  # four cells a feature at most
+    grid = (small.groupBy("feature", "value", "total").agg(F.sum("n").alias("C"))
+            .join(row_m, "feature").join(small.select("feature", "value", "label", "n"), ["feature", "value", "label"], "left"))
     dev = F.abs(F.coalesce(F.col("n"), F.lit(0)) - F.col("R").cast("double") * F.col("C") / F.col("total"))
     ex = F.col("R").cast("double") * F.col("C") / F.col("total")
     yates = grid.groupBy("feature").agg(
@@ -111,13 +116,16 @@ def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame
 
     nn = [(a, b) for a, b in pairs if a in numeric and b in numeric]
     if nn:
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-                       for i, (a, b) in enumerate(nn)])
-        parts.append(row.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                     F.lit("pearson").alias("kind"),
-                     F.nanvl(F.col(f"p{i}"), F.lit(None).cast("double")).alias("assoc"))
-            for i, (a, b) in enumerate(nn)]))))
+        # in blocks: one aggregate with a correlation a pair grows as the columns squared
+        for lo in range(0, len(nn), CORRELATIONS_PER_PASS):
+            block = nn[lo:lo + CORRELATIONS_PER_PASS]
+            row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
+                           for i, (a, b) in enumerate(block)])
+            parts.append(row.select(F.inline(F.array(*[
+                F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                         F.lit("pearson").alias("kind"),
+                         F.nanvl(F.col(f"p{i}"), F.lit(None).cast("double")).alias("assoc"))
+                for i, (a, b) in enumerate(block)]))))
 
     cc = [(a, b) for a, b in pairs if a in categorical and b in categorical]
     if cc:
@@ -127,17 +135,19 @@ def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame
             for i, (a, b) in enumerate(cc)])).alias("x")).select("x.*")
         long = long.filter(F.col("va").isNotNull() & F.col("vb").isNotNull())
         cnt = long.groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("n"))
+        if materialize:
+            cnt = cut_lineage(cnt, "category_cells")
         # margins as aggregates joined back (no window over a value's or a
         # pair's rows, which a high-cardinality feature would make unbounded)
         ma = cnt.groupBy("pair", "va").agg(F.sum("n").alias("A"))
         mb = cnt.groupBy("pair", "vb").agg(F.sum("n").alias("B"))
-        mt = cnt.groupBy("pair").agg(F.sum("n").alias("T"))
+        mt = broadcast_counted(ma.groupBy("pair").agg(F.sum("A").alias("T"), F.count(F.lit(1)).alias("ra")), "pair_totals")
+        width = broadcast_counted(mb.groupBy("pair").agg(F.count(F.lit(1)).alias("rb")), "pair_widths")
         cnt = cnt.join(ma, ["pair", "va"]).join(mb, ["pair", "vb"]).join(mt, "pair")
         ex = F.col("A").cast("double") * F.col("B") / F.col("T")
         per = cnt.groupBy("pair").agg(
             F.sum((F.col("n") - ex) * (F.col("n") - ex) / ex).alias("obs_part"),
-            F.sum(ex).alias("obs_e"), F.first("T").alias("T"),
-            F.countDistinct("va").alias("ra"), F.countDistinct("vb").alias("rb"))
+            F.sum(ex).alias("obs_e"), F.first("T").alias("T"), F.first("ra").alias("ra")).join(width, "pair")
         chi2 = F.col("obs_part") + (F.col("T") - F.col("obs_e"))
         k = F.least("ra", "rb") - 1
         v = F.when(k > 0, F.sqrt(chi2 / (F.col("T") * k)))
@@ -155,15 +165,16 @@ def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame
                      F.col(cat_num(a, b)[1]).cast("double").alias("y"))
             for i, (a, b) in enumerate(cn)])).alias("x")).select("x.*")
         long = long.filter(F.col("va").isNotNull() & F.col("y").isNotNull())
-        grp = long.groupBy("pair", "va").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"),
-                                             F.sum(F.col("y") * F.col("y")).alias("syy"))
-        per = grp.groupBy("pair").agg(
-            F.sum("n").alias("n"), F.sum("sy").alias("sy"), F.sum("syy").alias("syy"),
-            F.sum(F.col("sy") * F.col("sy") / F.col("n")).alias("between_raw"))
-        mean_term = F.col("sy") * F.col("sy") / F.col("n")
-        ssb = F.col("between_raw") - mean_term
-        sst = F.col("syy") - mean_term
-        eta = F.when(sst > 0, F.sqrt(F.greatest(F.lit(0.0), ssb) / sst))
+        # centred second moments: sums of squares would cancel for large means
+        grp = long.groupBy("pair", "va").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v"))
+        if materialize:
+            grp = cut_lineage(grp, "category_means")
+        centre = broadcast_counted(grp.groupBy("pair").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("c")), "pair_means")
+        shift = (F.col("m") - F.col("c")) * (F.col("m") - F.col("c")) * F.col("n")
+        per = grp.join(centre, "pair").groupBy("pair").agg(
+            F.sum(shift).alias("between"), F.sum(F.col("n") * F.col("v")).alias("within"))
+        sst = F.col("between") + F.col("within")
+        eta = F.when(sst > 0, F.sqrt(F.col("between") / sst))
         names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in cn])
         parts.append(per.select(F.element_at(names, F.col("pair") + 1).a.alias("feature_a"),
                                 F.element_at(names, F.col("pair") + 1).b.alias("feature_b"),
@@ -195,31 +206,33 @@ def split_labels(df: DataFrame, label: str, key: str, frac: float = conf.TRAIN_F
                  bucket_hex: int = 5) -> DataFrame:
     """Add ``split`` = 'train' / 'test': per label the floor(frac * n) rows
     with the smallest (md5(key), key) are train. Reproducible whatever the
-    partitioning.
+    partitioning. A NULL key sorts first; equal keys go to the same part.
 
     No window runs over a whole label: rows are counted per (label, hash
-    bucket) (16^bucket_hex buckets), a running count over that small table
-    gives each bucket's offset and the label's cut, and rows are ranked only
-    inside their own (label, bucket) partition.
+    bucket), a running count over that table (at most 16^bucket_hex rows a
+    label) names the bucket in which the label's cut lies, only the rows of
+    that bucket are ranked, and every row is compared with its label's cut.
     """
-    h = F.md5(F.col(key).cast("string"))
-    rows = df.withColumns({"_h": h, "_b": F.conv(F.substring(h, 1, bucket_hex), 16, 10).cast("bigint")})
+    tag = {"_h": F.coalesce(F.md5(F.col(key).cast("string").cast("binary")), F.lit("")), "_key": F.coalesce(F.col(key).cast("string"), F.lit(""))}
+    rows = df.withColumns(tag).withColumn("_b", F.coalesce(F.conv(F.substring("_h", 1, bucket_hex), 16, 10).cast("bigint"), F.lit(-1)))
     buckets = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(label).orderBy("_b")
     buckets = buckets.withColumns({
         "_before": F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_k": F.floor(F.lit(frac) * F.sum("_cnt").over(Window.partitionBy(label))),
-    }).drop("_cnt")
-    buckets, cond = null_safe_keys(rows, buckets, [label, "_b"])
-    rows = rows.join(buckets, cond, "left").drop(f"{label}__r", "_b__r")
-    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
-    split = F.when(F.col("_before") + rank <= F.col("_k"), F.lit("train")).otherwise(F.lit("test"))
-    return rows.withColumn("split", split).select(*df.columns, "split")
+    })
+    edge = broadcast_counted(buckets.filter("_before < _k AND _k <= _before + _cnt").drop("_cnt"), "split_buckets")  # one a label
+    edge, cond = null_safe_keys(rows, edge, [label, "_b"])
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", "_key"))
+    cuts = (rows.join(edge, cond).withColumn("_rank", rank).filter("_before + _rank = _k")
+            .select(label, F.struct("_h", "_key").alias("_cut")))
+    cuts, cond = null_safe_keys(rows, broadcast_counted(cuts, "split_cuts"), [label])
+    is_train = F.struct("_h", "_key") <= F.col("_cut")
+    split = F.when(is_train, F.lit("train")).otherwise(F.lit("test"))
+    return rows.join(cuts, cond, "left").withColumn("split", split).select(*[rows[c] for c in df.columns], "split")
 
 
 def stratified_split_train_test(df: DataFrame, frac: float, label: str, join_on: str):
-    """(train, test): test is the complement of train on the key."""
-    tagged = split_labels(df, label, join_on, frac)
-    train = tagged.filter(F.col("split") == "train").drop("split")
-    test = df.join(train.select(join_on), join_on, "left_anti")
-    return train, test
+    """(train, test) from one run of the split, so no row is in both."""
+    tagged = cut_lineage(split_labels(df, label, join_on, frac), "split")
+    return tuple(tagged.filter(F.col("split") == part).drop("split") for part in ("train", "test"))

@@ -1,10 +1,9 @@
 """Join-strategy helpers.
 
-Broadcasts are only forced where a side is provably small: either by the
-optimizer's size estimate of the plan (checked here, with a shuffle join as
-the other way) or because it is a one-row aggregate. Everything else is left
-to AQE, which converts a sort-merge join to a broadcast join only after it has
-measured the real size of the small side at run time.
+A broadcast is only forced after the side has been written and counted (or
+when it is a one-row aggregate). Everything else is left to AQE, which
+converts a sort-merge join to a broadcast join only after it has measured the
+real size of the small side at run time.
 """
 
 from __future__ import annotations
@@ -12,26 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+from outletlab.session import cut_lineage
 
+BROADCAST_ROWS = 200_000
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # Spark Connect or an estimate that cannot be made
-        return None
 
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast when the estimate is below ``max_bytes``; otherwise
-    return the frame unchanged so the planner shuffles (AQE may still
-    broadcast it once the real size is known)."""
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+def broadcast_counted(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS, required: bool = False) -> DataFrame:
+    """``df`` written once and marked for broadcast if it has at most
+    ``max_rows`` rows. A larger one is returned as stored, so that the planner
+    shuffles, or refused when ``required``: then the caller knows a bound (days
+    of a calendar, codes of a country) and a shuffle on the key would gather
+    the fact rows in a few tasks."""
+    stored = cut_lineage(df, name)
+    rows = stored.count()
+    if rows <= max_rows:
+        return F.broadcast(stored)
+    if required:
+        raise ValueError(f"{name} has {rows} rows; at most {max_rows} can be broadcast")
+    return stored
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys, suffix: str = "__r"):

@@ -40,27 +40,39 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach; it is
-    read, never overridden. Only when it is unset (local tests) a private
-    scratch folder is created and registered.
+    read, never overridden, and required. Only a local master, whose tasks
+    share the driver's disk, gets a private folder when it is unset (tests).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="outletlab-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # core conf not settable at run time: the context keeps it
-            pass
-        spark.sparkContext.setCheckpointDir(path)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+_scratch: dict[str, list[str]] = {}  # by application: the copies its runs have made
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the copies this application has written to the shared folder;
+    for the end of a run, when no frame that reads them is used any more."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
 
 
 def cut_lineage(df, name: str = "stage"):
@@ -72,10 +84,9 @@ def cut_lineage(df, name: str = "stage"):
     statistics, and it lives on storage every executor reaches, so losing an
     executor never sends recomputation further back than this point.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "cut_lineage"]
+__all__ = ["get_spark", "checkpoint_root", "scratch_path", "drop_scratch", "cut_lineage"]

@@ -39,10 +39,12 @@ def read_partitioned_by_dimension(spark: SparkSession, root: str, partition_colu
     """Rows of the partitions named by ``dimension`` (one column named
     ``partition_column``): a left-semi join on the partition column, which
     Spark turns into dynamic partition pruning of the scan."""
-    from outletlab.plans.joins import broadcast_if_small
+    from outletlab.plans.joins import BROADCAST_ROWS
 
     df = read_partitioned(spark, root, partition_column, schema=schema)
-    keys = broadcast_if_small(dimension.select(partition_column).distinct())
+    keys = dimension.select(partition_column).distinct()
+    if dimension.count() <= BROADCAST_ROWS:  # codes of countries
+        keys = F.broadcast(keys)
     return df.join(keys, partition_column, "left_semi")
 
 
@@ -107,7 +109,11 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") ->
     return df.sparkSession.table(name)
 
 
-def load_latest_csv(spark: SparkSession, root: str, schema: StructType, sep: str = ",") -> DataFrame:
-    """The data set the newest file under ``root`` belongs to, read as CSV
-    with header and an explicit schema."""
-    return read_csv(spark, latest_dataset_directory(spark, root), schema, sep)
+def load_latest_csv(spark: SparkSession, root: str, sep: str = ",") -> DataFrame:
+    """The data set the newest file under ``root`` belongs to, read as CSV.
+    Columns are strings named by the header, whatever their order, and a file
+    whose header differs from the first one's is an error."""
+    path = latest_dataset_directory(spark, root)
+    named = spark.read.option("header", True).option("sep", sep).csv(path)  # reads one header, infers nothing
+    return (spark.read.schema(string_schema(named.columns)).option("header", True).option("sep", sep)
+            .option("enforceSchema", False).csv(path))

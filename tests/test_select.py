@@ -4,6 +4,7 @@ import math
 
 import pytest
 
+from outletlab.functions import stats
 from outletlab.functions.stats import chi2_sf_scalar
 from outletlab.operators import select as sel
 
@@ -19,6 +20,19 @@ def test_chi2_survival_known_values():
     assert chi2_sf_scalar(0.0, 3) == 1.0 and chi2_sf_scalar(5.0, 0) == 1.0
 
 
+def test_chi2_survival_at_any_size():
+    """No cap: statistic half a deviation under the mean, up to 1e9 degrees of freedom."""
+    for dof in (1e3, 1e4, 1e5, 1e6, 1e7, 1e8, 1e9):
+        for z in (-3.0, -0.5, 0.0, 2.0):
+            x = dof + z * math.sqrt(2 * dof)
+            t = (x / dof) ** (1 / 3)  # cube-root approximation, good to 1 / dof
+            approx = 0.5 * math.erfc((t - (1 - 2 / (9 * dof))) / math.sqrt(2 / (9 * dof)) / math.sqrt(2))
+            assert abs(chi2_sf_scalar(x, dof) - approx) < 3e-4 / math.sqrt(dof / 1e3)
+    for dof in (9_990, 10_000, 10_010):  # the two methods meet
+        assert abs(stats._upper_uniform(dof / 2, 4_970.0) - (1 - stats._lower_series(dof / 2, 4_970.0))) < 1e-9
+    assert chi2_sf_scalar(float("inf"), 3) == 0.0 and math.isnan(chi2_sf_scalar(float("nan"), 3))
+
+
 def expected_chi2(table, yates):
     rows = [sum(r) for r in table]
     cols = [sum(c) for c in zip(*table)]
@@ -102,3 +116,21 @@ def test_stratified_split_properties(spark, parts):
     tr = {r.CUSTOMER for r in train.collect()}
     te = {r.CUSTOMER for r in test.collect()}
     assert not (tr & te) and len(tr | te) == 500
+
+
+def test_null_and_repeated_keys_are_in_one_part(spark):
+    rows = [(None, "A"), ("a", "A"), ("c", "A"), ("d", "A"), ("e", "A"), ("e", "A"), ("z", None), ("y", None)]
+    df = spark.createDataFrame(rows, "CUSTOMER string, label string")
+    train, test = sel.stratified_split_train_test(df, 0.5, "label", "CUSTOMER")
+    tr, te = ([(r.CUSTOMER, r.label) for r in part.collect()] for part in (train, test))
+    assert sorted(map(str, tr + te)) == sorted(map(str, rows)) and not set(tr) & set(te)
+    assert (None, "A") in tr
+
+
+def test_eta_does_not_depend_on_the_offset(spark):
+    rows = [(str(i % 7), (i * 37 % 101) / 10 + (i % 7)) for i in range(1000)]
+    eta = []
+    for offset in (0.0, 1e9):
+        df = spark.createDataFrame([(k, y + offset) for k, y in rows], "k string, y double")
+        eta.append(sel.associations(df, ["k", "y"]).first().assoc)
+    assert abs(eta[0] - eta[1]) < 1e-6 and 0.3 < eta[0] < 1
