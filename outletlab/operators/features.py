@@ -1,8 +1,11 @@
 """Source feature builders: coolers, demographics, customer master, sales.
 
-Each builder is a pure function of DataFrames and parameters. Scalars that
-the data determines (latest period) stay inside the plan as scalar
-subqueries, so each builder is one lazy plan with no driver round trip.
+Each builder is a function of DataFrames and parameters. Scalars that the
+data determines stay inside the plan as scalar
+subqueries where the plan allows it; the latest period and the window's bounds
+are read in one small job each, so that filters carry literals, and tables that
+later steps read again (calendar days, monthly sales, lines with gaps) are
+written once.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 
 from outletlab import conf
 from outletlab.functions import scalar as S
-from outletlab.plans.joins import broadcast_if_small
+from outletlab.plans.joins import broadcast_counted
 from outletlab.session import cut_lineage
 from outletlab.spec import FeatureSpec, apply_specs, conjunction
 
@@ -199,7 +202,8 @@ def sales_lines(raw: DataFrame, calendar: DataFrame, sales_orgs=None, filters=SA
     if sales_orgs is not None and "SALESORG" in raw.columns:
         df = df.filter(F.col("SALESORG").isin(list(sales_orgs)))
     df = apply_specs(df, SALES_LINE_SPECS).withColumnRenamed("FIELDNM005", "CURRENCY").drop("FISCPER")
-    days = broadcast_if_small(calendar.select("CALDAY", "FISCPER").distinct())
+    # one row a day: bounded by the calendar, whatever the size of the sales
+    days = broadcast_counted(calendar.select("CALDAY", "FISCPER").distinct(), "calendar_days", required=True)
     return df.join(days, on="CALDAY", how="left").select(
         "CUSTOMER", "CALDAY", "FISCPER", "MATERIAL", "Direct_Sales_Volume_in_UC",
         "Indirect_Sales_Volume_in_UC", "Direct_Sales_NSR", "Indirect_Sales_NSR", "CURRENCY")
@@ -254,19 +258,19 @@ def sales_amounts(lines: DataFrame) -> DataFrame:
     )
 
 
-def impute_unique_currency(lines: DataFrame) -> DataFrame:
+def impute_unique_currency(lines: DataFrame, materialize: bool = True) -> DataFrame:
     """Customers with exactly one known currency get it on lines without one;
-    remaining gaps become 'NA'."""
-    unique = (lines.filter(F.col("CURRENCY").isNotNull())
-              .groupBy("CUSTOMER")
-              .agg(F.count_distinct("CURRENCY").alias("currency_options"),
-                   F.min("CURRENCY").alias("UNIQUE_CURRENCY"))
-              .filter(F.col("currency_options") == 1)
-              .drop("currency_options"))
-    out = (lines.join(unique, on="CUSTOMER", how="left")
-           .withColumn("CURRENCY", F.coalesce("CURRENCY", "UNIQUE_CURRENCY"))
-           .fillna("NA", subset=["CURRENCY"]))
-    return out.select(*lines.columns)
+    remaining gaps become 'NA'. Only lines with a gap are joined; the others
+    never leave their partition. With ``materialize`` the lines are written
+    once for the three reads."""
+    if materialize:
+        lines = cut_lineage(lines, "currency_lines")
+    known, gaps = lines.filter("CURRENCY IS NOT NULL"), lines.filter("CURRENCY IS NULL")
+    unique = (known.groupBy("CUSTOMER")
+              .agg(F.min("CURRENCY").alias("UNIQUE_CURRENCY"), F.max("CURRENCY").alias("last_currency"))
+              .filter("UNIQUE_CURRENCY = last_currency").drop("last_currency"))
+    filled = gaps.join(unique, on="CUSTOMER", how="left").withColumn("CURRENCY", F.coalesce("UNIQUE_CURRENCY", F.lit("NA")))
+    return known.unionByName(filled.select(*lines.columns))
 
 
 SALES_VOLUME_MEAN = "Sales_Volume_in_UC_rolling_xmonths_back_avg"
