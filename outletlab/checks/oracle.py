@@ -207,7 +207,7 @@ STAR_COLUMNS = conf.CUSTOMER_COLUMNS + [c for c in DEMO_COLUMNS
                                         if c not in ("CUSTOMER", "LONGITUDE", "LATITUDE")]
 CHECK_COLUMNS = DEMO_NUMERIC + ["LONGITUDE", "LATITUDE", "_BIC_CDMD_AREA", "CUSTOMER"]
 COMPLETE = "(" + " AND ".join(f"{q(c)} IS NOT NULL" for c in CHECK_COLUMNS) + ")"
-FILL_COLUMNS = DEMO_NUMERIC + ["_BIC_CDMD_AREA"]
+FILL_COLUMNS = DEMO_NUMERIC  # the area of a customer is never imputed
 
 
 def star_ctes(p: str, as_of) -> str:
@@ -392,12 +392,12 @@ def chi_square() -> str:
 
 def chi_square_selection() -> str:
     """p = 1 - P(dof/2, chi2/2), P by its power series
-    sum_n exp((a + n) ln x - x - lgamma(a + n + 1)) (independent of the
-    continued fraction used on the Spark side)."""
+    sum_n exp((a + n) ln x - x - lgamma(a + n + 1)), taken well past its
+    largest term (independent of the methods used on the Spark side)."""
     return chi_square_ctes() + f""",
 series AS (
   SELECT feature, sum(exp((dof / 2.0 + t.n) * ln(chi2 / 2.0) - chi2 / 2.0 - lgamma(dof / 2.0 + t.n + 1))) AS lower_p
-  FROM chi, (SELECT range AS n FROM range(0, 20000)) t
+  FROM chi, (SELECT unnest(range(0, (SELECT CAST(max(chi2) + 50 * sqrt(max(chi2)) + 200 AS BIGINT) FROM chi))) AS n) t
   WHERE dof > 0 AND chi2 > 0 GROUP BY feature),
 pv AS (
   SELECT chi.feature, chi.dof, chi.chi2,
@@ -465,7 +465,7 @@ def stratified_split() -> str:
 cust AS ({customer_select(P.AS_OF)}),
 lab AS (SELECT CUSTOMER, CUST_CCAF_GROUP AS targetVar FROM cust WHERE CUST_CCAF_GROUP <> '{conf.LABEL_EXCLUDED}'),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY targetVar ORDER BY md5(CUSTOMER), CUSTOMER) AS rn,
+  SELECT *, row_number() OVER (PARTITION BY targetVar ORDER BY coalesce(md5(CUSTOMER), ''), coalesce(CUSTOMER, '')) AS rn,
          count(*) OVER (PARTITION BY targetVar) AS cnt
   FROM lab)
 SELECT CUSTOMER, targetVar, CASE WHEN rn <= floor({conf.TRAIN_FRACTION} * cnt) THEN 'train' ELSE 'test' END AS split
@@ -483,17 +483,17 @@ ORACLE.update({
 
 # ------------------------------------------------------------- evaluation
 
-EVAL_CTES = """,
-scored AS (SELECT * FROM predictions WHERE labelName <> 'Other'),
-cm AS (SELECT Holdout, label, prediction, count(*) AS n FROM scored GROUP BY Holdout, label, prediction),
-cls AS (SELECT Holdout, label AS class FROM cm UNION SELECT Holdout, prediction FROM cm),
+def eval_ctes(label: str = "label", prediction: str = "prediction") -> str:
+    return f""",
+scored AS (SELECT *, {label} AS act, {prediction} AS pre FROM predictions WHERE labelName <> 'Other'),
+cm AS (SELECT Holdout, act, pre, count(*) AS n FROM scored WHERE act IS NOT NULL AND pre IS NOT NULL GROUP BY Holdout, act, pre),
+cls AS (SELECT Holdout, act AS class FROM cm UNION SELECT Holdout, pre FROM cm),
 st AS (
   SELECT c.Holdout, c.class,
-    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout AND cm.label = c.class
-              AND cm.prediction = c.class), 0) AS tp,
-    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout AND cm.label = c.class), 0) AS actual,
-    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout AND cm.prediction = c.class), 0) AS predicted,
-    (SELECT sum(n) FROM cm WHERE cm.Holdout = c.Holdout) AS total
+    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout IS NOT DISTINCT FROM c.Holdout AND act = c.class AND pre = c.class), 0) AS tp,
+    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout IS NOT DISTINCT FROM c.Holdout AND act = c.class), 0) AS actual,
+    coalesce((SELECT sum(n) FROM cm WHERE cm.Holdout IS NOT DISTINCT FROM c.Holdout AND pre = c.class), 0) AS predicted,
+    (SELECT sum(n) FROM cm WHERE cm.Holdout IS NOT DISTINCT FROM c.Holdout) AS total
   FROM cls c),
 st2 AS (
   SELECT *, CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS prec,
@@ -506,39 +506,56 @@ overall AS (
     sum(CAST(actual AS DOUBLE) / total * rec) AS weighted_recall,
     sum(CAST(actual AS DOUBLE) / total * f1) AS weighted_f1
   FROM st3 GROUP BY Holdout),
-per AS (SELECT Holdout, probability, label, count(*) AS n FROM scored GROUP BY Holdout, probability, label),
-sc AS (SELECT Holdout, probability, sum(n) AS cnt FROM per GROUP BY Holdout, probability),
+ranked AS (SELECT Holdout, act, probability AS p FROM scored WHERE probability IS NOT NULL AND act IS NOT NULL),
 rk AS (
-  SELECT *, coalesce(sum(cnt) OVER (PARTITION BY Holdout ORDER BY probability
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-            + (cnt + 1) / 2.0 AS avg_rank
-  FROM sc),
-pos AS (
-  SELECT p.Holdout, p.label AS class, sum(p.n * r.avg_rank) AS rank_sum, sum(p.n) AS n_pos
-  FROM per p JOIN rk r ON p.Holdout = r.Holdout AND p.probability = r.probability
-  GROUP BY p.Holdout, p.label),
-tot AS (SELECT Holdout, sum(n) AS n_all FROM per GROUP BY Holdout),
+  SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY Holdout, p) - 1) / 2.0 AS r, count(*) OVER (PARTITION BY Holdout) AS n_all
+  FROM ranked WINDOW w AS (PARTITION BY Holdout ORDER BY p)),
 auc AS (
-  SELECT pos.Holdout, pos.class, pos.n_pos,
-    CASE WHEN n_pos > 0 AND n_all - n_pos > 0
-         THEN (rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * (n_all - n_pos)) END AS auc
-  FROM pos JOIN tot ON pos.Holdout = tot.Holdout)"""
+  SELECT Holdout, act AS class, count(*) AS n_pos,
+    CASE WHEN max(n_all) > count(*)
+         THEN (sum(r) - count(*) * (count(*) + 1) / 2.0) / (count(*) * (max(n_all) - count(*))) END AS auc
+  FROM rk GROUP BY Holdout, act)"""
 
 
-def _eval(tail: str) -> str:
-    return with_views("predictions") + EVAL_CTES + "\n" + tail
+def _eval(tail: str, **names) -> str:
+    return with_views("predictions") + eval_ctes(**names) + "\n" + tail
 
 
 def confusion_matrix() -> str:
-    return _eval("SELECT * FROM cm")
+    return _eval("SELECT Holdout, label, prediction, count(*) AS n FROM scored GROUP BY ALL")
 
 
-def classification_metrics() -> str:
+def confusion_matrix_wide() -> str:
+    names = ("Platinum", "Gold", "Silver", "Bronze", "Iron", "Other")
+    counts = ", ".join(f"count(*) FILTER (WHERE predictionName = '{c}') AS {q(c)}" for c in names)
+    return _eval(f"SELECT Holdout, labelName, {counts} FROM scored GROUP BY Holdout, labelName")
+
+
+def auc_one_vs_one() -> str:
+    """By counting: of all pairs of rows, one of either class, the share in
+    which the class's own score ranks them right (ties count half)."""
+    names = ("Iron", "Bronze", "Silver", "Gold")
+    sides = [f"""
+  SELECT x.Holdout, '{a}-{b}' AS pair,
+    avg(CASE WHEN x.{q(own)} > y.{q(own)} THEN 1.0 WHEN x.{q(own)} = y.{q(own)} THEN 0.5 ELSE 0.0 END) AS auc
+  FROM scored x JOIN scored y ON x.Holdout IS NOT DISTINCT FROM y.Holdout
+   AND x.labelName = '{own}' AND y.labelName = '{b if own == a else a}'
+   AND x.{q(a)} IS NOT NULL AND x.{q(b)} IS NOT NULL AND y.{q(a)} IS NOT NULL AND y.{q(b)} IS NOT NULL
+  GROUP BY x.Holdout""" for i, a in enumerate(names) for b in names[i + 1:] for own in (a, b)]
+    return _eval(f"""SELECT Holdout, round(avg(auc), 9) + 0.0 AS auc FROM (
+  SELECT Holdout, pair, avg(auc) AS auc FROM ({' UNION ALL '.join(sides)}) s GROUP BY Holdout, pair) p GROUP BY Holdout""")
+
+
+def named_class_metrics() -> str:
+    return classification_metrics("VARCHAR", label="labelName", prediction="predictionName")
+
+
+def classification_metrics(kind: str = "DOUBLE", **names) -> str:
     parts = [f"SELECT Holdout, '{m}' AS metric, class, round({c}, 9) + 0.0 AS value FROM st3"
              for m, c in (("precision", "prec"), ("recall", "rec"), ("f1", "f1"))]
-    parts += [f"SELECT Holdout, '{m}' AS metric, CAST(NULL AS DOUBLE) AS class, round({m}, 9) + 0.0 AS value "
+    parts += [f"SELECT Holdout, '{m}' AS metric, CAST(NULL AS {kind}) AS class, round({m}, 9) + 0.0 AS value "
               f"FROM overall" for m in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]
-    return _eval("\nUNION ALL\n".join(parts))
+    return _eval("\nUNION ALL\n".join(parts), **names)
 
 
 def auc_by_class() -> str:
@@ -549,11 +566,14 @@ def metric_table() -> str:
     return _eval("""SELECT o.Holdout, round(accuracy, 9) + 0.0 AS accuracy,
   round(weighted_precision, 9) + 0.0 AS weighted_precision, round(weighted_recall, 9) + 0.0 AS weighted_recall,
   round(weighted_f1, 9) + 0.0 AS weighted_f1,
-  round((SELECT sum(auc * n_pos) / sum(n_pos) FROM auc WHERE auc.Holdout = o.Holdout), 9) + 0.0 AS auc
+  round((SELECT sum(auc * n_pos) / sum(n_pos) FROM auc WHERE auc.Holdout IS NOT DISTINCT FROM o.Holdout), 9) + 0.0 AS auc
 FROM overall o""")
 
 
 ORACLE.update({
+    "confusion_matrix_wide": confusion_matrix_wide,
+    "named_class_metrics": named_class_metrics,
+    "auc_one_vs_one": auc_one_vs_one,
     "confusion_matrix": confusion_matrix,
     "classification_metrics": classification_metrics,
     "auc_by_class": auc_by_class,

@@ -236,7 +236,29 @@ def metric_table(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.round(c, METRIC_DIGITS) for c in out.columns if c != "Holdout"})
 
 
+CLASS_NAMES = ["Platinum", "Gold", "Silver", "Bronze", "Iron", "Other"]
+SCORED_CLASSES = ["Iron", "Bronze", "Silver", "Gold"]
+
+
+def confusion_matrix_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return me.confusion_matrix_wide(_predictions(spark, sf), "labelName", "predictionName", by="Holdout", classes=CLASS_NAMES)
+
+
+def named_class_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of classes called by name."""
+    out = me.classification_metrics(_predictions(spark, sf), "labelName", "predictionName", by="Holdout")
+    return out.withColumn("value", F.round("value", METRIC_DIGITS))
+
+
+def auc_one_vs_one(spark: SparkSession, sf: str) -> DataFrame:
+    out = me.auc_one_vs_one(_predictions(spark, sf), "labelName", {c: c for c in SCORED_CLASSES}, by="Holdout")
+    return out.withColumn("auc", F.round("auc", METRIC_DIGITS))
+
+
 QUERIES.update({
+    "confusion_matrix_wide": confusion_matrix_wide,
+    "named_class_metrics": named_class_metrics,
+    "auc_one_vs_one": auc_one_vs_one,
     "confusion_matrix": confusion_matrix,
     "classification_metrics": classification_metrics,
     "auc_by_class": auc_by_class,

@@ -1,11 +1,9 @@
 """Source feature builders: coolers, demographics, customer master, sales.
 
-Each builder is a function of DataFrames and parameters. Scalars that the
-data determines stay inside the plan as scalar
-subqueries where the plan allows it; the latest period and the window's bounds
-are read in one small job each, so that filters carry literals, and tables that
-later steps read again (calendar days, monthly sales, lines with gaps) are
-written once.
+Each builder is a function of DataFrames and parameters. The latest period and
+the window's bounds are read in one small job each, so that filters carry
+literals that reach the scan; tables that later steps read again (calendar
+days, monthly sales) are written once.
 """
 
 from __future__ import annotations
@@ -258,11 +256,12 @@ def sales_amounts(lines: DataFrame) -> DataFrame:
     )
 
 
-def impute_unique_currency(lines: DataFrame, materialize: bool = True) -> DataFrame:
+def impute_unique_currency(lines: DataFrame, materialize: bool = False) -> DataFrame:
     """Customers with exactly one known currency get it on lines without one;
     remaining gaps become 'NA'. Only lines with a gap are joined; the others
-    never leave their partition. With ``materialize`` the lines are written
-    once for the three reads."""
+    never leave their partition. The lines are read three times, once for two
+    columns only; ``materialize`` writes them first, for lines that are costly
+    to make."""
     if materialize:
         lines = cut_lineage(lines, "currency_lines")
     known, gaps = lines.filter("CURRENCY IS NOT NULL"), lines.filter("CURRENCY IS NULL")

@@ -31,8 +31,7 @@ def completeness(cols) -> F.Column:
 
 def nearest_donors(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: str = "LATITUDE",
                    lon: str = "LONGITUDE", area: str = "_BIC_CDMD_AREA",
-                   max_km: float = conf.NEAREST_MAX_KM, levels: int = 2,
-                   materialize: bool = True) -> DataFrame:
+                   max_km: float = conf.NEAREST_MAX_KM, materialize: bool = True) -> DataFrame:
     """(key, DONOR, distance_km) for incomplete rows with coordinates whose
     nearest complete row is closer than ``max_km``."""
     check = list(numeric_cols) + [lon, lat, area, key]
@@ -42,33 +41,37 @@ def nearest_donors(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: s
     donors = base.filter("_complete").select(F.col(key).alias("DONOR"), lat, lon)
     queries = base.filter(~F.col("_complete")).select(key, lat, lon)
     return nearest_within(queries, donors, key=key, donor_key="DONOR", lat=lat, lon=lon,
-                          max_km=max_km, levels=levels)
+                          max_km=max_km)
 
 
 def impute_nearest(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: str = "LATITUDE",
                    lon: str = "LONGITUDE", area: str = "_BIC_CDMD_AREA",
-                   max_km: float = conf.NEAREST_MAX_KM, levels: int = 2,
+                   max_km: float = conf.NEAREST_MAX_KM,
                    area_fallback: bool = False, materialize: bool = True) -> DataFrame:
     """Rows with any missing measure take each missing value from their
     nearest complete row within ``max_km``; other rows are unchanged.
 
-    Only incomplete rows travel through the spatial join; the donor values
-    are attached to them by donor key and the result is joined back to the
-    input on ``key`` (one shuffle of the input, on its own key).
-    ``area_fallback=True`` additionally fills values still missing on rows
-    that have coordinates but no donor within range with the mean of the
-    known values in the same ``area``.
+    Only incomplete rows travel through the spatial join; the values of the
+    donors that were chosen are attached to them by donor key, and the result
+    is joined back to the input on ``key``. The area tells whether a row is
+    complete but is never filled. With ``materialize`` the input is written
+    once for the three reads. ``area_fallback=True`` additionally fills values
+    still missing on rows that have coordinates but no donor within range with
+    the mean of the known values in the same ``area``.
     """
     numeric_cols = list(numeric_cols)
-    fill_cols = numeric_cols + [area]
+    if materialize:
+        df = cut_lineage(df, "imputation_input")
     match = nearest_donors(df, numeric_cols, key=key, lat=lat, lon=lon, area=area,
-                           max_km=max_km, levels=levels, materialize=materialize)
-    check = numeric_cols + [lon, lat, area, key]
-    donor_values = df.filter(completeness(check)).select(
-        F.col(key).alias("DONOR"), *[F.col(c).alias(f"{c}__donor") for c in fill_cols])
+                           max_km=max_km, materialize=False)
+    if materialize:
+        match = cut_lineage(match, "nearest_donors")
+    chosen = match.select("DONOR").distinct()
+    donor_values = (df.withColumnRenamed(key, "DONOR").join(chosen, "DONOR", "left_semi")
+                    .select("DONOR", *[F.col(c).alias(f"{c}__donor") for c in numeric_cols]))
     fills = match.join(donor_values, "DONOR").drop("distance_km")
     out = df.join(fills, key, "left")
-    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__donor")) for c in fill_cols})
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__donor")) for c in numeric_cols})
     if area_fallback:
         means = df.groupBy(area).agg(*[F.avg(c).alias(f"{c}__area") for c in numeric_cols])
         means, cond = null_safe_keys(out, means, [area])

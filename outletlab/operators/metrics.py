@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from outletlab.plans.joins import null_safe_keys
 from outletlab.session import cut_lineage
 
 
@@ -20,10 +21,16 @@ def _group_cols(by):
     return [by] if isinstance(by, str) else list(by or [])
 
 
+def _join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the left keys are kept."""
+    right, cond = null_safe_keys(left, right, keys)
+    return left.join(right, cond, how).drop(*[f"{k}__r" for k in keys])
+
+
 def _attach(df: DataFrame, totals: DataFrame, g, name: str) -> DataFrame:
     """Join per-group totals; without groups the one-row total is a scalar
     subquery (no cartesian product)."""
-    return df.join(totals, g) if g else df.withColumn(name, totals.select(name).scalar())
+    return _join(df, totals, g) if g else df.withColumn(name, totals.select(name).scalar())
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -39,21 +46,24 @@ def confusion_matrix_wide(df: DataFrame, label: str = "label", prediction: str =
     g = _group_cols(by)
     cm = confusion_matrix(df, label, prediction, by)
     piv = cm.groupBy(*g, label).pivot(prediction, classes).agg(F.first("n"))
-    return piv.fillna(0)
+    return piv.select(*g, label, *[F.coalesce(piv[f"`{c}`"], F.lit(0)).alias(c) for c in piv.columns if c not in (*g, label)])
 
 
 def class_statistics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      by=None) -> DataFrame:
     """(by..., class, tp, actual, predicted, total, precision, recall, f1) for
-    every class seen as a label or as a prediction."""
+    every class seen as a label or as a prediction. Rows whose label or
+    prediction is NULL are not scored and count nowhere; NULL groups are kept."""
     g = _group_cols(by)
-    cm = confusion_matrix(df, label, prediction, by)
-    as_label = cm.groupBy(*g, F.col(label).alias("class")).agg(
-        F.sum("n").alias("actual"),
-        F.sum(F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0)).alias("tp"))
-    as_pred = cm.groupBy(*g, F.col(prediction).alias("class")).agg(F.sum("n").alias("predicted"))
+    cm = confusion_matrix(df, label, prediction, by).filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    n = F.col("n")
+    sides = cm.select(*g, F.inline(F.array(
+        F.struct(F.col(label).alias("class"), n.alias("actual"), F.lit(0).cast("long").alias("predicted"),
+                 F.when(F.col(label) == F.col(prediction), n).otherwise(0).alias("tp")),
+        F.struct(F.col(prediction).alias("class"), F.lit(0).cast("long").alias("actual"), n.alias("predicted"),
+                 F.lit(0).cast("long").alias("tp")))))
+    st = sides.groupBy(*g, "class").agg(*[F.sum(c).alias(c) for c in ("tp", "actual", "predicted")])
     totals = cm.groupBy(*g).agg(F.sum("n").alias("total"))
-    st = as_label.join(as_pred, g + ["class"], "full").fillna(0, ["actual", "tp", "predicted"])
     st = _attach(st, totals, g, "total")
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     recall = F.when(F.col("actual") > 0, F.col("tp") / F.col("actual")).otherwise(0.0)
@@ -68,11 +78,12 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
                            by=None) -> DataFrame:
     """Long form (by..., metric, class, value): precision / recall / f1 per
     class, and accuracy plus weighted precision / recall / f1 (weights =
-    share of each actual class) with class NULL."""
+    share of each actual class) with class NULL. Classes keep their type, so
+    labels may be names."""
     g = _group_cols(by)
     st = class_statistics(df, label, prediction, by)
     per_class = st.select(*g, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col("class").cast("double").alias("class"),
+        F.struct(F.lit(m).alias("metric"), F.col("class").alias("class"),
                  F.col(m).cast("double").alias("value"))
         for m in ("precision", "recall", "f1")])))
     w = F.col("actual") / F.col("total")
@@ -82,7 +93,7 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
         F.sum(w * F.col("recall")).alias("weighted_recall"),
         F.sum(w * F.col("f1")).alias("weighted_f1"))
     overall = overall.select(*g, F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.lit(None).cast("double").alias("class"),
+        F.struct(F.lit(m).alias("metric"), F.lit(None).cast(st.schema["class"].dataType).alias("class"),
                  F.col(m).cast("double").alias("value"))
         for m in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")])))
     return per_class.unionByName(overall)
@@ -106,7 +117,7 @@ def _average_ranks(scores: DataFrame, g, score: str, partitions: int | None = No
     per_part = ordered.groupBy(*g, "_p").agg(F.sum("cnt").alias("_pcnt"))
     wp = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     per_part = per_part.withColumn("_pbefore", F.coalesce(F.sum("_pcnt").over(wp), F.lit(0)))
-    ordered = ordered.join(per_part.drop("_pcnt"), g + ["_p"])
+    ordered = _join(ordered, per_part.drop("_pcnt"), g + ["_p"])
     wi = Window.partitionBy(*g, "_p").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     ordered = ordered.withColumn("_inbefore", F.coalesce(F.sum("cnt").over(wi), F.lit(0)))
     return ordered.withColumn(
@@ -118,15 +129,17 @@ def auc_one_vs_rest(df: DataFrame, label: str = "label", score: str = "probabili
                     partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """(by..., class, auc): area under the ROC curve of ``score`` for each
     label class against the rest (Mann-Whitney rank sum, ties share the
-    average rank). With ``materialize`` the (score, class) counts are written
-    once; ranks, positives and totals all read that copy."""
+    average rank). Rows without a score or a label are left out. With
+    ``materialize`` the (score, class) counts are written once; ranks,
+    positives and totals all read that copy."""
     g = _group_cols(by)
+    df = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     per = df.groupBy(*g, score, label).agg(F.count(F.lit(1)).alias("n"))
     if materialize:
         per = cut_lineage(per, "score_counts")
     scores = per.groupBy(*g, score).agg(F.sum("n").alias("cnt"))
     ranked = _average_ranks(scores, g, score, partitions)
-    cells = per.join(ranked.select(*g, score, "avg_rank"), g + [score])
+    cells = _join(per, ranked.select(*g, score, "avg_rank"), g + [score])
     pos = cells.groupBy(*g, F.col(label).alias("class")).agg(
         F.sum(F.col("n") * F.col("avg_rank")).alias("rank_sum"), F.sum("n").alias("n_pos"))
     totals = per.groupBy(*g).agg(F.sum("n").alias("n_all"))
@@ -135,8 +148,7 @@ def auc_one_vs_rest(df: DataFrame, label: str = "label", score: str = "probabili
     auc = F.when((F.col("n_pos") > 0) & (n_neg > 0),
                  (F.col("rank_sum") - F.col("n_pos") * (F.col("n_pos") + 1) / 2.0)
                  / (F.col("n_pos") * n_neg))
-    return pos.select(*g, F.col("class").cast("double").alias("class"), auc.alias("auc"))
-
+    return pos.select(*g, "class", auc.alias("auc"))
 
 
 def metric_table(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -150,10 +162,11 @@ def metric_table(df: DataFrame, label: str = "label", prediction: str = "predict
     if score is None:
         return wide
     auc = auc_one_vs_rest(df, label, score, by)
-    prev = df.groupBy(*g, F.col(label).cast("double").alias("class")).agg(F.count(F.lit(1)).alias("k"))
-    auc = auc.join(prev, g + ["class"]).groupBy(*g).agg(
+    prev = (df.filter(F.col(score).isNotNull()).groupBy(*g, F.col(label).alias("class"))
+            .agg(F.count(F.lit(1)).alias("k")))
+    auc = _join(auc, prev, g + ["class"]).groupBy(*g).agg(
         (F.sum(F.col("auc") * F.col("k")) / F.sum("k")).alias("auc"))
-    return wide.join(auc, g, "left")
+    return _join(wide, auc, g, "left") if g else wide.withColumn("auc", auc.select("auc").scalar())
 
 
 def feature_importances(importances, features_schema_field) -> list:
@@ -183,4 +196,28 @@ def auc_from_class_scores(df: DataFrame, label: str, score_columns: dict, by=Non
                              (F.col("_label") == F.col("_s._cls")).alias("_pos"))
     stacked = stacked.filter(F.col("_score").isNotNull() & F.col("_pos").isNotNull())
     out = auc_one_vs_rest(stacked, label="_pos", score="_score", by=g + ["_cls"], partitions=partitions)
-    return out.filter(F.col("class") == 1.0).select(*g, F.col("_cls").alias("class"), "auc")
+    return out.filter("class").select(*g, F.col("_cls").alias("class"), "auc")
+
+
+def auc_one_vs_one(df: DataFrame, label: str, score_columns: dict, by=None,
+                   partitions: int | None = None) -> DataFrame:
+    """(by..., auc): the mean over all pairs of classes of the AUC that tells
+    the two apart, itself the mean of ranking their rows by the one class's
+    score and by the other's. Every row is stacked once for each pair its
+    label is in (classes - 1 times, two scores each) and all pairs are ranked
+    in one job. Rows without a label or without both scores of a pair are
+    left out of it, and pairs with one class missing are left out of the mean.
+    """
+    g = _group_cols(by)
+    classes = list(score_columns)
+    sides = [(f"{a}|{b}|{own}", a, b, own) for i, a in enumerate(classes) for b in classes[i + 1:] for own in (a, b)]
+    both = lambda a, b: F.col(score_columns[a]).isNotNull() & F.col(score_columns[b]).isNotNull()
+    stacked = df.select(*g, F.col(label).alias("_label"), F.explode(F.array(*[
+        F.when(F.col(label).isin(a, b) & both(a, b),
+               F.struct(F.lit(name).alias("_side"), F.col(score_columns[own]).cast("double").alias("_score"),
+                        (F.col(label) == F.lit(own)).alias("_pos")))
+        for name, a, b, own in sides])).alias("_s")).filter("_s IS NOT NULL")
+    stacked = stacked.select(*g, "_s._side", "_s._score", "_s._pos")
+    auc = auc_one_vs_rest(stacked, label="_pos", score="_score", by=g + ["_side"], partitions=partitions).filter("class AND auc IS NOT NULL")
+    pair = F.regexp_replace("_side", "[|][^|]*$", "")
+    return auc.groupBy(*g, pair.alias("_pair")).agg(F.avg("auc").alias("auc")).groupBy(*g).agg(F.avg("auc").alias("auc"))

@@ -1,4 +1,4 @@
-"""Exact nearest neighbour within a radius, as grid equi-joins.
+"""Exact nearest neighbour within a radius, by descending a grid.
 
 For every query point find the nearest donor point (Euclidean distance on
 (lat, lon) in degrees, reported in km) and keep it if it is closer than
@@ -11,87 +11,108 @@ Plan (no cross join, no driver-side index):
    (map-side combined group-by). Query points with the same coordinates get
    the same answer and are also searched once. A location holding a third of
    all rows therefore costs one row.
-2. Levels of square cells, finest first: cell side r = R / 2^l, where R is the
-   search radius in degrees. A query is matched against donors in its 3x3
-   block of cells (an equi-join on the cell after exploding the query's nine
-   neighbour cells). Any donor within r of the query lies in that block, so
-   if the best candidate is within r the answer is exact and the query is
-   done. Otherwise it moves on to the next, coarser level. At l = 0 (r = R)
-   every donor within the radius is in the block, so the last level settles
-   all remaining queries. Dense areas resolve at fine levels, where cells
-   hold few donors; only sparse queries reach coarse cells.
+2. Donors are counted in square cells of side R, the search radius in degrees,
+   with the bounding box of each cell's donors. A query starts with the 3x3
+   block of cells around it. Its bound is the smallest distance at which one
+   of its cells must hold a donor (the far corner of a box); cells whose box
+   is farther than the bound are dropped.
+3. Cells with more than LEAF_POINTS donors are replaced by their sub-cells of
+   a quarter of the side, and step 2 is repeated until none is left. A query
+   keeps few cells at any depth however many donors crowd together, so dense
+   places cost depth, not pairs; only crowded cells go deeper, and different
+   points part after a few levels.
+4. The cells that are left hold at most LEAF_POINTS donors each; their donors
+   are joined and the nearest is taken.
+
+Boxes, bounds and distances are computed by the same formula, which rounds
+monotonically, so the result is exact, ties included.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outletlab import conf
 from outletlab.session import cut_lineage
 
+LEAF_POINTS = 32
+SPLIT = 4  # sub-cells of a side; a power of two, so that cells nest exactly
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
-def _distance_deg(lat_a, lon_a, lat_b, lon_b):
-    dlat = lat_a - lat_b
-    dlon = lon_a - lon_b
+def _distance(dlat: Column, dlon: Column) -> Column:
     return F.sqrt(dlat * dlat + dlon * dlon)
 
 
+def _in_cells(points: DataFrame, side: float) -> DataFrame:
+    return points.withColumns({"cx": F.floor(F.col("d_lat") / side), "cy": F.floor(F.col("d_lon") / side)})
+
+
+def _boxes(points: DataFrame) -> DataFrame:
+    """(cx, cy, n, bounding box) of every cell that holds a donor."""
+    return points.groupBy("cx", "cy").agg(
+        F.count(F.lit(1)).alias("n"), F.min("d_lat").alias("lat0"), F.max("d_lat").alias("lat1"),
+        F.min("d_lon").alias("lon0"), F.max("d_lon").alias("lon1"))
+
+
+def _ranges(cells: DataFrame) -> DataFrame:
+    """Add the least and the largest distance from the query to the box."""
+    lat, lon = F.col("q_lat"), F.col("q_lon")
+    zero = F.lit(0.0)
+    return cells.withColumns({
+        "near": _distance(F.greatest(F.col("lat0") - lat, lat - F.col("lat1"), zero),
+                          F.greatest(F.col("lon0") - lon, lon - F.col("lon1"), zero)),
+        "far": _distance(F.greatest(F.abs(F.col("lat0") - lat), F.abs(F.col("lat1") - lat)),
+                         F.greatest(F.abs(F.col("lon0") - lon), F.abs(F.col("lon1") - lon)))})
+
+
 def nearest_within(queries: DataFrame, donors: DataFrame, *, key: str = "CUSTOMER",
                    donor_key: str = "DONOR", lat: str = "LATITUDE", lon: str = "LONGITUDE",
                    max_km: float = conf.NEAREST_MAX_KM, km_per_degree: float = conf.KM_PER_DEGREE,
-                   levels: int = 2, materialize: bool = True) -> DataFrame:
+                   leaf_points: int = LEAF_POINTS) -> DataFrame:
     """Return (key, donor_key, distance_km) for every query with a donor
     closer than ``max_km``. ``queries`` has (key, lat, lon); ``donors`` has
-    (donor_key, lat, lon). Rows without coordinates never match.
-
-    With ``materialize`` (default) each level's best candidates (one row per
-    pending query point) are written to the shared checkpoint folder, so the
-    chain of anti-joins that forms the next level's pending set reads them
-    instead of re-running the earlier levels' joins.
+    (donor_key, lat, lon). Rows without coordinates never match. Each depth's
+    cells are written to the shared checkpoint folder.
     """
-    keep = (lambda df: cut_lineage(df, "nearest_level")) if materialize else (lambda df: df)
-    radius_deg = max_km / km_per_degree
-    d_pts = (donors.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-             .groupBy(F.col(lat).alias("d_lat"), F.col(lon).alias("d_lon"))
-             .agg(F.min(donor_key).alias(donor_key)))
+    side = max_km / km_per_degree
+    points = (donors.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+              .groupBy(F.col(lat).alias("d_lat"), F.col(lon).alias("d_lon"))
+              .agg(F.min(donor_key).alias(donor_key)))
+    points = cut_lineage(points, "donor_points")
     q_rows = queries.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(key, lat, lon)
-    q_pts = q_rows.select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon")).distinct()
-
-    pending = q_pts
-    found = []
-    for level in range(levels, -1, -1):
-        cell = radius_deg / (2 ** level)
-        qc = pending.withColumns({
-            "cx": F.floor(F.col("q_lat") / cell),
-            "cy": F.floor(F.col("q_lon") / cell),
-        }).withColumn("nb", F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                                                 for dx, dy in _NEIGHBOURS])))
-        qc = qc.select("q_lat", "q_lon", (F.col("cx") + F.col("nb.dx")).alias("cx"),
-                       (F.col("cy") + F.col("nb.dy")).alias("cy"))
-        dc = d_pts.withColumns({
-            "cx": F.floor(F.col("d_lat") / cell),
-            "cy": F.floor(F.col("d_lon") / cell),
-        })
-        pairs = qc.join(dc, ["cx", "cy"]).withColumn(
-            "dist_deg", _distance_deg(F.col("q_lat"), F.col("q_lon"), F.col("d_lat"), F.col("d_lon")))
-        pairs = pairs.withColumn("dist_km", F.col("dist_deg") * F.lit(km_per_degree))
-        best = pairs.groupBy("q_lat", "q_lon").agg(
-            F.min(F.struct("dist_km", donor_key, "dist_deg")).alias("best"))
-        if level > 0:
-            best = keep(best)  # one row per pending query point
-            done = best.filter(F.col("best.dist_deg") <= F.lit(cell))
-            pending = pending.join(done.select("q_lat", "q_lon"), ["q_lat", "q_lon"], "left_anti")
-        else:
-            done = best
-        found.append(done.filter(F.col("best.dist_km") < F.lit(max_km)))
-
-    matches = found[0]
-    for extra in found[1:]:
-        matches = matches.unionByName(extra)
-    matches = matches.select("q_lat", "q_lon", F.col(f"best.{donor_key}").alias(donor_key),
-                             F.col("best.dist_km").alias("distance_km"))
+    at = (q_rows.select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon")).distinct()
+          .withColumn("nb", F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS]))))
+    at = at.select("q_lat", "q_lon", (F.floor(F.col("q_lat") / side) + F.col("nb.dx")).alias("cx"),
+                   (F.floor(F.col("q_lon") / side) + F.col("nb.dy")).alias("cy"))
+    cells = _ranges(at.join(_boxes(_in_cells(points, side)), ["cx", "cy"])).filter(F.col("near") * F.lit(km_per_degree) < F.lit(max_km))
+    cells = cells.select("q_lat", "q_lon", "cx", "cy", "n", "near", "far", F.lit(0).alias("depth"))
+    depth, found, inside = 0, [], points
+    while True:
+        bound = cells.groupBy("q_lat", "q_lon").agg(F.min("far").alias("bound"))
+        cells = cut_lineage(cells.join(bound, ["q_lat", "q_lon"]).filter("near <= bound").drop("bound"), "near_cells")
+        leaves, crowded = cells.filter(F.col("n") <= leaf_points), cells.filter(F.col("n") > leaf_points)
+        found.append((_in_cells(inside, side), leaves.filter(F.col("depth") == depth)))
+        if crowded.isEmpty():
+            break
+        parents = crowded.select("cx", "cy").distinct()
+        inside = cut_lineage(_in_cells(inside, side).join(parents, ["cx", "cy"], "left_semi").drop("cx", "cy"), "crowded_points")
+        side, depth = side / SPLIT, depth + 1
+        boxes = _boxes(_in_cells(inside, side)).withColumns({"px": F.floor(F.col("cx") / SPLIT), "py": F.floor(F.col("cy") / SPLIT)})
+        below = _ranges(crowded.select("q_lat", "q_lon", F.col("cx").alias("px"), F.col("cy").alias("py")).join(boxes, ["px", "py"]))
+        # leaves of earlier depths go along: their bounds still prune
+        cells = leaves.unionByName(below.select("q_lat", "q_lon", "cx", "cy", "n", "near", "far", F.lit(depth).alias("depth")))
+    bound = cells.groupBy("q_lat", "q_lon").agg(F.min("far").alias("bound"))
+    pairs = None
+    for here, leaves in found:
+        reach = leaves.join(bound, ["q_lat", "q_lon"]).filter("near <= bound")
+        near = reach.join(here, ["cx", "cy"]).select("q_lat", "q_lon", donor_key, _distance(
+            F.col("q_lat") - F.col("d_lat"), F.col("q_lon") - F.col("d_lon")).alias("dist_deg"))
+        pairs = near if pairs is None else pairs.unionByName(near)
+    best = pairs.withColumn("dist_km", F.col("dist_deg") * F.lit(km_per_degree)).groupBy("q_lat", "q_lon").agg(
+        F.min(F.struct("dist_km", donor_key)).alias("best"))
+    matches = best.filter(F.col("best.dist_km") < F.lit(max_km)).select(
+        "q_lat", "q_lon", F.col(f"best.{donor_key}").alias(donor_key), F.col("best.dist_km").alias("distance_km"))
     return (q_rows.join(matches, (F.col(lat) == F.col("q_lat")) & (F.col(lon) == F.col("q_lon")))
             .select(key, donor_key, "distance_km"))

@@ -18,7 +18,7 @@ SALES_IMPUTED = {
 
 def analytical_base_table(customers: DataFrame, demographics: DataFrame, coolers: DataFrame,
                           sales: DataFrame, columns=None, *, area_fallback: bool = False,
-                          levels: int = 2, materialize: bool = True) -> DataFrame:
+                          materialize: bool = True) -> DataFrame:
     """Star join, nearest-outlet imputation of demographics, hierarchical
     means for sales, zero fill, column selection.
 
@@ -31,12 +31,11 @@ def analytical_base_table(customers: DataFrame, demographics: DataFrame, coolers
     demo = demographics.drop("LONGITUDE", "LATITUDE")
     numeric = fe.demographic_numeric_columns(demo)
     with_demo = customers.join(demo, "CUSTOMER", "left")
-    with_demo = impute_nearest(with_demo, numeric, area_fallback=area_fallback, levels=levels,
-                               materialize=materialize)
+    with_demo = impute_nearest(with_demo, numeric, area_fallback=area_fallback, materialize=materialize)
     abt = with_demo.join(coolers, "CUSTOMER", "left").join(sales, "CUSTOMER", "left")
     if materialize:
         abt = cut_lineage(abt, "abt_joined")
-    abt = impute_hierarchical(abt, SALES_IMPUTED)
+    abt = impute_hierarchical(abt, SALES_IMPUTED, materialize=materialize)
     abt = impute_zero(abt, list(SALES_IMPUTED.values()))
     return abt.select(*(columns or conf.ABT_COLUMNS))
 
@@ -70,25 +69,28 @@ def base_table_path(output_root: str, country: str, partition_date: str) -> str:
     return f"{output_root.rstrip('/')}/{country.upper()}/output/{country}_abt_{partition_date}.csv"
 
 
-def build_and_store_base_table(spark, customers: DataFrame, demographics: DataFrame,
-                               coolers: DataFrame, sales: DataFrame, output_root: str, country: str,
-                               run_date: str, partition_date: str | None = None,
-                               columns=None) -> str:
-    """Entry point of the base-table run: build the table, append the
-    customers the newest stored snapshot does not have (all rows when there
-    is none) and write the result as a new CSV snapshot. Returns its path."""
+def store_snapshot(spark, current: DataFrame, output_root: str, country: str, run_date: str,
+                   partition_date: str | None = None) -> str:
+    """Append the customers the newest stored snapshot does not have to it
+    (all rows when there is none) and write the result as a new CSV snapshot.
+    Returns its path."""
     from outletlab.sources import files as fs
 
-    current = analytical_base_table(customers, demographics, coolers, sales, columns)
-    schema = fs.string_schema(current.columns + ["pardt"])
     try:
-        previous = fs.load_latest_csv(spark, output_root, schema)
+        previous = fs.load_latest_csv(spark, output_root)
     except FileNotFoundError:
-        previous = None
-    if previous is None:
         result = current.withColumn("pardt", F.lit(run_date))
     else:
         result = incremental_base_table(current, previous, run_date)
     path = base_table_path(output_root, country, partition_date or run_date)
     fs.write_csv(result, path)
     return path
+
+
+def build_and_store_base_table(spark, customers: DataFrame, demographics: DataFrame,
+                               coolers: DataFrame, sales: DataFrame, output_root: str, country: str,
+                               run_date: str, partition_date: str | None = None,
+                               columns=None) -> str:
+    """Entry point of the base-table run: build the table and store it."""
+    current = analytical_base_table(customers, demographics, coolers, sales, columns)
+    return store_snapshot(spark, current, output_root, country, run_date, partition_date)

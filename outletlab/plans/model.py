@@ -151,8 +151,8 @@ def cast_to_double(df: DataFrame, columns) -> DataFrame:
 def evaluate(preds: DataFrame) -> DataFrame:
     """Metric table per Holdout from the prediction columns of
     ``model_base_table``: accuracy, weighted precision / recall / f1 on the
-    label index, and the prevalence-weighted one-vs-rest AUC of the
-    per-class probability columns."""
+    label index, the prevalence-weighted one-vs-rest AUC of the per-class
+    probability columns, and the mean one-vs-one AUC."""
     from outletlab.operators import metrics as me
 
     table = me.metric_table(preds, label="labelIndCol", prediction="prediction", score=None)
@@ -160,7 +160,8 @@ def evaluate(preds: DataFrame) -> DataFrame:
     prev = preds.groupBy("Holdout", F.col("labelCol").alias("class")).agg(F.count(F.lit(1)).alias("k"))
     auc = auc.join(prev, ["Holdout", "class"]).groupBy("Holdout").agg(
         (F.sum(F.col("auc") * F.col("k")) / F.sum("k")).alias("auc"))
-    return table.join(auc, "Holdout", "left")
+    ovo = me.auc_one_vs_one(preds, "labelCol", {c: c for c in CLASS_OUTPUTS}, by="Holdout")
+    return table.join(auc, "Holdout", "left").join(ovo.withColumnRenamed("auc", "auc_ovo"), "Holdout", "left")
 
 
 def run_modelling(abt: DataFrame, features, cfg: ModelConfig | None = None,

@@ -106,7 +106,7 @@ DEMOGRAPHICS_RAW = {
     "urbanicity": "cast(1 + c_custkey % 3 as string)",
     "CUSTOMER_DESC": "c_name",
     "_BIC_CTRADE_CH": "'000'",
-    "_BIC_CDMD_AREA": "cast(c_nationkey as string)",
+    "_BIC_CDMD_AREA": "case when c_custkey % 19 = 0 then null else cast(c_nationkey as string) end",
     "geometry": "concat('POINT ', cast(c_custkey as string))",
     "LATITUDE": "cast(45 + cast(c_custkey * 7919 % 10007 as double) / 10007 * 2 as string)",
     "LONGITUDE": "cast(13 + cast(c_custkey * 104729 % 10009 as double) / 10009 * 2 as string)",
@@ -123,10 +123,16 @@ PREDICTIONS = {
     "CUSTOMER": _k("c_custkey"),
     "labelName": (f"case {LABEL_CLASS} when 1 then 'Platinum' when 2 then 'Gold' when 3 then 'Silver' "
                   "when 4 then 'Bronze' when 5 then 'Iron' else 'Other' end"),
-    "label": f"cast({LABEL_CLASS} as double)",
+    "label": f"case when c_custkey % 59 = 0 then null else cast({LABEL_CLASS} as double) end",
     "prediction": f"cast(case when c_custkey % 4 <> 0 then {LABEL_CLASS} else (c_custkey + 1) % 7 end as double)",
-    "probability": "cast(c_custkey * 37 % 100 as double) / 100",
-    "Holdout": "case when c_custkey % 5 = 0 then 'Test' else 'Train' end",
+    "predictionName": (f"case case when c_custkey % 4 <> 0 then {LABEL_CLASS} else (c_custkey + 1) % 7 end "
+                       "when 1 then 'Platinum' when 2 then 'Gold' when 3 then 'Silver' "
+                       "when 4 then 'Bronze' when 5 then 'Iron' else 'Other' end"),
+    "probability": "case when c_custkey % 53 = 0 then null else cast(c_custkey * 37 % 100 as double) / 100 end",
+    **{name: (f"case when c_custkey % {47 + i} = 0 then null else "
+              f"cast(c_custkey * {31 + 6 * i} % 89 as double) / 89 + case when {LABEL_CLASS} = {5 - i} then 0.25 else 0 end end")
+       for i, name in enumerate(["Iron", "Bronze", "Silver", "Gold"])},
+    "Holdout": "case when c_custkey % 61 = 0 then null when c_custkey % 5 = 0 then 'Test' else 'Train' end",
 }
 
 COMMIT_LOG = {"operation": "event_type", "timestamp": "ts"}
