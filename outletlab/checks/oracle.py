@@ -330,7 +330,7 @@ def abt() -> str:
 def abt_incremental() -> str:
     return (_abt_views() + "," + abt_ctes("", P.AS_OF) + "," + abt_ctes("prev_", P.PREVIOUS_AS_OF)
             + f"""
-SELECT *, '{conf.DEFAULT_PREVIOUS_PARDT}' AS pardt FROM prev_abt
+SELECT *, '{P.PREVIOUS_PARDT}' AS pardt FROM prev_abt
 UNION ALL
 SELECT *, '{P.RUN_PARDT}' AS pardt FROM abt
 WHERE CUSTOMER NOT IN (SELECT CUSTOMER FROM prev_abt)""")
@@ -390,7 +390,7 @@ def chi_square() -> str:
     return chi_square_ctes() + "\nSELECT feature, dof, round(chi2, 6) + 0.0 AS chi2 FROM chi"
 
 
-def chi_square_selection() -> str:
+def p_value_ctes() -> str:
     """p = 1 - P(dof/2, chi2/2), P by its power series
     sum_n exp((a + n) ln x - x - lgamma(a + n + 1)), taken well past its
     largest term (independent of the methods used on the Spark side)."""
@@ -402,14 +402,18 @@ series AS (
 pv AS (
   SELECT chi.feature, chi.dof, chi.chi2,
     CASE WHEN chi.dof = 0 OR chi.chi2 <= 0 THEN 1.0 ELSE greatest(0.0, 1.0 - series.lower_p) END AS p
-  FROM chi LEFT JOIN series ON chi.feature = series.feature)
+  FROM chi LEFT JOIN series ON chi.feature = series.feature)"""
+
+
+def chi_square_selection() -> str:
+    return p_value_ctes() + f"""
 SELECT feature, round(chi2, 6) + 0.0 AS chi2, dof, round(p, 6) + 0.0 AS p_value,
        p < {conf.CHI_SQUARE_ALPHA} AS important
 FROM pv"""
 
 
-def _assoc_parts(feats) -> str:
-    numeric = [c for c in feats if c not in ABT_STRING]
+def _assoc_parts(feats, strings=None) -> str:
+    numeric = [c for c in feats if c not in (ABT_STRING if strings is None else strings)]
     pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
     sqls = []
     for a, b in pairs:
@@ -597,10 +601,29 @@ SELECT * REPLACE (TRY_CAST(LATITUDE AS DOUBLE) AS LATITUDE, TRY_CAST(LONGITUDE A
 FROM customer_raw"""
 
 
-def cast_model_inputs() -> str:
-    cols = ", ".join(f"TRY_CAST({q(c)} AS DOUBLE) AS {q(c)}" if c in conf.MODEL_DOUBLE_COLUMNS else q(c)
+# base-table columns that are not read back as double
+TEXT_COLUMNS = ["CUSTOMER", "LONGITUDE", "LATITUDE", "CUST_CTRADE_CH", "CUST_CTRADE_CH_DESC", "TAA_TC", "CUST_CSUB_TRAD",
+                "CUST_CSUB_TRAD_DESC", "CUST_GRP4", "CUST_GRP4_DESC", "CUST_CDMD_AREA", "CUST_CDMD_AREA_DESC", "CUST_ROUTED",
+                "CUST_CCAF_GROUP", "POSTAL_CODE"]
+
+
+def cast_columns(text: str = "{}") -> str:
+    return ", ".join(f"{text.format(q(c))} AS {q(c)}" if c in TEXT_COLUMNS else f"TRY_CAST({q(c)} AS DOUBLE) AS {q(c)}"
                      for c in conf.ABT_COLUMNS)
-    return _abt_views() + "," + abt_ctes("", P.AS_OF) + f"\nSELECT {cols} FROM abt"
+
+
+def cast_model_inputs() -> str:
+    return _abt_views() + "," + abt_ctes("", P.AS_OF) + f"\nSELECT {cast_columns()} FROM abt"
+
+
+def load_latest_abt() -> str:
+    """As read back from a file: all else is text."""
+    return _abt_views() + "," + abt_ctes("", P.AS_OF) + f"\nSELECT {cast_columns('CAST({} AS VARCHAR)')} FROM abt"
+
+
+def latest_file() -> str:
+    return with_views("customer_raw") + """
+SELECT CUSTOMER, SALESORG, CTRADE_CH_DESC, CDMD_AREA_DESC, ERDAT FROM customer_raw WHERE SALESORG = '1100'"""
 
 
 def managed_table_roundtrip() -> str:
@@ -613,9 +636,14 @@ FROM orders"""
 
 
 def bulk_load() -> str:
-    from outletlab.checks.queries import BULK_OBJECTS
-
-    return "\nUNION ALL\n".join(f"SELECT '{n}' AS object, count(*) AS rows FROM {n}" for n in BULK_OBJECTS)
+    tables = {"customer": ("c_custkey", "c_name"), "orders": ("o_orderkey", "o_orderstatus"),
+              "lineitem": ("l_orderkey", "l_returnflag"), "part": ("p_partkey", "p_name"),
+              "supplier": ("s_suppkey", "s_name"), "nation": ("n_nationkey", "n_name"), "region": ("r_regionkey", "r_name")}
+    return "\nUNION ALL\n".join(f"""
+SELECT '{n}' AS object, (SELECT count(*) + 1 FROM (DESCRIBE {n})) AS columns, count(*) AS rows, CAST(sum({key}) AS BIGINT) AS key_total,
+  CAST(sum(length({text})) AS BIGINT) AS text_length, count(DISTINCT {text}) AS texts,
+  (SELECT CAST(max(ts) AS DATE) FROM events WHERE event_type = 'purchase') AS DATA_UPDATED_DATE
+FROM {n}""" for n, (key, text) in tables.items())
 
 
 ORACLE.update({
@@ -623,7 +651,8 @@ ORACLE.update({
     "scan_company_partitions": scan_company_partitions,
     "csv_roundtrip": csv_roundtrip,
     "cast_model_inputs": cast_model_inputs,
-    "load_latest_abt": cast_model_inputs,
+    "load_latest_abt": load_latest_abt,
+    "latest_file": latest_file,
     "managed_table_roundtrip": managed_table_roundtrip,
     "ingest_stamp": lambda: INGEST,
     "ingest_write": lambda: INGEST,
@@ -631,6 +660,81 @@ ORACLE.update({
 })
 
 
+# --------------------------------------------------------------- modelling
+
+def model_ctes() -> str:
+    """Parts of the modelling table that don't depend on the forest: features
+    kept (significant, and not too close to an earlier significant one),
+    split, label index, customers that can be scored."""
+    feats = _features()
+    numeric = [f for f in feats if f not in TEXT_COLUMNS]
+    order = ", ".join(f"('{f}', {i})" for i, f in enumerate(feats))
+    texts = ", ".join(f"coalesce(CAST({q(f)} AS VARCHAR), '<NULL>') AS {q(f)}" for f in feats)
+    return p_value_ctes() + f""",
+cast_abt AS (SELECT {cast_columns()} FROM abt),
+important AS (SELECT feature FROM pv WHERE p < {conf.CHI_SQUARE_ALPHA}),
+assoc AS ({_assoc_parts(feats, [c for c in feats if c in TEXT_COLUMNS]).replace("FROM abt", "FROM cast_abt")}),
+close AS (
+  SELECT feature_b AS feature FROM assoc
+  WHERE feature_a IN (SELECT feature FROM important) AND feature_b IN (SELECT feature FROM important)
+    AND NOT isnan(assoc) AND assoc > {conf.ASSOCIATION_THRESHOLD}),
+ordered(feature, position) AS (VALUES {order}),
+kept AS (SELECT feature FROM important WHERE feature NOT IN (SELECT feature FROM close)),
+texts AS (SELECT CUSTOMER, {texts} FROM cast_abt),
+cells AS (UNPIVOT texts
+          ON {', '.join(q(f) for f in feats)} INTO NAME feature VALUE value),
+incomplete AS (
+  SELECT DISTINCT CUSTOMER FROM cells
+  WHERE value = '<NULL>' AND feature IN (SELECT feature FROM kept) AND feature IN ({lit(numeric)})),
+labelled AS (
+  SELECT CUSTOMER, CUST_CCAF_GROUP AS labelCol,
+    row_number() OVER (PARTITION BY CUST_CCAF_GROUP ORDER BY coalesce(md5(CUSTOMER), ''), coalesce(CUSTOMER, ''))
+      <= floor({conf.TRAIN_FRACTION} * count(*) OVER (PARTITION BY CUST_CCAF_GROUP)) AS is_train
+  FROM cast_abt WHERE CUST_CCAF_GROUP <> '{conf.LABEL_EXCLUDED}'),
+label_index AS (
+  SELECT labelCol, CAST(row_number() OVER (ORDER BY count(*) DESC, labelCol) - 1 AS DOUBLE) AS labelIndCol
+  FROM labelled WHERE is_train GROUP BY labelCol),
+scored_rows AS (
+  SELECT l.CUSTOMER, l.labelCol, i.labelIndCol, CASE WHEN is_train THEN 'Train' ELSE 'Test' END AS Holdout
+  FROM labelled l LEFT JOIN label_index i ON l.labelCol = i.labelCol
+  WHERE l.labelCol <> '{conf.PREDICTION_EXCLUDED}' AND l.CUSTOMER NOT IN (SELECT CUSTOMER FROM incomplete))"""
+
+
+def mbt_base() -> str:
+    return model_ctes() + """
+SELECT a.*, s.labelCol, s.labelIndCol, s.Holdout FROM cast_abt a LEFT JOIN scored_rows s ON a.CUSTOMER = s.CUSTOMER"""
+
+
+def mbt_scores() -> str:
+    return model_ctes() + """
+SELECT Holdout, count(*) AS scored, count(*) AS valid, count(*) AS named FROM scored_rows GROUP BY Holdout"""
+
+
+def model_roundtrip() -> str:
+    return model_ctes() + "\nSELECT CUSTOMER, TRUE AS same FROM scored_rows"
+
+
+def model_shape() -> str:
+    """A number takes one place in the vector, a category one for each value
+    seen in training and one for all others."""
+    numeric = [f for f in _features() if f not in TEXT_COLUMNS]
+    return model_ctes() + f""",
+widths AS (
+  SELECT k.feature, CASE WHEN k.feature IN ({lit(numeric)}) THEN 1 ELSE count(DISTINCT nullif(c.value, '<NULL>')) + 1 END AS w
+  FROM kept k JOIN cells c ON c.feature = k.feature
+  JOIN labelled l ON l.CUSTOMER = c.CUSTOMER AND l.is_train GROUP BY k.feature)
+SELECT CAST((SELECT count(*) FROM label_index) AS INTEGER) AS classes, CAST((SELECT sum(w) FROM widths) AS INTEGER) AS width,
+  CAST(1.0 AS DOUBLE) AS importance"""
+
+
+ORACLE.update({
+    "mbt_base": mbt_base,
+    "mbt_scores": mbt_scores,
+    "model_roundtrip": model_roundtrip,
+    "model_shape": model_shape,
+})
+
+
 # ------------------------------------------------------- rounding semantics
 
 def spark_rounding(sql: str) -> str:

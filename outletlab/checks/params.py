@@ -11,3 +11,4 @@ ACCOUNT_GROUPS = ["Z001"]
 AS_OF = _dt.date(2001, 11, 1)
 PREVIOUS_AS_OF = _dt.date(2001, 9, 1)
 RUN_PARDT = "20011101"
+PREVIOUS_PARDT = "20010901"

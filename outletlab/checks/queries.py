@@ -4,6 +4,7 @@ computed over the whole fixture tables."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from outletlab.operators import select as sel
 from outletlab.plans import base_table as bt
 from outletlab.plans import ingestion as ing
 from outletlab.plans import model as mo
-from outletlab.session import scratch_path
+from outletlab.session import cut_lineage, scratch_path
 from outletlab.sources import country as cy
 from outletlab.sources import files as fs
 from outletlab.sources.fixtures import WRITE_OPERATION, table, view
@@ -136,9 +137,16 @@ def abt(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def abt_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    sources = _sources(spark, sf)  # one sales scan shared by both snapshots
-    previous = _abt(spark, sf, P.PREVIOUS_AS_OF, sources)
-    return bt.incremental_base_table(_abt(spark, sf, sources=sources), previous, P.RUN_PARDT)
+    """Two runs: the earlier one stores its CSV snapshot, the later one reads
+    the newest snapshot back, appends the new customers and stores its own,
+    whose rows are returned (typed as the base table)."""
+    sources = tuple(cut_lineage(s, "abt_source") for s in _sources(spark, sf))  # shared by both runs
+    root = scratch_path(spark, "abt_snapshots")
+    bt.store_snapshot(spark, _abt(spark, sf, P.PREVIOUS_AS_OF, sources), root, P.COUNTRY, P.PREVIOUS_PARDT)
+    current = _abt(spark, sf, sources=sources)
+    bt.store_snapshot(spark, current, root, P.COUNTRY, P.RUN_PARDT)
+    stored = fs.load_latest_csv(spark, root)
+    return stored.select(*[F.col(c).try_cast(t).alias(c) for c, t in current.dtypes], "pardt")
 
 
 QUERIES.update({
@@ -299,24 +307,28 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cast_model_inputs(spark: SparkSession, sf: str) -> DataFrame:
-    abt = _abt(spark, sf)
-    return abt.withColumns({c: F.col(c).try_cast("double") for c in conf.MODEL_DOUBLE_COLUMNS})
+    return mo.cast_to_double(_abt(spark, sf), conf.MODEL_DOUBLE_COLUMNS)
 
 
 def load_latest_abt(spark: SparkSession, sf: str) -> DataFrame:
     """Base table written as CSV under a country output folder; the newest
-    file there names the data set to load, read back and typed for
-    modelling."""
+    file there names the data set to load, read back by its header and typed
+    for modelling."""
     root = scratch_path(spark, "abt_out")
-    abt = _abt(spark, sf)
-    fs.write_csv(abt, f"{root}/{P.COUNTRY.upper()}/output/{P.COUNTRY}_abt_{P.RUN_PARDT}_000000.csv")
-    directory = fs.latest_dataset_directory(spark, root)
-    back = fs.read_csv(spark, directory, fs.string_schema(abt.columns))
-    return back.withColumns({c: F.col(c).try_cast("double") for c in conf.MODEL_DOUBLE_COLUMNS})
+    fs.write_csv(_abt(spark, sf), f"{root}/{P.COUNTRY.upper()}/output/{P.COUNTRY}_abt_{P.RUN_PARDT}_000000.csv")
+    return mo.cast_to_double(fs.load_latest_csv(spark, root), conf.MODEL_DOUBLE_COLUMNS)
 
 
 def latest_file(spark: SparkSession, sf: str) -> DataFrame:
-    return fs.latest_file(spark, sf, "*.parquet")
+    """The customers of every company stored one after the other; the newest
+    file names the set that is read back: the last one, with its columns in
+    another order."""
+    raw = view(spark, sf, "customer_raw")
+    root = scratch_path(spark, "customer_snapshots")
+    for org in ("7800", "7900", "1100"):
+        part = raw.filter(F.col("SALESORG") == org)
+        fs.write_csv(part.select(*sorted(raw.columns, reverse=org == "1100")), f"{root}/{org}/customers.csv")
+    return fs.load_latest_csv(spark, root).select("CUSTOMER", "SALESORG", "CTRADE_CH_DESC", "CDMD_AREA_DESC", "ERDAT")
 
 
 def managed_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,24 +341,29 @@ def ingest_stamp(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_write(spark: SparkSession, sf: str) -> DataFrame:
-    stamped = ingest_stamp(spark, sf)
-    db = ing.layer_database_name(P.COUNTRY, "outletlab", "deng", "l1")
+    """The stamped orders as a table registered in the first layer's database."""
     root = ing.layer_path(scratch_path(spark, "layers"), "org", "prod", "L1", P.COUNTRY)
-    path = ing.write_layer(stamped, f"{root}{db}/orders")
-    return spark.read.parquet(path)
+    database = ing.layer_database_name(P.COUNTRY, "outletlab", "core", "l1")
+    return ing.write_layer(ingest_stamp(spark, sf), root, database, f"orders_{uuid.uuid4().hex[:8]}")
 
 
-BULK_OBJECTS = ["customer", "orders", "lineitem", "part", "supplier", "nation", "region"]
+# object -> a numeric and a text column, whose contents are reported
+BULK_OBJECTS = {"customer": ("c_custkey", "c_name"), "orders": ("o_orderkey", "o_orderstatus"),
+                "lineitem": ("l_orderkey", "l_returnflag"), "part": ("p_partkey", "p_name"),
+                "supplier": ("s_suppkey", "s_name"), "nation": ("n_nationkey", "n_name"), "region": ("r_regionkey", "r_name")}
 
 
 def bulk_load(spark: SparkSession, sf: str) -> DataFrame:
-    loaded = ing.bulk_load(lambda n: table(spark, sf, n), BULK_OBJECTS)
-    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("object"), "rows")
-              for n, df in loaded.items()]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    """The full load (clean names, stamp) of a list of objects, and of each
+    its rows, stamp and column contents."""
+    loaded = ing.bulk_load(lambda n: table(spark, sf, n), BULK_OBJECTS, view(spark, sf, "commit_log"), WRITE_OPERATION)
+    reports = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum(BULK_OBJECTS[n][0]).cast("long").alias("key_total"),
+                      F.sum(F.length(BULK_OBJECTS[n][1])).cast("long").alias("text_length"),
+                      F.count_distinct(BULK_OBJECTS[n][1]).alias("texts"),
+                      F.max(ing.UPDATED_DATE_COLUMN).alias(ing.UPDATED_DATE_COLUMN))
+               .select(F.lit(n).alias("object"), F.lit(len(df.columns)).alias("columns"), "*")
+               for n, df in loaded.items()]
+    return reduce(DataFrame.unionByName, reports)
 
 
 QUERIES.update({
@@ -367,41 +384,92 @@ QUERIES.update({
 
 
 
+MODEL_CONFIG = mo.ModelConfig()  # the whole search
+_models: dict = {}  # by application and tables: where the fitted model and its tables are
+
+
 def _modelled(spark, sf):
-    abt = cast_model_inputs(spark, sf)
-    feats = mo.select_features(abt, selection_features())
-    return mo.model_base_table(abt, feats, cfg=mo.ModelConfig(folds=3, parallelism=2))
+    """(base table, predictions, loaded model, kept features, data modelled):
+    fitted and saved by the first query that asks, read back by all."""
+    key = (spark.sparkContext.applicationId, sf, repr(MODEL_CONFIG))
+    if key not in _models:
+        root = scratch_path(spark, "mbt")
+        abt = cut_lineage(cast_model_inputs(spark, sf), "model_abt")
+        kept = mo.select_features(abt, selection_features())
+        mbt, preds, model = mo.model_base_table(abt, kept, cfg=MODEL_CONFIG)
+        mo.save_model(model, mbt, f"{root}/artifacts", f"{root}/data")
+        _models[key] = (f"{root}/artifacts", f"{root}/data", preds, kept, abt)
+    artifacts, data, preds, kept, abt = _models[key]
+    return spark.read.parquet(data), preds, mo.load_model(artifacts), kept, abt
+
+
+PREDICTED = ["prediction", "PREDICTED_targetVar", *mo.CLASS_OUTPUTS]
 
 
 def mbt(spark: SparkSession, sf: str) -> DataFrame:
     return _modelled(spark, sf)[0]
 
 
+def mbt_base(spark: SparkSession, sf: str) -> DataFrame:
+    """What of the modelling base table doesn't depend on the forest: base
+    columns, label, label index, and the part a customer is in."""
+    table = _modelled(spark, sf)[0].drop(*PREDICTED)
+    return table.withColumns({c: F.round(c, 6) for c in bt.SALES_IMPUTED.values()})
+
+
 def mbt_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return mo.evaluate(_modelled(spark, sf)[1])
 
 
+def mbt_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored customers of each part, and how many of them have probabilities
+    between 0 and 1 that don't add up to more than 1, a predicted class whose
+    name is the indexed one, and the largest probability on that class."""
+    _, preds, model, _, _ = _modelled(spark, sf)
+    labels = F.array(*[F.lit(x) for x in model.stages[0].labels])
+    probs = [F.coalesce(F.col(c), F.lit(0.0)) for c in mo.CLASS_OUTPUTS]
+    own = F.element_at(F.map_from_arrays(F.array(*[F.lit(c) for c in mo.CLASS_OUTPUTS]), F.array(*probs)), F.col("PREDICTED_targetVar"))
+    total = reduce(lambda a, b: a + b, probs)
+    valid = (total <= 1 + 1e-9) & (F.least(*probs) >= 0) & (F.greatest(*probs) <= F.coalesce(own, F.lit(1.0)))
+    named = F.element_at(labels, F.col("prediction").cast("int") + 1) == F.col("PREDICTED_targetVar")
+    return preds.groupBy("Holdout").agg(F.count(F.lit(1)).alias("scored"), F.sum(valid.cast("long")).alias("valid"),
+                                        F.sum(named.cast("long")).alias("named"))
+
+
+def model_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes, width of the assembled vector, total of the importances."""
+    _, _, model, kept, abt = _modelled(spark, sf)
+    forest = mo.best_forest(model)
+    return spark.createDataFrame([(len(model.stages[0].labels), forest.numFeatures, round(float(sum(forest.featureImportances.toArray())), 6))],
+                                 "classes int, width int, importance double")
+
+
 def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
-    _, preds, model = _modelled(spark, sf)
-    abt = cast_model_inputs(spark, sf).withColumnRenamed(LABEL, mo.LABEL)
-    field = mo.assembled_features_field(model, abt.limit(0))
+    _, _, model, _, abt = _modelled(spark, sf)
+    field = mo.assembled_features_field(model, abt.withColumnRenamed(LABEL, mo.LABEL).limit(0))
     rows = me.feature_importances(mo.best_forest(model).featureImportances, field)
     return spark.createDataFrame(rows, "feature string, idx int, score double")
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Modelling entry point end to end (cast, select, fit, evaluate, save),
-    then the saved pipeline and table are loaded back."""
-    root = scratch_path(spark, "mbt")
-    mo.run_modelling(_abt(spark, sf), selection_features(), mo.ModelConfig(folds=3, parallelism=2),
-                     f"{root}/artifacts", f"{root}/data")
-    mo.load_model(f"{root}/artifacts")
-    return spark.read.parquet(f"{root}/data")
+    """Every scored customer, and whether the loaded pipeline gives the scores
+    that the fitted one gave."""
+    _, preds, model, kept, abt = _modelled(spark, sf)
+    data = (abt.filter(F.col(LABEL) != conf.LABEL_EXCLUDED)
+            .select("CUSTOMER", *[f for f in kept if f != LABEL], F.col(LABEL).alias(mo.LABEL)))
+    again = mo.score(model, data)
+    compared = [c for c in again.columns if c != "CUSTOMER"]
+    again = again.select("CUSTOMER", F.struct(*compared).alias("again"))
+    return preds.join(again, "CUSTOMER", "left").select(
+        "CUSTOMER", F.struct(*compared).eqNullSafe(F.col("again")).alias("same"))
 
 
 QUERIES.update({
     "mbt": mbt,
+    "mbt_base": mbt_base,
     "mbt_metrics": mbt_metrics,
+    "mbt_scores": mbt_scores,
+    "model_shape": model_shape,
     "feature_importances": feature_importances,
     "model_roundtrip": model_roundtrip,
 })

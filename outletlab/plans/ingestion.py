@@ -37,9 +37,11 @@ def load_stamped(table: DataFrame, log: DataFrame, write_operation: str = "WRITE
     return clean_column_names(table).withColumn(column, last_write_date(log, write_operation, **kw))
 
 
-def bulk_load(loader: Callable[[str], DataFrame], names) -> dict:
-    """Lazy DataFrames for a list of objects."""
-    return {name: loader(name) for name in names}
+def bulk_load(loader: Callable[[str], DataFrame], names, log: DataFrame, write_operation: str = "WRITE",
+              **kw) -> dict:
+    """Lazy DataFrames for a list of objects, each loaded in full: clean
+    column names and the date of the last write."""
+    return {name: load_stamped(loader(name), log, write_operation, **kw) for name in names}
 
 
 def layer_database_name(country: str, app: str, owner: str, layer: str) -> str:
@@ -50,6 +52,11 @@ def layer_path(mount: str, org: str, env: str, area: str, country: str) -> str:
     return f"{mount.rstrip('/')}/{org}/{env}/{area.strip('/')}/{country}/"
 
 
-def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).parquet(path)
-    return path
+def write_layer(df: DataFrame, root: str, database: str, table: str, mode: str = "overwrite") -> DataFrame:
+    """Store ``df`` under ``root`` as a table registered in ``database`` (made
+    if it isn't there) and return the table."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    name = f"`{database}`.`{table}`"
+    df.write.mode(mode).option("path", f"{root.rstrip('/')}/{database}/{table}").saveAsTable(name)
+    return spark.table(name)

@@ -27,17 +27,15 @@ CLASS_OUTPUTS = ["Iron", "Bronze", "Silver", "Gold"]
 
 @dataclass
 class ModelConfig:
-    num_trees: list = field(default_factory=lambda: [conf.GRID_NUM_TREES[0]])
-    max_depth: list = field(default_factory=lambda: [conf.GRID_MAX_DEPTH[0]])
-    max_bins: list = field(default_factory=lambda: [conf.GRID_MAX_BINS[0]])
+    """The search: by default all 100 parameter sets on 5 folds."""
+
+    num_trees: list = field(default_factory=lambda: list(conf.GRID_NUM_TREES))
+    max_depth: list = field(default_factory=lambda: list(conf.GRID_MAX_DEPTH))
+    max_bins: list = field(default_factory=lambda: list(conf.GRID_MAX_BINS))
     folds: int = conf.CV_FOLDS
-    parallelism: int = 4
+    parallelism: int = 8
     train_fraction: float = conf.TRAIN_FRACTION
 
-    @classmethod
-    def full_grid(cls) -> "ModelConfig":
-        return cls(list(conf.GRID_NUM_TREES), list(conf.GRID_MAX_DEPTH), list(conf.GRID_MAX_BINS))
-
 
 def split_feature_types(df: DataFrame, exclude=(LABEL, "CUSTOMER")) -> tuple:
     """(continuous, categorical) column lists from the schema (metadata only)."""
@@ -72,16 +70,16 @@ def build_pipeline(categorical, continuous, cfg: ModelConfig | None = None) -> P
 
 def select_features(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP",
                     alpha: float = conf.CHI_SQUARE_ALPHA,
-                    threshold: float = conf.ASSOCIATION_THRESHOLD, keep_all_if_none: bool = True) -> list:
+                    threshold: float = conf.ASSOCIATION_THRESHOLD) -> list:
     """Features significant by chi-square and not too associated with an
     earlier one. Returns the kept names (a list of column names is all that
-    reaches the driver). When no feature is significant, all candidates are
-    kept (``keep_all_if_none``): a forest needs at least one feature."""
+    reaches the driver). It is an error if no feature is significant: there
+    is nothing to learn from."""
     chi = sel.chi_square(abt, features, label, alpha)
     important = {r["feature"] for r in chi.filter("important").select("feature").collect()}
     important = [f for f in features if f in important]
-    if not important and keep_all_if_none:
-        important = list(features)
+    if not important:
+        raise ValueError(f"none of {len(features)} features is significant for {label} at {alpha}")
     if len(important) < 2:
         return important
     pruned = sel.association_prune(sel.associations(abt, important), important, threshold)
@@ -106,20 +104,25 @@ def model_base_table(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP", k
     continuous, categorical = split_feature_types(data, exclude=(LABEL, key))
     train, test = sel.stratified_split_train_test(data, cfg.train_fraction, LABEL, key)
     model = build_pipeline(categorical, continuous, cfg).fit(train)
+    preds = score(model, train, key).withColumn("Holdout", F.lit("Train")).unionByName(
+        score(model, test, key).withColumn("Holdout", F.lit("Test")))
+    # scored once: the table, the metrics and the saved copy all read this
+    preds = cut_lineage(preds, "predictions")
+    return abt.join(preds, key, "left"), preds, model
+
+
+def score(model: PipelineModel, data: DataFrame, key: str = "CUSTOMER") -> DataFrame:
+    """Predictions of a fitted (or loaded) pipeline for labelled rows; rows
+    of the class left out of the report are dropped."""
     labels = list(model.stages[0].labels)
-    scored = (model.transform(train).withColumn("Holdout", F.lit("Train"))
-              .unionByName(model.transform(test).withColumn("Holdout", F.lit("Test"))))
-    scored = scored.filter(F.col(LABEL) != conf.PREDICTION_EXCLUDED)
+    scored = model.transform(data).filter(F.col(LABEL) != conf.PREDICTION_EXCLUDED)
     scored = IndexToString(inputCol="prediction", outputCol="predictionLabel", labels=labels).transform(scored)
     probs = vector_to_array("probability")
-    preds = scored.select(
+    return scored.select(
         key, "prediction", F.col("predictionLabel").alias("PREDICTED_targetVar"),
         F.col(LABEL).alias("labelCol"), F.col(LABEL_INDEX).alias("labelIndCol"),
         *[(probs[labels.index(name)] if name in labels else F.lit(None).cast("double")).alias(name)
-          for name in CLASS_OUTPUTS],
-        "Holdout")
-    mbt = abt.join(preds, key, "left")
-    return mbt, preds, model
+          for name in CLASS_OUTPUTS])
 
 
 def best_forest(model: PipelineModel):

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -96,7 +97,12 @@ def latest_file(spark: SparkSession, root: str, glob: str | None = None) -> Data
 def latest_dataset_directory(spark: SparkSession, root: str, glob: str | None = None) -> str:
     """Directory of the newest file: a one-row result needed on the driver
     because a reader takes a path."""
-    row = latest_file(spark, root, glob).first()
+    try:
+        row = latest_file(spark, root, glob).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
     if row is None or row["path"] is None:
         raise FileNotFoundError(f"no file under {root}")
     return row["directory"]

@@ -47,7 +47,9 @@ CUSTOMER_RAW = {
     "CUST_GRP4_DESC": "concat('group ', cast(c_custkey % 4 as string))",
     "POSTAL_CD": "cast(1000 + c_custkey % 900 as string)",
     "ERDAT": "case when c_custkey % 13 = 0 then '20010801' else '19990101' end",
-    "_BIC_C_CCAF": "concat('C', cast(c_custkey % 7 as string))",
+    # a class that depends on a feature (urbanicity is 1 + c_custkey % 3), so that there is something to model
+    "_BIC_C_CCAF": ("concat('C', cast(case c_custkey % 3 when 0 then c_custkey % 7 when 1 then 3 + c_custkey % 2 "
+                    "else 4 + c_custkey % 2 end as string))"),
     "LATITUDE": ("case when c_custkey % 97 = 0 then null else "
                  "cast(45 + cast(c_custkey * 7919 % 10007 as double) / 10007 * 2 as string) end"),
     "LONGITUDE": ("case when c_custkey % 97 = 0 then null else "
