@@ -10,9 +10,11 @@ Groups are never expanded into all pairs. Equal sets collapse to one
 representative first. In a band's bucket each member is compared with one
 centre, first the member that shares most bands, then another; the verified
 links are contracted to components. What is left in buckets that still hold
-several components is finished exactly: each document posts only its rarest
-shingles, as many as it would have to differ in (prefix filter), and documents
-of different components that meet at one are verified. Nothing is capped.
+several components is finished exactly, by what each document does not have in
+common with its bucket's centre: two documents can only be close if they share
+enough of these differences, so each posts its rarest ones (prefix filter) and
+documents of different components that meet at one are verified. Nothing is
+capped.
 """
 
 from __future__ import annotations
@@ -131,11 +133,23 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
 
 
-def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(centre, id, h) of every shingle that only one of the two texts has."""
     for batch in batches:
-        for lo, _, data, offsets in text_blocks(batch.column(1)):
+        centre, ident, text_c, text = batch.columns
+        for lo, hi, data, offsets in text_blocks(text):
             row, value = shingle_sets(data, offsets)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), pa.array(value.view(np.int64))], names=["id", "h"])
+            for first, last, data_c, offsets_c in text_blocks(text_c.slice(lo, hi - lo)):
+                row_c, value_c = shingle_sets(data_c, offsets_c)
+                mine = slice(*np.searchsorted(row, [first, last]))
+                rows, values = np.concatenate([row[mine], row_c + first]), np.concatenate([value[mine], value_c])
+                order = np.lexsort((values, rows))
+                rows, values = rows[order], values[order]
+                same = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
+                alone = ~(np.append(same, False) | np.append(False, same))
+                take = pa.array(rows[alone] + lo)
+                yield pa.RecordBatch.from_arrays([centre.take(take), ident.take(take), pa.array(values[alone].view(np.int64))],
+                                                 names=["centre", "rep", "h"])
 
 
 def comparable(n: str, m: str) -> Column:
@@ -143,27 +157,47 @@ def comparable(n: str, m: str) -> Column:
     return (F.lit(100) * F.least(n, m)) >= (F.lit(PERCENT) * F.greatest(n, m))
 
 
-def prefix_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (rep, rep2) of ``nodes`` (rep, n, label) with different labels
-    that can meet the threshold: an exact prefix-filter join.
+def may_differ(total: Column) -> Column:
+    """Shingles in which two sets of ``total`` shingles together may differ."""
+    return F.floor(total * (100 - PERCENT) / (100 + PERCENT))
+
+
+def difference_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (rep, rep2) of ``nodes`` (centre, rep, n, label) with the same
+    centre and different labels that can meet the threshold: an exact
+    prefix-filter join on D, the symmetric difference with the centre.
 
-    A set of n shingles shares at least PERCENT of them with any partner, so
-    with all shingles in one order, the rarest first, the two must meet among
-    the first n - ceil(PERCENT * n / 100) + 1 of each. Shingles of one
-    document alone take their places in the order but join nothing.
+    |x △ y| = |D(x) △ D(y)|, so with T = may_differ(|x| + |y|) a link
+    needs |D(x) ∩ D(y)| >= o = (|D(x)| + |D(y)| - T) / 2. If o <= 0, x and y
+    are both linked with the centre itself, which has been tested, and have its
+    label. Else, with differences in one order, the rarest first, they meet
+    among the first |D(x)| - o + 1 and |D(y)| - o + 1 of them; whatever the
+    partner, that is among the first T + 1. Differences of one document alone
+    take their places in the order but join nothing.
     """
-    rows = texts.join(nodes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "text")
-    rows = cut_lineage(rows.mapInArrow(_shingle_rows, StructType([texts.schema["id"], StructField("h", LongType())])), "open_shingles")
-    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    ordered = (rows.join(shared, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("in_order"))
-               .join(nodes.select(F.col("rep").alias("id"), "n", "label"), "id"))
-    places = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("in_order"))
-    posts = ordered.filter(places > 0).select(F.explode(F.slice("in_order", F.lit(1), places.cast("int"))).alias("at"), F.col("id").alias("rep"), "n", "label")
-    posts = cut_lineage(posts.select("at.h", "rep", "n", "label"), "posts")
-    mixed = posts.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
-    posts = cut_lineage(posts.join(mixed, "h", "left_semi"), "posts")
-    other = posts.select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-    return posts.join(other, "h").filter((F.col("label") < F.col("label2")) & comparable("n", "n2")).select("rep", "rep2")
+    named = lambda a, b: texts.select(F.col("id").alias(a), F.col("text").alias(b))
+    both = nodes.select("centre", "rep").join(named("rep", "text"), "rep").join(named("centre", "text_c"), "centre")
+    schema = StructType([nodes.schema["centre"], nodes.schema["rep"], StructField("h", LongType())])
+    rows = cut_lineage(both.select("centre", "rep", "text_c", "text").mapInArrow(_difference_batches, schema), "differences")
+    held = rows.groupBy("centre", "h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    sizes = rows.groupBy("centre", "rep").agg(F.count(F.lit(1)).alias("d"))
+    largest = may_differ(F.col("n") + F.floor(F.col("n") * 100 / PERCENT))
+    ordered = (rows.join(held, ["centre", "h"]).groupBy("centre", "rep").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("in_order"))
+               .join(sizes, ["centre", "rep"]).join(nodes, ["centre", "rep"])
+               .withColumn("alone", F.col("d") - F.size("in_order")))
+    places = (largest + 1 - F.col("alone")).cast("int")
+    posts = (ordered.filter(places > 0)
+             .select("centre", "rep", "n", "label", "d", "alone", F.posexplode(F.slice("in_order", F.lit(1), places)).alias("place", "at"))
+             .select("centre", "at.h", "rep", "n", "label", "d", (F.col("alone") + F.col("place")).alias("place")))
+    posts = cut_lineage(posts, "posts")
+    mixed = posts.groupBy("centre", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("centre", "h")
+    posts = cut_lineage(posts.join(mixed, ["centre", "h"], "left_semi"), "posts")
+    other = posts.select("centre", "h", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label", "d", "place")])
+    overlap = F.ceil((F.col("d") + F.col("d2") - may_differ(F.col("n") + F.col("n2"))) / 2)
+    return (posts.join(other, ["centre", "h"])
+            .filter((F.col("label") < F.col("label2")) & comparable("n", "n2")
+                    & (F.col("place") <= F.col("d") - overlap) & (F.col("place2") <= F.col("d2") - overlap))
+            .select("rep", "rep2"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -252,9 +286,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             order = F.xxhash64("rep") if step else -F.col("company")
             centres = open_rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "label")).alias("c")).select(
                 "key", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2"), F.col("c.label").alias("label2"))
+            if not step:
+                centres = cut_lineage(centres, "centres")
+                first_centres = centres.select("key", F.col("rep2").alias("centre"))
             pairs = open_rows.join(centres, "key").filter((F.col("label") != F.col("label2")) & comparable("n", "n2"))
         else:
-            pairs = prefix_pairs(open_rows.select("rep", "n", "label").distinct(), texts)
+            members_of = open_rows.join(first_centres, "key").select("centre", "rep", "n", "label").distinct()
+            pairs = difference_pairs(cut_lineage(members_of, "open_members"), texts)
         test(pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
     else:
         roots = components(reduce(DataFrame.union, links))
