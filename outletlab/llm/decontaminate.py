@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from outletlab.session import cut_lineage
+
 ERROR_RATE = 0.06  # edits allowed a character of the item
 MIN_ITEM_CHARS = 20  # a shorter item can't be told from chance and isn't searched
 BROADCAST_CHARS = 16_000_000  # characters of items searched for in one pass
@@ -174,6 +176,7 @@ def _matcher_batches(shared: Broadcast, names: list[str]):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in whose text no test item was found."""
-    hit = contamination(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__hit")).distinct()
+    """The rows of ``docs`` in whose text no test item was found. The ids found
+    are stored first, so that a small set is broadcast by its known size."""
+    hit = cut_lineage(contamination(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__hit")).distinct(), "contaminated")
     return docs.join(hit, docs[id_col] == F.col("__hit"), "left_anti")

@@ -305,6 +305,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component."""
+    """The rows of ``docs`` that stay: one document of each component. The ids
+    that go are stored first: where they are few, their known size lets the
+    planner broadcast them and leave the texts in place."""
     gone = near_duplicates(docs, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
+    gone = cut_lineage(gone, "near_copies")
     return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
