@@ -25,6 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
     rejected = (label_languages(docs, model).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE))
                 .select(F.col("doc_id").alias("__rejected")).distinct())
+    rejected = cut_lineage(rejected, "rejected")  # stored: a small set is broadcast by its known size
     return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("__rejected")), "left_anti")
 
 
