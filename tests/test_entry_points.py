@@ -2,12 +2,19 @@
 
 import tempfile
 
+import pytest
+
+import __spark_entry__ as E
+
 from outletlab.checks import params as P
 from outletlab.checks import queries as Q
 from outletlab.plans.base_table import build_and_store_base_table
+from outletlab.plans import model as mo
 from outletlab.sources import files as fs
+from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
+MODEL_SF = "/root/testdata/sf0.01"
 
 
 def test_base_table_run_twice_appends_nothing_new(spark):
@@ -23,8 +30,37 @@ def test_base_table_run_twice_appends_nothing_new(spark):
     assert fs.latest_dataset_directory(spark, root).endswith("20011102_000001.csv")
 
 
-def test_model_metrics(spark):
-    out = Q.mbt_metrics(spark, SF).collect()
-    assert {r.Holdout for r in out} <= {"Train", "Test"}
-    for r in out:
-        assert 0.0 <= r.accuracy <= 1.0
+@pytest.fixture(scope="module")
+def small_search():
+    """One parameter set on two folds; the registered queries run the whole grid."""
+    whole, Q.MODEL_CONFIG = Q.MODEL_CONFIG, mo.ModelConfig([5], [4], [8], folds=2)
+    yield
+    Q.MODEL_CONFIG = whole
+
+
+def test_the_whole_grid_is_the_default():
+    cfg = Q.MODEL_CONFIG
+    assert len(cfg.num_trees) * len(cfg.max_depth) * len(cfg.max_bins) == 100 and cfg.folds == 5
+
+
+@pytest.mark.parametrize("key", ["mbt_base", "mbt_scores", "model_roundtrip", "model_shape"])
+def test_model_queries_match_their_oracles(spark, small_search, key):
+    res = compare(spark, duck(MODEL_SF), MODEL_SF, key, E.queries()[key], E.oracle_sql()[key])
+    assert res["ok"], res
+
+
+def test_model_metrics_recomputed_from_the_predictions(spark, small_search):
+    rows = {r.Holdout: r for r in Q.mbt_metrics(spark, MODEL_SF).collect()}
+    table = Q.mbt(spark, MODEL_SF).filter("Holdout IS NOT NULL").toPandas()
+    assert set(rows) == set(table.Holdout)
+    for part, frame in table.groupby("Holdout"):
+        assert abs(rows[part].accuracy - (frame.PREDICTED_targetVar == frame.labelCol).mean()) < 1e-12
+        assert 0 <= rows[part].auc <= 1 and 0 <= rows[part].auc_ovo <= 1
+    importances = Q.feature_importances(spark, MODEL_SF).collect()
+    assert abs(sum(r.score for r in importances) - 1) < 1e-9
+
+
+def test_nothing_significant_is_an_error(spark):
+    df = spark.createDataFrame([(str(i % 2), str(i // 2 % 2)) for i in range(80)], "x string, y string")
+    with pytest.raises(ValueError, match="none of 1 features"):
+        mo.select_features(df, ["x"], "y")

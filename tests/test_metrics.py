@@ -61,3 +61,33 @@ def test_auc_with_scores_in_a_narrow_band_and_ties(spark):
     got = {r["class"]: r.auc for r in me.auc_one_vs_rest(df, partitions=5).collect()}
     for cls in (0.0, 1.0):
         assert abs(got[cls] - brute_auc(rows, cls)) < 1e-12
+
+
+def test_rows_without_score_or_label_are_left_out(spark):
+    rows = [(1.0, 0.9), (1.0, 0.8), (1.0, None), (1.0, None), (0.0, 0.1), (0.0, 0.2), (0.0, None), (None, 0.5)]
+    df = spark.createDataFrame([(a, a, b, None) for a, b in rows], "label double, prediction double, probability double, g string")
+    assert {r["class"]: r.auc for r in me.auc_one_vs_rest(df).collect()} == {1.0: 1.0, 0.0: 0.0}
+    grouped = me.metric_table(df, by="g").collect()  # a NULL group is a group
+    assert len(grouped) == 1 and grouped[0].accuracy == 1.0 and grouped[0].auc == 0.5
+
+
+def test_classes_called_by_name(spark):
+    df = spark.createDataFrame([("Gold", "Gold"), ("Gold", "Iron"), ("Iron", "Iron"), (None, "Iron"), ("Iron", None)], "label string, prediction string")
+    got = {(r.metric, r["class"]): r.value for r in me.classification_metrics(df).collect()}
+    assert got[("accuracy", None)] == 2 / 3 and got[("precision", "Iron")] == 0.5 and got[("recall", "Gold")] == 0.5
+
+
+def test_one_vs_one_equals_counting_pairs(spark):
+    names = ["A", "B", "C"]
+    rows = [(names[i * 7 % 3], *(None if (i + k) % 11 == 0 else (i * (13 + k) % 17) / 17 for k in range(3))) for i in range(90)]
+    df = spark.createDataFrame(rows, "lab string, A double, B double, C double")
+    pairs = []
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        both = []
+        for own, other in ((i, j), (j, i)):
+            scores = {c: [r[1 + own] for r in rows if r[0] == names[c] and r[1 + i] is not None and r[1 + j] is not None] for c in (own, other)}
+            wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in scores[own] for n in scores[other])
+            both.append(wins / (len(scores[own]) * len(scores[other])))
+        pairs.append(sum(both) / 2)
+    got = me.auc_one_vs_one(df, "lab", {c: c for c in names}).first().auc
+    assert abs(got - sum(pairs) / 3) < 1e-12

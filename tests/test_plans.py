@@ -2,6 +2,8 @@
 join, no row-at-a-time Python, no single-partition exchange in the source
 pipelines."""
 
+import re
+
 import pytest
 
 from outletlab.checks import queries as Q
@@ -42,3 +44,30 @@ def test_partition_filters_reach_the_scan(spark):
 def test_dynamic_partition_pruning_by_country(spark):
     plan = formatted(spark, Q.scan_union_partitions(spark, SF))
     assert "dynamicpruning" in plan.lower()
+
+
+def test_sales_lines_are_never_dealt_by_day(spark):
+    """The calendar is broadcast on its counted size, whatever the planner would do."""
+    from outletlab.operators import features as fe
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed_plan(Q.sales_lines(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(CALDAY" not in plan
+    days = spark.range(300_000).selectExpr("cast(id as string) as CALDAY", "'2001001' as FISCPER")
+    raw = spark.createDataFrame([], ", ".join(f"{c} string" for c in (
+        "CUSTOMER", "CALDAY", "MATERIAL", "FIELDNM005", "FIELDNM013", "FIELDNM016", "FIELDNM017", "FIELDNM018", "FISCPER")))
+    with pytest.raises(ValueError, match="calendar_days has 300000 rows"):
+        fe.sales_lines(raw, days)
+
+
+def test_selection_cells_are_not_dealt_by_feature_or_pair(spark):
+    """Sort-merge joins on these few keys alone would gather the cells; the
+    margins they meet are counted and broadcast."""
+    for key, column in (("chi_square", "feature"), ("association_matrix", "pair")):
+        plan = executed_plan(Q.QUERIES[key](spark, SF))
+        final = plan.split("== Initial Plan ==")[0]
+        assert not re.search(rf"SortMergeJoin \[{column}#\d+\], .*Inner", final), final

@@ -54,3 +54,37 @@ def test_external_table_roundtrip(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     back = fs.save_table(df, "outletlab_tbl_test", f"{root}/t")
     assert back.collect()[0].asDict() == {"k": 1, "v": "a"}
+
+
+def test_snapshot_columns_go_by_the_header(spark):
+    root = tempfile.mkdtemp(prefix="header-")
+    fs.write_csv(spark.createDataFrame([("1", "x")], "b string, a string"), f"{root}/out/s.csv")
+    row = fs.load_latest_csv(spark, root).select("a", "b").first()
+    assert (row.a, row.b) == ("x", "1")
+
+
+def test_scratch_folder_rules(spark, monkeypatch):
+    from outletlab import session
+
+    frame = session.cut_lineage(spark.range(5), "kept")
+    assert frame.count() == 5
+    path = session._scratch[spark.sparkContext.applicationId][-1]
+
+    class Cluster:
+        """A session on a cluster whose checkpoint folder isn't set."""
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    try:
+        session.checkpoint_root(Cluster)
+    except ValueError as error:
+        assert "spark.checkpoint.dir" in str(error)
+    else:
+        raise AssertionError("a cluster without a shared folder was accepted")
+    kept = {spark.sparkContext.applicationId: [path]}
+    monkeypatch.setattr(session, "_scratch", kept)
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
