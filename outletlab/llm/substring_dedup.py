@@ -29,7 +29,7 @@ from outletlab.session import cut_lineage
 
 MIN_BYTES = 200
 ANCHOR_BYTES = 32
-BLOCK_BYTES = 3 << 20  # segment bytes of one index
+BLOCK_BYTES = 1 << 20  # segment bytes of one index on average; it takes some fifty times that memory
 HOT_SEGMENTS = 20_000  # an anchor with more distinct segments is dealt by whole strings
 SCAN_BYTES = 1 << 18
 _PLACE_BITS = U64(24)
@@ -129,14 +129,14 @@ class RunLengthIndex:
         previous = self.order[np.maximum(self.run_start - 1, 0)]
         common = _common_prefix(self.text, self.first_sample, previous)
         common[self.run_start == 0] = 0
-        sampled = np.full(n, -1, np.int64)
+        sampled = np.full(n, -1, np.int32)
         sampled[self.first_sample] = common
-        at = np.maximum.accumulate(np.where(sampled >= 0, np.arange(n), 0))
-        with_previous = np.maximum(sampled[at] - (np.arange(n) - at), 0)
-        ranked = with_previous[self.order]
-        longest = ranked.copy()
-        longest[:-1] = np.maximum(longest[:-1], ranked[1:])
-        out = np.empty(n, np.int64)
+        place = np.arange(n, dtype=np.int32)
+        at = np.maximum.accumulate(np.where(sampled >= 0, place, np.int32(0)))
+        with_previous = np.maximum(sampled[at] - (place - at), 0)
+        longest = with_previous[self.order]
+        longest[:-1] = np.maximum(longest[:-1], longest[1:])
+        out = np.empty(n, np.int32)
         out[self.order] = longest
         return out
 
@@ -150,33 +150,36 @@ def _words(text: np.ndarray) -> np.ndarray:
 
 
 def _suffix_array(text: np.ndarray) -> np.ndarray:
-    """Prefix doubling from eight bytes on; only open groups are sorted again."""
+    """Prefix doubling from eight bytes on; only open groups are sorted again.
+    A group's rank is the place of its first suffix. Blocks are far below
+    2**31 bytes, so places are 32-bit numbers and a pair of them is 64 bits."""
     n = len(text)
     key = _words(text)
-    place = np.argsort(key, kind="stable")
-    rank = np.zeros(n + 1, np.int64)
-    rank[n] = -1
-    key = key[place]
-    group = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(group, n))
-    rank[place] = np.repeat(group, size)
-    active = place[np.repeat(size > 1, size)]
-    depth = 8
+    active = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[active]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    rank = np.zeros(n + 1, np.int32)  # 0 for the end of the text, then places from 1
+    old_first, depth = None, 8
     while len(active):
-        key = rank[active] * (n + 1) + rank[np.minimum(active + depth, n)] + 1
+        first = np.maximum.accumulate(np.where(new, np.arange(len(active), dtype=np.int32), np.int32(0)))
+        if old_first is None:
+            rank[active] = first + 1
+        else:
+            rank[active] += first - old_first
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(active)))
+        active = active[np.repeat(size > 1, size)]
+        key = rank[active].astype(np.int64) << 32 | rank[np.minimum(active + depth, n)]
         order = np.argsort(key, kind="stable")
         active, key = active[order], key[order]
-        old = rank[active]
-        index = np.arange(len(active))
-        old_first = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), index, 0))
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        new_first = np.maximum.accumulate(np.where(new, index, 0))
-        rank[active] = old + new_first - old_first
-        size = np.diff(np.append(np.flatnonzero(new), len(active)))
-        active = active[np.repeat(size > 1, size)]
+        if len(active):
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            key >>= 32
+            whole = np.concatenate([[True], key[1:] != key[:-1]])
+            old_first = np.maximum.accumulate(np.where(whole, np.arange(len(active), dtype=np.int32), np.int32(0)))
         depth *= 2
-    out = np.empty(n, np.int64)
-    out[rank[:n]] = np.arange(n)
+    out = np.empty(n, np.int32)
+    out[rank[:n] - 1] = np.arange(n, dtype=np.int32)
     return out
 
 
@@ -211,12 +214,11 @@ def _block_spans(table: pa.Table) -> pa.Table:
     repeated = index.matching_statistics() >= MIN_BYTES
     single = np.flatnonzero(table["n"].to_numpy() == 1)
     mask = np.zeros(len(repeated) + 1, bool)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    strings = sizes - MIN_BYTES  # the last strings of a segment would reach past it
-    near = (np.arange(len(owner)) - begin[owner]) < strings[owner]
-    held_once = np.zeros(len(sizes), bool)
-    held_once[single] = True
-    mask[:-1] = repeated & near & held_once[owner]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    # of segments held once, the places whose strings don't reach past the segment
+    stop = np.zeros(len(sizes), np.int64)
+    stop[single] = (begin + sizes - MIN_BYTES)[single]
+    mask[:-1] = repeated & (np.arange(len(owner)) < stop[owner])
     first = np.flatnonzero(mask[:-1] & ~np.concatenate([[False], mask[:-2]]))
     last = np.flatnonzero(mask[:-1] & ~mask[1:])
     rows = owner[first]
@@ -263,7 +265,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     key = [docs.schema["id"], docs.schema["t"]]
     longs = lambda *names: [StructField(c, LongType()) for c in names]
     found = cut_lineage(docs.mapInArrow(_segment_batches, StructType([*key, *longs("place", "anchor", "content")])), "segments")
-    again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor")
+    # stored, so that a hot anchor's rows can be split over tasks when they join it
+    again = cut_lineage(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor"), "anchors_again")
     found = cut_lineage(found.join(again, "anchor"), "repeated_anchors")
     classes = cut_lineage(found.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "t", "place")).alias("holder")),
                           "segment_classes")
