@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,6 +40,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
                         "breadcrumb breadcrumbs header masthead footer sidebar aside complementary notice notices cookie cookies "
                         "consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended "
+                        "disclaimer alert privacy copyright legal teaser teasers skip "
                         "comment comments respond reply replies disqus pagination pager toolbar widget widgets search contentinfo".split())
 KEPT = frozenset("article main body html".split())
 # a start tag ends an open element of these kinds, up to the nearest of the third column
@@ -53,8 +55,10 @@ class Tree:
     """Nodes in page order: parent, name, and text parts owned by a node."""
 
     def __init__(self, source: str):
-        self.name, self.parent, self.dropped = ["html"], [-1], [False]
+        self.name, self.parent = ["html"], [-1]
+        self.dropped, self.marked = [False], [False]  # by its element, or by its class, id or role
         self.parts: list[tuple[int, str]] = []  # (node, text), in page order
+        self.open: Counter[str] = Counter()  # names on the stack, so that it is only searched for what is there
         stack = [0]
         at, n = 0, len(source)
         lowered: str | None = None
@@ -76,7 +80,7 @@ class Tree:
             if name in RAW:
                 lowered = lowered if lowered is not None else _ascii_lower(source)
                 close = lowered.find("</" + name, at)
-                stack.pop()
+                self._cut(stack, len(stack) - 1)
                 if close < 0:
                     break
                 at = source.find(">", close) + 1 or n
@@ -87,56 +91,67 @@ class Tree:
         if name in CLOSES:
             self._close(stack, *CLOSES[name])
         if name in HEADINGS and self.name[stack[-1]] in HEADINGS:
-            stack.pop()
+            self._cut(stack, len(stack) - 1)
         node = len(self.name)
         self.name.append(name)
         self.parent.append(stack[-1])
-        self.dropped.append(self._unwanted(name, attributes, stack))
+        self.dropped.append(name in DROPPED or bool(attributes and HIDDEN.search(attributes)) or name == "header" and not any(
+            self.name[k] in ("article", "main") for k in stack))  # a page's header; an article's own holds its title
+        self.marked.append("=" in attributes and name not in KEPT and any(
+            not BOILERPLATE.isdisjoint(WORDS.findall(value.lower())) for _, value in NAMED.findall(attributes)))
         if name in VOID:
             if name == "br":
                 self.parts.append((stack[-1], " "))
         else:
             stack.append(node)
+            self.open[name] += 1
+
+    def _cut(self, stack: list[int], k: int) -> None:
+        for node in stack[k:]:
+            self.open[self.name[node]] -= 1
+        del stack[k:]
 
     def _close(self, stack: list[int], names: set[str], scope: frozenset[str] | set[str]) -> None:
+        if not any(self.open[x] for x in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if self.name[stack[k]] in names:
-                del stack[k:]
+                self._cut(stack, k)
                 return
             if self.name[stack[k]] in scope:
                 return
 
     def _end(self, stack: list[int], name: str) -> None:
+        if not self.open[name]:
+            return
         for k in range(len(stack) - 1, 0, -1):
             if self.name[stack[k]] == name:
-                del stack[k:]
+                self._cut(stack, k)
                 return
             if name not in BLOCKS and self.name[stack[k]] in BLOCKS:
                 return  # an inline end tag doesn't close the block around it
 
-    def _unwanted(self, name: str, attributes: str, stack: list[int]) -> bool:
-        if name in DROPPED:
-            return True
-        if name == "header":  # a page's header; an article's own holds its title
-            return not any(self.name[k] in ("article", "main") for k in stack)
-        if not attributes or name in KEPT:
-            return False
-        if HIDDEN.search(attributes):
-            return True
-        if "=" not in attributes:
-            return False
-        return any(not BOILERPLATE.isdisjoint(WORDS.findall(value.lower())) for _, value in NAMED.findall(attributes))
-
 
 def _ascii_lower(text: str) -> str:
     return "".join(c.lower() if c < "\x80" else c for c in text) if not text.isascii() else text.lower()
 
 
 def main_text(source: str) -> str:
-    """The article's blocks, joined by two line feeds; empty if there is none."""
+    """The article's blocks, joined by two line feeds; empty if there is none.
+    A class or id doesn't take an element out that holds an article or main
+    element, nor when nothing would be left."""
     tree = Tree(source)
+    holds = [False] * len(tree.name)
+    for k in range(len(tree.name)):
+        if tree.name[k] in ("article", "main"):
+            while k > 0 and not holds[k]:
+                holds[k], k = True, tree.parent[k]
+                tree.marked[k] = False
+    return _select(tree, [a or b for a, b in zip(tree.dropped, tree.marked, strict=True)]) or _select(tree, list(tree.dropped))
+
+
+def _select(tree: Tree, gone: list[bool]) -> str:
     n = len(tree.name)
-    gone = tree.dropped
     for k in range(1, n):
         gone[k] = gone[k] or gone[tree.parent[k]]
     parts = [(k, html.unescape(t) if "&" in t else t) for k, t in tree.parts if not gone[k]]

@@ -32,6 +32,14 @@ def test_boilerplate_is_left_out():
     assert main_text(source).split("\n\n") == want
 
 
+def test_names_do_not_take_the_article_out():
+    a, b = words(1, 60), words(2, 80)
+    inner = f"<div class='ad banner'>{words(3, 40)}</div><h1>Head</h1><p>{a}</p><p>{b}</p>"
+    for wrapped in (f"<div class='layout has-sidebar'><article class='widget'>{inner}</article></div>", f"<div id=content-with-menu>{inner}</div>"):
+        assert a in main_text(page(wrapped)) and b in main_text(page(wrapped))
+    assert main_text(page(f"<div class='layout has-sidebar'><article>{inner}</article></div>")) == "\n\n".join(["Head", a, b])
+
+
 def test_broken_markup_entities_and_nesting():
     assert main_text("") == "" and main_text("<p></p>") == "" and main_text("<script>var x = '<p>a</p>'") == ""
     assert main_text("plain &lt;text&gt; &eacute;&#233;&#xe9; a < b") == "plain <text> ééé a < b"
