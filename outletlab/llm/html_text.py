@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*+)(?:>|\Z)", re.S)
 NAMED = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
 WORDS = re.compile(r"[a-z]+")
@@ -95,8 +96,8 @@ class Tree:
         node = len(self.name)
         self.name.append(name)
         self.parent.append(stack[-1])
-        self.dropped.append(name in DROPPED or bool(attributes and HIDDEN.search(attributes)) or name == "header" and not any(
-            self.name[k] in ("article", "main") for k in stack))  # a page's header; an article's own holds its title
+        self.dropped.append(name in DROPPED or bool(attributes and HIDDEN.search(attributes)) or name == "header" and not (
+            self.open["article"] or self.open["main"]))  # a page's header; an article's own holds its title
         self.marked.append("=" in attributes and name not in KEPT and any(
             not BOILERPLATE.isdisjoint(WORDS.findall(value.lower())) for _, value in NAMED.findall(attributes)))
         if name in VOID:
@@ -199,7 +200,11 @@ def _select(tree: Tree, gone: list[bool]) -> str:
     threshold = min(density[k] for k in path)
     on_path = set(path)
     # within the article or main element around it, headings beside the path belong to it
-    scope = {k for i, k in enumerate(path) if any(tree.name[x] in ("article", "main") for x in path[i:])}
+    scope, within = set(), False
+    for k in reversed(path):
+        within = within or tree.name[k] in ("article", "main")
+        if within:
+            scope.add(k)
     keep = [False] * n
     for k in nodes:
         up = above[k]
