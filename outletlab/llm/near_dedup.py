@@ -8,9 +8,8 @@ coordinates propose pairs; every link is confirmed on the full sets.
 
 Groups are never expanded into all pairs. Equal sets collapse to one
 representative first. In a band's bucket each member is compared with one
-centre, first the member that shares most bands, then another; the verified
-links are contracted to components. What is left in buckets that still hold
-several components is finished exactly, by what each document does not have in
+centre, the member that shares most bands; the verified links are contracted to
+components. What is left in buckets that still hold several components is finished exactly, by what each document does not have in
 common with its bucket's centre: two documents can only be close if they share
 enough of these differences, so each posts its rarest ones (prefix filter) and
 documents of different components that meet at one are verified. Nothing is
@@ -20,7 +19,6 @@ capped.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +33,6 @@ SHINGLE_WORDS = 5
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 COORDINATES = 120
 BAND_ROWS = 5  # 24 bands: a pair at 0.85 shares none with probability (1 - 0.85**5)**24 < 1e-6
-STAR_ROUNDS = 2
 
 BLANKS = np.zeros(256, bool)
 BLANKS[[9, 10, 11, 12, 13, 32]] = True
@@ -204,19 +201,21 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest
     node reachable. Alternates large-star and small-star steps; minima are
     combined before the shuffle and the joins can be split, so a hub of any
-    degree is spread out. Runs until every node points straight at its root.
+    degree is spread out. Runs until a round changes nothing: then every node
+    points straight at its root.
     """
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
                         .filter("u <> v").distinct(), "edges")
+    before = None
     while True:
-        shape = edges.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("v").alias("nodes")).first()
-        if shape.n == shape.nodes and edges.join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty():
+        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftrightunsigned(F.xxhash64("v", "u"), 24)).alias("sum")).first()
+        if state == before or not state.n:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
                 edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+        before = state
         both = edges.select("v", "u").union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = (both.join(low, "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-                 .filter("u <> v").distinct())
+        large = both.join(low, "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u <> v").distinct()
         large = cut_lineage(large, "edges")
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = (large.join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
@@ -234,7 +233,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows; other columns are not read. Sets of equal size and equal 128-bit
     sums of hashed shingles are taken as equal.
     """
-    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     longs = [StructField(c, LongType()) for c in ("n", "s1", "s2")]
@@ -254,50 +252,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     company = sized.groupBy("rep").agg(F.sum("c").alias("company"))
     buckets = cut_lineage(sized.drop("c").join(company, "rep"), "buckets")
     nodes = buckets.select(F.col("rep").alias("id")).distinct()
-    texts = cut_lineage(source.join(nodes, "id", "left_semi"), "candidate_texts")
-
-    links: list[DataFrame] = []
-    tested: list[DataFrame] = []
-
-    def test(pairs: DataFrame) -> None:
-        """Add the pairs (a, b, a < b) that meet the threshold to the links."""
-        pairs = pairs.distinct()
-        if tested:
-            pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs, "pairs")
-        tested.append(pairs)
+    # always dealt by id: a plan that broadcast the ids of a small corpus would say nothing about a large one
+    texts = cut_lineage(source.join(nodes.hint("merge"), "id", "left_semi"), "candidate_texts")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of the candidate pairs those that meet the threshold, as (a, b)."""
+        pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         with_texts = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
                       .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
-        found = with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_linked_batches, pairs.schema)
-        links.append(cut_lineage(found, "links"))
-
-    roots = spark.createDataFrame([], StructType([StructField("node", id_type), StructField("root", id_type)]))
-    open_rows = buckets.withColumn("label", F.col("rep"))
-    for step in range(STAR_ROUNDS + 1):
-        if step:
-            roots = cut_lineage(components(reduce(DataFrame.union, links)), "roots")
-            labelled = (buckets.join(roots, F.col("rep") == F.col("node"), "left")
-                        .select("key", "rep", "n", "company", F.coalesce("root", "rep").alias("label")))
-            mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-            open_rows = cut_lineage(labelled.join(mixed.select("key"), "key", "left_semi"), "open_rows")
-            if open_rows.isEmpty():
-                break
-        if step < STAR_ROUNDS:
-            order = F.xxhash64("rep") if step else -F.col("company")
-            centres = open_rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "label")).alias("c")).select(
-                "key", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2"), F.col("c.label").alias("label2"))
-            if not step:
-                centres = cut_lineage(centres, "centres")
-                first_centres = centres.select("key", F.col("rep2").alias("centre"))
-            pairs = open_rows.join(centres, "key").filter((F.col("label") != F.col("label2")) & comparable("n", "n2"))
-        else:
-            members_of = open_rows.join(first_centres, "key").select("centre", "rep", "n", "label").distinct()
-            pairs = difference_pairs(cut_lineage(members_of, "open_members"), texts)
-        test(pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
-    else:
-        roots = components(reduce(DataFrame.union, links))
-    found = members.join(roots, F.col("rep") == F.col("node"), "left").select(
-        F.col("id").alias("member"), F.col("n").alias("size"), F.coalesce("root", "rep").alias("component"))
+        return cut_lineage(with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_linked_batches, pairs.schema), "links")
+
+    def root_of(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
+        """``rows`` with ``column`` replaced by its root, if it has one."""
+        known = roots.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+        return rows.join(known, F.col(column) == F.col("__node"), "left").withColumn(
+            column, F.coalesce("__root", column)).drop("__node", "__root")
+
+    best = F.min(F.struct((-F.col("company")).alias("o"), "rep", "n")).alias("c")
+    centres = cut_lineage(buckets.groupBy("key").agg(best).select("key", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2")), "centres")
+    to_centre = buckets.join(centres, "key").filter((F.col("rep") != F.col("rep2")) & comparable("n", "n2"))
+    roots = cut_lineage(components(linked(to_centre)), "roots")
+    labelled = cut_lineage(root_of(buckets.withColumn("label", F.col("rep")), roots, "label"), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    open_members = (labelled.join(mixed, "key", "left_semi").join(centres.select("key", F.col("rep2").alias("centre")), "key")
+                    .select("centre", "rep", "n", "label").distinct())
+    more = linked(difference_pairs(cut_lineage(open_members, "open_members"), texts))
+    joined = cut_lineage(components(root_of(root_of(more, roots, "a"), roots, "b")), "roots")  # roots that belong together
+    found = root_of(root_of(members.withColumn("component", F.col("rep")), roots, "component"), joined, "component").select(
+        F.col("id").alias("member"), F.col("n").alias("size"), "component")
     return (sketches.select("id", "n").join(found, (F.col("id") == F.col("member")) & (F.col("n") == F.col("size")), "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id"),
