@@ -92,14 +92,14 @@ RULE_MEASURES = (
      "monthly_traffic_2021_6_mean", "monthly_traffic_2021_7_mean", "monthly_traffic_2021_8_mean",
      "monthly_traffic_weekend_avg_mean", "wvce_01_sum", "wvce_02_sum", "di_pc_mean", "hh_sum",
      "di_ci_mean", "di_mio_sum", "unempl_sum", "outlet_count"]
-    + [f"WVSEG_{s}_mean" for s in "ABCDEFGHIJU"]
-    + [f"monthly_proportion_{s}_avg_mean" for s in
-       ("residents", "workers", "others", "same_state", "other_state", "unknown")]
-    + [f"{s}_poi" for s in
-       ("commercial_area", "industrial_area", "park_area", "residential_area", "retail_area", "pofw",
-        "pofw_christian", "pofw_muslim", "parking", "transport", "accomodation", "catering",
-        "education_school", "education_university", "health", "leasure", "outdoor", "public",
-        "shopping", "sports", "tourism")]
+    + ["WVSEG_A_mean", "WVSEG_B_mean", "WVSEG_C_mean", "WVSEG_D_mean", "WVSEG_E_mean", "WVSEG_F_mean", "WVSEG_G_mean",
+       "WVSEG_H_mean", "WVSEG_I_mean", "WVSEG_J_mean", "WVSEG_U_mean",
+       "monthly_proportion_residents_avg_mean", "monthly_proportion_workers_avg_mean", "monthly_proportion_others_avg_mean",
+       "monthly_proportion_same_state_avg_mean", "monthly_proportion_other_state_avg_mean", "monthly_proportion_unknown_avg_mean",
+       "commercial_area_poi", "industrial_area_poi", "park_area_poi", "residential_area_poi", "retail_area_poi", "pofw_poi",
+       "pofw_christian_poi", "pofw_muslim_poi", "parking_poi", "transport_poi", "accomodation_poi", "catering_poi",
+       "education_school_poi", "education_university_poi", "health_poi", "leasure_poi", "outdoor_poi", "public_poi",
+       "shopping_poi", "sports_poi", "tourism_poi"]
 )
 
 DEMOGRAPHICS_RAW = {
