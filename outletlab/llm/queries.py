@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators and their DuckDB SQL."""
+"""Registered queries of the training-data operators."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from outletlab.llm.language_id import fit, held_out, label_languages
 from outletlab.llm.licenses import license_scan
 from outletlab.llm.line_dedup import line_dedup
 from outletlab.llm.near_dedup import near_duplicates
+from outletlab.llm.oracle import ORACLE_SQL
 from outletlab.llm.packing import packed_documents
 from outletlab.llm.substring_dedup import remove_repeats
 
@@ -87,21 +88,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": op10_chat_format,
 }
 
-ORACLE_SQL: dict[str, str] = {
-    "op1_exact_dedup": r"""
-        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
-        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-               doc_id = min(doc_id) OVER w AS kept, sha256(body) AS text_sha256
-        FROM t WINDOW w AS (PARTITION BY body)""",
-    "op8_line_dedup": r"""
-        WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM cut),
-        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM l),
-        rep AS (SELECT line_key, max(doc_id) AS keep_id FROM k WHERE length(line_key) >= 20
-                GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3),
-        f AS (SELECT k.*, rep.line_key IS NOT NULL AND k.doc_id <> rep.keep_id AS gone FROM k LEFT JOIN rep USING (line_key))
-        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-        FROM f GROUP BY doc_id""",
-}
+__all__ = ["QUERIES", "ORACLE_SQL"]
