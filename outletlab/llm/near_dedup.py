@@ -208,7 +208,7 @@ def components(links: DataFrame) -> DataFrame:
                         .filter("u <> v").distinct(), "edges")
     before = None
     while True:
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftrightunsigned(F.xxhash64("v", "u"), 24)).alias("sum")).first()
+        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)")).alias("sum")).first()
         if state == before or not state.n:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
                 edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
