@@ -18,6 +18,7 @@ from outletlab.llm.packing import packed_documents
 from outletlab.session import cut_lineage
 
 MIN_LANGUAGE_SCORE = 0.3  # mean probability of the best language below which a text has none
+NEAR_PERCENT = 80  # shared share of five-word shingles from which texts are near duplicates; op4's contract has 85
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return near_dedup(docs)
+    """One document of each group of near duplicates, linked from a similarity of 0.80 up."""
+    return near_dedup(docs, percent=NEAR_PERCENT)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

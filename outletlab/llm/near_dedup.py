@@ -3,8 +3,9 @@
 Documents are sets of five-word shingles. A sketch of 120 coordinates is
 filled in rounds: in each of the first 120 rounds every shingle is thrown
 into one hashed bin, in the next 120 into a fixed bin each, and a bin keeps
-the smallest (round, hash) it got, so no coordinate stays empty. Bands of five
-coordinates propose pairs; every link is confirmed on the full sets.
+the smallest (round, hash) it got, so no coordinate stays empty. Bands of
+coordinates propose pairs, of as many as the threshold allows (``band_rows``);
+every link is confirmed on the full sets.
 
 Groups are never expanded into all pairs. Equal sets collapse to one
 representative first. In a band's bucket each member is compared with one
@@ -19,6 +20,7 @@ capped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from outletlab.llm.common import U64, mix, prefix_sums, range_hash, runs, text_b
 from outletlab.session import cut_lineage
 
 SHINGLE_WORDS = 5
-PERCENT = 85  # link when 100 * intersection >= PERCENT * union
+PERCENT = 85  # op4: link when 100 * intersection >= PERCENT * union
 COORDINATES = 120
-BAND_ROWS = 5  # 24 bands: a pair at 0.85 shares none with probability (1 - 0.85**5)**24 < 1e-6
+MISSED = 1e-6  # largest probability that a pair at the threshold shares no band
 
 BLANKS = np.zeros(256, bool)
 BLANKS[[9, 10, 11, 12, 13, 32]] = True
@@ -44,6 +46,13 @@ _BAND_FACTORS = mix(np.arange(301, 301 + COORDINATES, dtype=np.uint64)) | U64(1)
 _LOW48 = U64((1 << 48) - 1)
 
 
+def band_rows(percent: int) -> int:
+    """Coordinates a band, the most that let a pair at the threshold share no
+    band with a probability below MISSED: 5 for 85, 4 for 80."""
+    return max(r for r in range(1, COORDINATES + 1)
+               if COORDINATES % r == 0 and (1 - (percent / 100) ** r) ** (COORDINATES // r) < MISSED)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every distinct shingle, ordered by row and hash."""
     low = ASCII_LOWER[data]
@@ -87,7 +96,7 @@ def sketch_sets(row: np.ndarray, value: np.ndarray, n_rows: int) -> np.ndarray:
     return out.reshape(n_rows, COORDINATES)
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch_batches(batches: Iterator[pa.RecordBatch], rows_a_band: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for lo, hi, data, offsets in text_blocks(batch.column(1)):
@@ -98,7 +107,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for s, seed in zip(sums, (U64(0x51ED2701), U64(0xA0761D64)), strict=True):
                 np.add.at(s, row, mix(value ^ seed))
             bands = sketch_sets(row, value, n) * _BAND_FACTORS
-            bands = bands.reshape(n, -1, BAND_ROWS).sum(axis=2, dtype=np.uint64)
+            bands = bands.reshape(n, -1, rows_a_band).sum(axis=2, dtype=np.uint64)
             keys = mix(bands + np.arange(bands.shape[1], dtype=np.uint64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * keys.shape[1]),
                                              pa.array(keys.ravel().view(np.int64)))
@@ -107,7 +116,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 names=["id", "n", "s1", "s2", "bands"])
 
 
-def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, text_a, text_b) whose full sets meet the threshold."""
     for batch in batches:
         a, b, text_a, text_b = batch.columns
@@ -126,7 +135,7 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 rows, values = rows[order], values[order]
                 both = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
                 shared += np.bincount(rows[1:][both], minlength=n)
-            keep = pa.array(np.flatnonzero(100 * shared >= PERCENT * (size - shared)) + lo)
+            keep = pa.array(np.flatnonzero(100 * shared >= percent * (size - shared)) + lo)
             yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
 
 
@@ -149,17 +158,17 @@ def _difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                                                  names=["centre", "rep", "h"])
 
 
-def comparable(n: str, m: str) -> Column:
+def comparable(n: str, m: str, percent: int) -> Column:
     """Length filter: sets of these sizes can meet the threshold."""
-    return (F.lit(100) * F.least(n, m)) >= (F.lit(PERCENT) * F.greatest(n, m))
+    return (F.lit(100) * F.least(n, m)) >= (F.lit(percent) * F.greatest(n, m))
 
 
-def may_differ(total: Column) -> Column:
+def may_differ(total: Column, percent: int) -> Column:
     """Shingles in which two sets of ``total`` shingles together may differ."""
-    return F.floor(total * (100 - PERCENT) / (100 + PERCENT))
+    return F.floor(total * (100 - percent) / (100 + percent))
 
 
-def difference_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def difference_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (rep, rep2) of ``nodes`` (centre, rep, n, label) with the same
     centre and different labels that can meet the threshold: an exact
     prefix-filter join on D, the symmetric difference with the centre.
@@ -178,7 +187,7 @@ def difference_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     rows = cut_lineage(both.select("centre", "rep", "text_c", "text").mapInArrow(_difference_batches, schema), "differences")
     held = rows.groupBy("centre", "h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     sizes = rows.groupBy("centre", "rep").agg(F.count(F.lit(1)).alias("d"))
-    largest = may_differ(F.col("n") + F.floor(F.col("n") * 100 / PERCENT))
+    largest = may_differ(F.col("n") + F.floor(F.col("n") * 100 / percent), percent)
     ordered = (rows.join(held, ["centre", "h"]).groupBy("centre", "rep").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("in_order"))
                .join(sizes, ["centre", "rep"]).join(nodes, ["centre", "rep"])
                .withColumn("alone", F.col("d") - F.size("in_order")))
@@ -190,9 +199,9 @@ def difference_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     mixed = posts.groupBy("centre", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("centre", "h")
     posts = cut_lineage(posts.join(mixed, ["centre", "h"], "left_semi"), "posts")
     other = posts.select("centre", "h", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label", "d", "place")])
-    overlap = F.ceil((F.col("d") + F.col("d2") - may_differ(F.col("n") + F.col("n2"))) / 2)
+    overlap = F.ceil((F.col("d") + F.col("d2") - may_differ(F.col("n") + F.col("n2"), percent)) / 2)
     return (posts.join(other, ["centre", "h"])
-            .filter((F.col("label") < F.col("label2")) & comparable("n", "n2")
+            .filter((F.col("label") < F.col("label2")) & comparable("n", "n2", percent)
                     & (F.col("place") <= F.col("d") - overlap) & (F.col("place2") <= F.col("d2") - overlap))
             .select("rep", "rep2"))
 
@@ -223,8 +232,9 @@ def components(links: DataFrame) -> DataFrame:
         edges = cut_lineage(small, "edges")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of ``docs``.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row of ``docs``; sets are
+    linked from a similarity of ``percent`` up.
 
     component_id is the smallest id reachable over links. A null or blank text
     has an empty set and is linked with nothing; fewer than five words make one
@@ -236,7 +246,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = docs.schema[id_col].dataType
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     longs = [StructField(c, LongType()) for c in ("n", "s1", "s2")]
-    sketches = cut_lineage(source.mapInArrow(_sketch_batches, StructType(
+    sketches = cut_lineage(source.mapInArrow(partial(_sketch_batches, rows_a_band=band_rows(percent)), StructType(
         [StructField("id", id_type), *longs, StructField("bands", ArrayType(LongType()))])), "sketches")
     filled = sketches.filter("n > 0 AND id IS NOT NULL")
     # stored, so that the rows of a hot set can be split over tasks when they join it
@@ -260,7 +270,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         with_texts = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
                       .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
-        return cut_lineage(with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_linked_batches, pairs.schema), "links")
+        return cut_lineage(with_texts.select("a", "b", "text_a", "text_b").mapInArrow(partial(_linked_batches, percent=percent), pairs.schema), "links")
 
     def root_of(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
         """``rows`` with ``column`` replaced by its root, if it has one."""
@@ -270,13 +280,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     best = F.min(F.struct((-F.col("company")).alias("o"), "rep", "n")).alias("c")
     centres = cut_lineage(buckets.groupBy("key").agg(best).select("key", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2")), "centres")
-    to_centre = buckets.join(centres, "key").filter((F.col("rep") != F.col("rep2")) & comparable("n", "n2"))
+    to_centre = buckets.join(centres, "key").filter((F.col("rep") != F.col("rep2")) & comparable("n", "n2", percent))
     roots = cut_lineage(components(linked(to_centre)), "roots")
     labelled = cut_lineage(root_of(buckets.withColumn("label", F.col("rep")), roots, "label"), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
     open_members = (labelled.join(mixed, "key", "left_semi").join(centres.select("key", F.col("rep2").alias("centre")), "key")
                     .select("centre", "rep", "n", "label").distinct())
-    more = linked(difference_pairs(cut_lineage(open_members, "open_members"), texts))
+    more = linked(difference_pairs(cut_lineage(open_members, "open_members"), texts, percent))
     joined = cut_lineage(components(root_of(root_of(more, roots, "a"), roots, "b")), "roots")  # roots that belong together
     found = root_of(root_of(members.withColumn("component", F.col("rep")), roots, "component"), joined, "component").select(
         F.col("id").alias("member"), F.col("n").alias("size"), "component")
@@ -286,10 +296,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept")))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component. The ids
     that go are stored first: where they are few, their known size lets the
     planner broadcast them and leave the texts in place."""
-    gone = near_duplicates(docs, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
+    gone = near_duplicates(docs, id_col, text_col, percent).filter("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
     gone = cut_lineage(gone, "near_copies")
     return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from corpus_pipeline import near_duplicates
 from outletlab.llm import near_dedup as nd
 from outletlab.llm.queries import QUERIES
 from tests.llm.conftest import SF, words
@@ -100,3 +101,20 @@ def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 200), (300, 200), (7, 7), (500, 100)] + [(1000, x) for x in range(1001, 1100)]
     got = {r.node: r.root for r in nd.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **dict.fromkeys((100, 200, 300, 500), 100), **{x: 1000 for x in range(1000, 1100)}}
+
+
+def test_stage_links_from_080_up(spark):
+    """Of 96 shingles each, 87 shared of 105 (0.829): a link of the stage, none of op4."""
+    text = words(11, 100, 10_000).split()
+    other = [*text[:-9], *(f"end{i}" for i in range(9))]
+    rows = [(1, " ".join(text)), (2, " ".join(other)), (3, words(12, 100, 10_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in near_duplicates(spark, docs, SF).collect()} == {1, 3}
+    assert {r.doc_id for r in nd.near_dedup(docs).collect()} == {1, 2, 3}
+    got = nd.near_duplicates(docs, percent=80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3}
+
+
+def test_bands_follow_the_threshold():
+    assert [nd.band_rows(p) for p in (85, 80)] == [5, 4]
+    assert (1 - 0.8 ** 4) ** 30 < nd.MISSED < (1 - 0.8 ** 5) ** 24
