@@ -63,6 +63,13 @@ def test_special_token_text_and_real_sequences(spark):
     assert sorted(x for r in got for x in r.ids) == sorted(x for t in texts.values() for x in ids_of(t).tolist())
 
 
+def test_very_long_white_space(spark):
+    """Runs on which the fast encoder gives up have the ids of the tokenizers file."""
+    texts = {1: " " * 1_100_000, 2: "a b" + "\n" * 1_100_000 + "c <|endoftext|>", 3: "\t" * 1_100_000 + " x", 4: "short"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(pk.packed_documents(docs).collect(), texts)
+
+
 def test_empty(no_docs):
     assert pk.packed_documents(no_docs).collect() == []
 
