@@ -6,6 +6,11 @@ block that contains enough of a template must hold one of the template's first
 words in that order (prefix filter), have enough words (length filter), and at
 each shared word enough words must be left on either side (positional
 filter); what remains is counted in full.
+
+A notice wrapped over lines is a run of words that crosses line ends, at most
+STRETCH times as long as the notice, outside the lines that hold the notice
+alone. The same three filters apply: a run is only looked for around a prefix
+word, where enough of the notice's words are in reach.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 from outletlab.llm.common import bytes_hash, prefix_sums, range_hash, runs, text_blocks
 
 CONTAINMENT = 0.9  # share of a template's distinct words that a block must hold
+STRETCH = 2  # words a wrapped notice may take, as a multiple of its own: comment words, line numbers
 
 # The phrases and labels of the contract.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -69,10 +75,15 @@ class Block:
 
     def tokens(self, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(line, index in the sorted vocabulary) of the distinct vocabulary words of each line."""
+        hit, at = self.places(vocabulary)
+        pairs = np.unique(self.line[hit] * len(vocabulary) + at)
+        return pairs // len(vocabulary), pairs % len(vocabulary)
+
+    def places(self, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, index in the sorted vocabulary) of every vocabulary word, in order."""
         at = np.minimum(np.searchsorted(vocabulary, self.word), len(vocabulary) - 1)
         hit = np.flatnonzero(vocabulary[at] == self.word)
-        pairs = np.unique(self.line[hit] * len(vocabulary) + at[hit])
-        return pairs // len(vocabulary), pairs % len(vocabulary)
+        return hit, at[hit]
 
     def phrase(self, words: list[str]) -> np.ndarray:
         """Indices of the words at which the phrase starts, checked byte by byte."""
@@ -96,6 +107,7 @@ class Join:
         self.rank = rank
         self.templates = [sorted(set(rank[t].tolist())) for t in templates]
         self.need = [math.ceil(containment * len(t) - 1e-9) for t in self.templates]
+        self.reach = [STRETCH * len(t) for t in templates]
 
     def matches(self, line: np.ndarray, token: np.ndarray, words_in_line: np.ndarray) -> list[tuple[int, int, float]]:
         """(line, template, containment) of every pair that meets the threshold.
@@ -123,6 +135,58 @@ class Join:
                     out.append((x, t, shared / len(own)))
         return out
 
+    def wrapped(self, block: Block, vocabulary: np.ndarray, alone: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+        """(line, template, containment) of every notice that crosses line
+        ends; line is that of its first word. ``alone`` has the matches
+        of single lines, whose words aren't looked at again."""
+        word, token = block.places(vocabulary)
+        rank = self.rank[token]
+        out = []
+        for t, (own, need, reach) in enumerate(zip(self.templates, self.need, self.reach, strict=True)):
+            mine = np.zeros(len(self.rank), bool)
+            mine[own] = True
+            prefix = np.zeros(len(self.rank), bool)
+            prefix[own[: len(own) - need + 1]] = True
+            taken = np.array([x for x, u, _ in alone if u == t], np.int64)
+            hit = np.flatnonzero(mine[rank])
+            hit = hit[~np.isin(block.line[word[hit]], taken)]
+            held, at, line = rank[hit], word[hit], block.line[word[hit]]
+            spot = at + block.row[at] * reach  # words of two rows are never in reach
+            rare = np.flatnonzero(prefix[held])
+            low, high = np.searchsorted(spot, spot[rare] - reach, side="right"), np.searchsorted(spot, spot[rare] + reach)
+            near = (high - low >= need) & (line[low] < line[high - 1])
+            low, high = low[near], high[near]
+            if not len(low):
+                continue
+            # neighbourhoods that overlap are read as one
+            first = np.flatnonzero(np.append(True, low[1:] >= np.maximum.accumulate(high)[:-1]))
+            for a, b in zip(low[first].tolist(), np.maximum.reduceat(high, first).tolist(), strict=True):
+                out += [(x, t, share / len(own)) for x, share in _runs_held(held[a:b].tolist(), spot[a:b].tolist(), line[a:b].tolist(), need, reach)]
+        return out
+
+
+def _runs_held(held: list[int], spot: list[int], line: list[int], need: int, reach: int) -> list[tuple[int, int]]:
+    """(line, distinct words) of the runs of at most ``reach`` words that hold
+    ``need`` distinct ones over several lines; of runs that overlap the fullest."""
+    out: list[tuple[int, int]] = []
+    count: dict[int, int] = {}
+    i, best = 0, None  # best: distinct words, first and last place of the run
+    for j, w in enumerate(held):
+        count[w] = count.get(w, 0) + 1
+        while spot[j] - spot[i] >= reach or count[held[i]] > 1:
+            count[held[i]] -= 1
+            if not count[held[i]]:
+                del count[held[i]]
+            i += 1
+        if best and i > best[2]:
+            out.append((line[best[1]], best[0]))
+            best = None
+        if len(count) >= need and line[i] < line[j] and (not best or len(count) > best[0]):
+            best = (len(count), i, j)
+    if best:
+        out.append((line[best[1]], best[0]))
+    return out
+
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
@@ -130,7 +194,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     base_labels is the sorted list of labels of the phrases found; blocks
     lists every (line, label, containment) of a line and a template that it
-    holds to the threshold, lines from 0. The templates are a fixed, short
+    holds to the threshold, lines from 0, a wrapped notice by its first line. The templates are a fixed, short
     list; the words' frequencies are counted over all rows first. A null text
     counts as empty and holds nothing; null ids and repeated rows are scanned
     like any other row; an empty table gives no rows; other columns are not read.
@@ -173,7 +237,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         base[r].add(label)
                 blocks: list[list[dict]] = [[] for _ in range(n)]
                 in_line = np.bincount(block.line)
-                for x, t, share in join.matches(*block.tokens(vocabulary), in_line):
+                alone = join.matches(*block.tokens(vocabulary), in_line)
+                for x, t, share in alone + join.wrapped(block, vocabulary, alone):
                     r = int(np.searchsorted(block.first_line, x, side="right")) - 1
                     blocks[r].append({"line": x - int(block.first_line[r]), "label": labels[t], "containment": share})
                 none = n_base == 0

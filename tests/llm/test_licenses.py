@@ -46,3 +46,27 @@ def test_scattered_words_partial_notices_and_edges(spark, tmp_path, edge_rows):
 def test_clashing_columns_repeated_rows_and_empty(edge_docs, edge_rows, no_docs):
     assert lc.license_scan(edge_docs).count() == len(edge_rows)
     assert lc.license_scan(no_docs).collect() == []
+
+
+def test_notices_wrapped_over_lines(spark, tmp_path):
+    """Every notice broken into lines, with comment marks, is found with its first line and share."""
+    rows, want = [], {}
+    for i, (label, notice) in enumerate(lc.TEMPLATES):
+        w = notice.split()
+        half = len(w) // 2
+        for k, text in enumerate(("/*\n * " + " ".join(w[:half]) + "\n *\n * " + " ".join(w[half:]) + "\n */", "x\n# " + "\n# ".join(w), "x\r\n" + "\r\n".join(w))):
+            rows.append((10 * i + k, text))
+            want[10 * i + k] = (label, 1, 1.0)
+    mit, bsd = lc.TEMPLATES[1][1].split(), lc.TEMPLATES[6][1].split()
+    rows += [(200, "\n".join(mit[:10])), (201, "\n".join(mit[10:])),  # halves of one notice in two rows
+             (202, "\n".join(f"{w} far far" for w in bsd)), (203, "\n".join(bsd[1:])), (204, "\n".join(bsd[3:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.blocks for r in lc.license_scan(docs).collect()}
+    for i, block in want.items():
+        assert [(b.label, b.line, b.containment) for b in got[i]] == [block], i
+    own = len(set(lc.words_of(" ".join(bsd))))
+    assert [(b.label, b.containment) for b in got[203]] == [("bsd", (own - 1) / own)]
+    assert got[200] == got[201] == got[202] == got[204] == []
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.labels, r.score) for r in QUERIES["op6_license_scan"](spark, str(tmp_path)).collect()}
+    assert all(found[i] == (label, 1.0) for i, (label, _, _) in want.items()) and found[204] == ("", 0.0)
