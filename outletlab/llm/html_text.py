@@ -25,8 +25,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
     r"((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*+)(?:>|\Z)", re.S)
-NAMED = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 WORDS = re.compile(r"[a-z]+")
 
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
@@ -43,7 +43,8 @@ BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner
                         "consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended "
                         "disclaimer alert privacy copyright legal teaser teasers skip "
                         "comment comments respond reply replies disqus pagination pager toolbar widget widgets search contentinfo".split())
-KEPT = frozenset("article main body html".split())
+KEPT = frozenset("article main body html h1 h2 h3 h4 h5 h6".split())
+NAMES = frozenset("class id role aria-label".split())
 # a start tag ends an open element of these kinds, up to the nearest of the third column
 P_ENDERS = BLOCKS - {"html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -58,6 +59,8 @@ class Tree:
     def __init__(self, source: str):
         self.name, self.parent = ["html"], [-1]
         self.dropped, self.marked = [False], [False]  # by its element, or by its class, id or role
+        self.whole = [False]  # marked by a whole class, id or role, not by a word in one
+        self.anchor = [False]  # marked by nothing but an id or a label, as a section of an article can be
         self.parts: list[tuple[int, str]] = []  # (node, text), in page order
         self.open: Counter[str] = Counter()  # names on the stack, so that it is only searched for what is there
         stack = [0]
@@ -96,10 +99,22 @@ class Tree:
         node = len(self.name)
         self.name.append(name)
         self.parent.append(stack[-1])
-        self.dropped.append(name in DROPPED or bool(attributes and HIDDEN.search(attributes)) or name == "header" and not (
+        hidden, marks, whole = False, set(), False
+        for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
+            key = key.lower()
+            if key in NAMES:
+                value = value.strip("\"'").lower()
+                if not BOILERPLATE.isdisjoint(WORDS.findall(value)):
+                    marks.add(key)
+                    whole = whole or not BOILERPLATE.isdisjoint([value] if key == "aria-label" else value.split())
+            elif key == "hidden" or key == "aria-hidden" and value.strip("\"'").lower() == "true" or key == "style" and NOT_SHOWN.search(value):
+                hidden = True
+        self.dropped.append(name in DROPPED or hidden or name == "header" and not (
             self.open["article"] or self.open["main"]))  # a page's header; an article's own holds its title
-        self.marked.append("=" in attributes and name not in KEPT and any(
-            not BOILERPLATE.isdisjoint(WORDS.findall(value.lower())) for _, value in NAMED.findall(attributes)))
+        anchor = bool(marks) and marks <= {"id", "aria-label"}
+        self.marked.append(bool(marks) and name not in KEPT and not (anchor and self.open["article"]))
+        self.whole.append(whole)
+        self.anchor.append(anchor)
         if name in VOID:
             if name == "br":
                 self.parts.append((stack[-1], " "))
@@ -139,8 +154,12 @@ def _ascii_lower(text: str) -> str:
 
 def main_text(source: str) -> str:
     """The article's blocks, joined by two line feeds; empty if there is none.
-    A class or id doesn't take an element out that holds an article or main
-    element, nor when nothing would be left."""
+
+    A class, id, role or label takes no heading out, no element that holds an
+    article or main element, and none that holds most of the page's text (see
+    ``_unmark_most``); an id or label alone takes nothing out inside an article
+    element, nor inside the chosen subtree but a div. Names count for nothing
+    when nothing would be left."""
     tree = Tree(source)
     holds = [False] * len(tree.name)
     for k in range(len(tree.name)):
@@ -148,10 +167,48 @@ def main_text(source: str) -> str:
             while k > 0 and not holds[k]:
                 holds[k], k = True, tree.parent[k]
                 tree.marked[k] = False
-    return _select(tree, [a or b for a, b in zip(tree.dropped, tree.marked, strict=True)]) or _select(tree, list(tree.dropped))
+    if any(tree.marked):
+        _unmark_most(tree)
+    text, best = _select(tree, [a or b for a, b in zip(tree.dropped, tree.marked, strict=True)])
+    if text and tree.name[best] not in ("html", "body"):
+        inside, again = [k == best for k in range(len(tree.name))], False
+        for k in range(best + 1, len(tree.name)):
+            inside[k] = inside[tree.parent[k]]
+            if inside[k] and tree.marked[k] and tree.anchor[k] and tree.name[k] != "div":
+                tree.marked[k], again = False, True
+        if again:
+            text, _ = _select(tree, [a or b for a, b in zip(tree.dropped, tree.marked, strict=True)])
+    return text or _select(tree, list(tree.dropped))[0]
+
+
+def _unmark_most(tree: Tree) -> None:
+    """Take the mark off elements that hold over half of the page's text: where
+    it is only a word in a longer name (has-sidebar), or where less than a tenth
+    of the text would stay outside of them. What is marked inside stays so."""
+    n = len(tree.name)
+    gone = list(tree.dropped)
+    for k in range(1, n):
+        gone[k] = gone[k] or gone[tree.parent[k]]
+    chars = [0] * n
+    for k, text in tree.parts:
+        if not gone[k]:
+            chars[k] += len("".join(text.split()))
+    free = list(chars)  # without what smaller marked elements hold
+    for k in range(n - 1, 0, -1):
+        chars[tree.parent[k]] += chars[k]
+    large = [2 * c > chars[0] for c in chars]
+    for k in range(n - 1, 0, -1):
+        if large[k] or not tree.marked[k]:
+            free[tree.parent[k]] += free[k]
+    for k in range(1, n):
+        if large[k] and tree.marked[k]:
+            if tree.whole[k] and 10 * (free[0] - free[k]) >= chars[0]:
+                break  # the elements of over half of the text stand in each other
+            tree.marked[k] = False
 
 
-def _select(tree: Tree, gone: list[bool]) -> str:
+def _select(tree: Tree, gone: list[bool]) -> tuple[str, int]:
+    """The text that stays without the nodes ``gone``, and the node chosen."""
     n = len(tree.name)
     for k in range(1, n):
         gone[k] = gone[k] or gone[tree.parent[k]]
@@ -182,7 +239,7 @@ def _select(tree: Tree, gone: list[bool]) -> str:
         body = 0
     ratio = links[body] / max(chars[body], 1)
     if not chars[body]:
-        return ""
+        return "", body
     density = [0.0] * n
     for k in nodes:
         if chars[k]:
@@ -225,7 +282,7 @@ def _select(tree: Tree, gone: list[bool]) -> str:
         if keep[solid[k]] and out:
             out[-1].append(text)
     texts = (" ".join("".join(p).split()) for p in out)
-    return "\n\n".join(t for t in texts if t)
+    return "\n\n".join(t for t in texts if t), best
 
 
 def _density(c: int, lc: int, t: int, lt: int, body_ratio: float) -> float:

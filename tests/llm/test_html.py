@@ -41,6 +41,33 @@ def test_names_do_not_take_the_article_out():
     assert main_text(page(f"<div class='layout has-sidebar'><article>{inner}</article></div>")) == "\n\n".join(["Head", a, b])
 
 
+def test_anchors_and_headings_of_an_article_stay():
+    a, b, c = words(1, 60), words(2, 80), words(3, 50)
+    for inner in (f"<h2 id='related-work'>Related work</h2><p>{b}</p>", f"<h2 class='search'>Related work</h2><p>{b}</p>",
+                  f"<section id='legal'><h2>Related work</h2><p>{b}</p></section>", f"<section aria-label='search'><h2>Related work</h2><p>{b}</p></section>"):
+        for wrap in ("<article>{}</article>", "<div class=text>{}</div>"):
+            source = page(wrap.format(f"<h1>Head</h1><p>{a}</p>{inner}<p>{c}</p>") + "<div id=sidebar>other things</div>")
+            assert main_text(source) == "\n\n".join(["Head", a, "Related work", b, c]), source
+
+
+def test_a_name_does_not_take_most_of_the_page_out():
+    a, b = words(1, 60), words(2, 80)
+    inner = f"<h1>Head</h1><p>{a}</p><div class='ad'>{words(3, 20)}</div><p>{b}</p>"
+    for names in ("id='content' class='post has-sidebar'", "class='legal'"):
+        assert main_text(page(f"<div {names}>{inner}</div><div>Some other text left.</div>")) == "\n\n".join(["Head", a, b])
+    comments = f"<div class='comments'><p>{words(4, 200)}</p><p>{words(5, 200)}</p></div>"
+    assert main_text(page(f"<div class='text'><h1>Head</h1><p>{a}</p><p>{b}</p></div>{comments}")) == "\n\n".join(["Head", a, b])
+
+
+def test_hidden_is_an_attribute_not_a_word():
+    a = words(1, 60)
+    for attributes in ("title='The hidden life'", 'data-x="it is hidden"', "data-x='a aria-hidden=true'", "title='class=ad'", "data-class='ad'"):
+        assert main_text(page(f"<article><h1>Head</h1><p {attributes}>{a}</p></article><p>rest</p>")).split("\n\n")[:2] == ["Head", a], attributes
+        assert a in main_text(page(f"<article {attributes}><p>{a}</p></article><p>rest</p>")), attributes
+    for attributes in ("hidden", "class=x hidden=''", "aria-hidden='true'", "aria-hidden=true", "style='color: red; display : none'", "style=display:none"):
+        assert main_text(page(f"<article><p>{a}</p><p {attributes}>not shown</p></article>")) == a, attributes
+
+
 def test_broken_markup_entities_and_nesting():
     assert main_text("") == "" and main_text("<p></p>") == "" and main_text("<script>var x = '<p>a</p>'") == ""
     assert main_text("plain &lt;text&gt; &eacute;&#233;&#xe9; a < b") == "plain <text> ééé a < b"
