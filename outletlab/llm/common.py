@@ -1,8 +1,9 @@
-"""Helpers shared by the operators: byte views of Arrow text columns and
-vectorised 64-bit hashing of byte ranges."""
+"""Helpers shared by the operators: byte views of Arrow text columns, texts in
+parts, and vectorised 64-bit hashing of byte ranges."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,3 +81,18 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     start[cut] |= mask[cut]
     end[cut - 1] |= mask[cut - 1]
     return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+
+BLANK = re.compile(rb"[\x20\x09-\x0d]")
+PART_BYTES = 1 << 20
+
+
+def text_parts(text: bytes, cut: re.Pattern = BLANK, size: int = PART_BYTES) -> Iterator[bytes]:
+    """The text in parts of about ``size`` bytes that end where ``cut`` matches,
+    so that no word is cut (a longer word makes a longer part)."""
+    at = 0
+    while at < len(text):
+        found = cut.search(text, at + size)
+        end = found.start() if found else len(text)
+        yield text[at:end] if at or end < len(text) else text
+        at = end

@@ -79,4 +79,47 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l.doc_id, l.n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
                sha256(unhex(coalesce(kept.h, l.h))) AS kept_sha256
         FROM l LEFT JOIN total USING (doc_id) LEFT JOIN kept ON kept.doc_id = l.doc_id""",
+    "op12_source_divergence": r"""
+        WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+        w AS (SELECT d, lang, source, unnest(words) AS term FROM t),
+        kept AS (SELECT lang, term, count(*) AS all_c FROM w GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+        v AS (SELECT lang, count(*) AS v, sum(all_c) AS all_n FROM kept GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        g AS (SELECT DISTINCT lang, source FROM t),
+        n AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+        p AS (SELECT n.lang, n.source, kept.term, coalesce(c.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (n.n + 5 * v.v) AS p,
+                     1 + (1000000000::HUGEINT * (kept.all_c + 5)) // (v.all_n + 5 * v.v) AS q
+              FROM n JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+        pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+                 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+                 LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY a.lang, a.source, b.source),
+        term AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE c > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+                   FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 50""",
+    "op13_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+                   FROM documents),
+        f AS (SELECT part, doc_id, CASE WHEN len(words) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+                     || CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x) THEN 'C' ELSE '' END
+                     || CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END
+                     || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 'E' ELSE '' END AS fails FROM t),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        m AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        x(a) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        o AS (SELECT p.a || q.a || r.a || s.a || z.a AS filter_order FROM x p, x q, x r, x s, x z
+              WHERE len(list_distinct([p.a, q.a, r.a, s.a, z.a])) = 5),
+        step AS (SELECT filter_order, i AS step, substr(filter_order, i, 1) AS own, substr(filter_order, 1, i - 1) AS earlier
+                 FROM (SELECT filter_order, unnest(range(1, 6)) AS i FROM o)),
+        r AS (SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS failed, translate(fails, earlier, '') <> fails AS gone FROM m, step),
+        s AS (SELECT part, filter_order, step, own, sum(n) FILTER (WHERE NOT failed AND NOT gone) AS kept, sum(n) FILTER (WHERE failed AND NOT gone) AS removed,
+                     sum(n) FILTER (WHERE failed AND gone) AS redundant, sum(n) FILTER (WHERE fails = own) AS unique_fails,
+                     sum(good) FILTER (WHERE failed AND NOT gone) AS good_lost, sum(toxic) FILTER (WHERE failed AND NOT gone) AS toxic_lost
+              FROM r GROUP BY part, filter_order, step, own)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+               CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley FROM s""",
 }

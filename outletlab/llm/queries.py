@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from outletlab.llm.chat import TURN_SCHEMAS, format_tool_calls, turn_calls
 from outletlab.llm.decontaminate import contamination
+from outletlab.llm.divergence import source_divergence
 from outletlab.llm.exact_dedup import exact_dedup
+from outletlab.llm.filter_audit import filter_audit
 from outletlab.llm.html_text import extract_text
 from outletlab.llm.language_id import fit, held_out, label_languages
 from outletlab.llm.licenses import license_scan
@@ -17,6 +19,7 @@ from outletlab.llm.line_dedup import line_dedup
 from outletlab.llm.near_dedup import near_duplicates
 from outletlab.llm.oracle import ORACLE_SQL
 from outletlab.llm.packing import packed_documents
+from outletlab.llm.simhash import simhash_components
 from outletlab.llm.substring_dedup import remove_repeats
 
 
@@ -75,6 +78,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_tool_calls(calls, results, TURN_SCHEMAS)
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_text": op2_html_text,
@@ -86,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
