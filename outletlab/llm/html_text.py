@@ -43,6 +43,13 @@ BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner
                         "consent gdpr popup modal newsletter subscribe signup login share sharing social related recommended "
                         "disclaimer alert privacy copyright legal teaser teasers skip "
                         "comment comments respond reply replies disqus pagination pager toolbar widget widgets search contentinfo".split())
+# of these, words that name a topic or a style as often as a page's furniture: inside an article they take nothing out
+WEAK = frozenset("alert notice notices privacy copyright legal disclaimer search related recommended banner header teaser teasers "
+                 "skip complementary aside menu toolbar".split())
+# an id, too, takes its element out when it says that here stand the readers' comments
+COMMENTS = frozenset("comment comments respond reply replies disqus".split())
+COMMENT_PLACES = frozenset("section area list thread wrapper container block box form the user reader".split())
+NOTICE = re.compile(r"\bcookies?\b|\u00a9|\(c\) ?\d{4}|\bcopyright\b|\ball rights reserved\b|\bprivacy policy\b|\bterms of (?:use|service)\b", re.I)
 KEPT = frozenset("article main body html h1 h2 h3 h4 h5 h6".split())
 NAMES = frozenset("class id role aria-label".split())
 # a start tag ends an open element of these kinds, up to the nearest of the third column
@@ -60,7 +67,7 @@ class Tree:
         self.name, self.parent = ["html"], [-1]
         self.dropped, self.marked = [False], [False]  # by its element, or by its class, id or role
         self.whole = [False]  # marked by a whole class, id or role, not by a word in one
-        self.anchor = [False]  # marked by nothing but an id or a label, as a section of an article can be
+        self.anchor = [False]  # marked by nothing but an id, a label or a weak word, as a section of an article can be
         self.parts: list[tuple[int, str]] = []  # (node, text), in page order
         self.open: Counter[str] = Counter()  # names on the stack, so that it is only searched for what is there
         stack = [0]
@@ -99,19 +106,22 @@ class Tree:
         node = len(self.name)
         self.name.append(name)
         self.parent.append(stack[-1])
-        hidden, marks, whole = False, set(), False
+        hidden, marks, whole, sure, weak = False, set(), False, False, True
         for key, value in ATTRIBUTE.findall(attributes) if attributes else ():
             key = key.lower()
             if key in NAMES:
                 value = value.strip("\"'").lower()
-                if not BOILERPLATE.isdisjoint(WORDS.findall(value)):
+                words = BOILERPLATE.intersection(found := WORDS.findall(value))
+                if words:
                     marks.add(key)
+                    weak = weak and words <= WEAK
+                    sure = sure or not COMMENTS.isdisjoint(found) and COMMENTS.union(COMMENT_PLACES).issuperset(found)
                     whole = whole or not BOILERPLATE.isdisjoint([value] if key == "aria-label" else value.split())
             elif key == "hidden" or key == "aria-hidden" and value.strip("\"'").lower() == "true" or key == "style" and NOT_SHOWN.search(value):
                 hidden = True
         self.dropped.append(name in DROPPED or hidden or name == "header" and not (
             self.open["article"] or self.open["main"]))  # a page's header; an article's own holds its title
-        anchor = bool(marks) and marks <= {"id", "aria-label"}
+        anchor = bool(marks) and (weak or marks <= {"id", "aria-label"} and not sure)
         self.marked.append(bool(marks) and name not in KEPT and not (anchor and self.open["article"]))
         self.whole.append(whole)
         self.anchor.append(anchor)
@@ -157,7 +167,8 @@ def main_text(source: str) -> str:
 
     A class, id, role or label takes no heading out, no element that holds an
     article or main element, and none that holds most of the page's text (see
-    ``_unmark_most``); an id or label alone takes nothing out inside an article
+    ``_unmark_most``); an id or label alone that doesn't say comments, and a name
+    of words that may be a topic (``WEAK``), take nothing out inside an article
     element, nor inside the chosen subtree but a div. Names count for nothing
     when nothing would be left."""
     tree = Tree(source)
@@ -262,13 +273,16 @@ def _select(tree: Tree, gone: list[bool]) -> tuple[str, int]:
         within = within or tree.name[k] in ("article", "main")
         if within:
             scope.add(k)
+    titles = _titles(tree, nodes, above, chars, path)
+    furniture = _furniture(tree, parts, solid, above, nodes, chars, best, path, body)
     keep = [False] * n
     for k in nodes:
         up = above[k]
         if k == best or (up >= 0 and keep[up]):
-            keep[k] = True
+            keep[k] = k not in furniture
         elif inside[k] and up in on_path and k not in on_path:
-            keep[k] = density[k] >= threshold or (up in scope and tree.name[k] in HEADINGS | {"header"})
+            keep[k] = k in titles or k not in furniture and (
+                density[k] >= threshold or (up in scope and tree.name[k] in HEADINGS | {"header"}))
     block = [0] * n
     for k in range(n):
         block[k] = k if k == 0 or tree.name[k] in BLOCKS else block[tree.parent[k]]
@@ -285,6 +299,46 @@ def _select(tree: Tree, gone: list[bool]) -> tuple[str, int]:
     return "\n\n".join(t for t in texts if t), best
 
 
+def _titles(tree: Tree, nodes: list[int], above: list[int], chars: list[int], path: list[int]) -> set[int]:
+    """The heading directly before a node of the path, where the chosen subtree
+    has none as high of its own: the page's title."""
+    held, below, on_path = set(), {path[0]}, set(path[:-1])
+    last: dict[int, int] = {}  # by parent: its child with text before this place
+    before = []
+    for k in nodes:  # in page order: parents come first
+        if above[k] in below:
+            below.add(k)
+            if tree.name[k] in HEADINGS:
+                held.add(tree.name[k])
+        if k in on_path and above[k] in last:
+            before.append(last[above[k]])
+        if chars[k]:
+            last[above[k]] = k
+    return {k for k in before if tree.name[k] in ("h1", "h2") and not any(h <= tree.name[k] for h in held)}
+
+
+def _furniture(tree: Tree, parts: list[tuple[int, str]], solid: list[int], above: list[int], nodes: list[int], chars: list[int],
+               best: int, path: list[int], body: int) -> set[int]:
+    """Unnamed notices and footers: beside the path, or as first or last child of
+    a chosen body, a div or the like with under a tenth of the chosen text that
+    is bare (no block in it) or speaks of cookies or rights."""
+    on_path = set(path)
+    children = [k for k in nodes if above[k] == body and chars[k]]
+    ends = {children[0], children[-1]} if best == body and len(children) > 2 else set()
+    beside = {k for k in nodes if k not in on_path and above[k] in on_path and above[k] != best} | ends
+    small = {k for k in beside if tree.name[k] not in HEADINGS and 10 * chars[k] < chars[best]}
+    owner: dict[int, int] = {}
+    bare, texts = set(small), {k: [] for k in small}
+    for k in nodes:
+        owner[k] = k if k in small else owner.get(above[k], -1)
+        if owner[k] not in (-1, k) and tree.name[k] in BLOCKS:
+            bare.discard(owner[k])
+    for k, text in parts:
+        if owner.get(solid[k], -1) >= 0:
+            texts[owner[solid[k]]].append(text)
+    return {k for k in small if k in bare and k not in ends and tree.name[k] in ("div", "section", "a") or NOTICE.search("".join(texts[k]))}
+
+
 def _density(c: int, lc: int, t: int, lt: int, body_ratio: float) -> float:
     """Composite text density; zero counts of tags and links count as one."""
     t, lt_, lc_ = max(t, 1), max(lt, 1), max(lc, 1)

@@ -93,3 +93,53 @@ def test_rows_nulls_and_other_columns(spark):
     assert got.columns == ["page_id", "url", "text"]
     assert sorted((r.page_id or 0, r.text) for r in got.collect()) == [(0, "hallo"), (1, ""), (1, ""), (3, "")]
     assert extract_text(pages.limit(0)).collect() == []
+
+
+def test_reader_comments_go_wherever_they_stand():
+    a, b, c = words(1, 60), words(2, 80), words(3, 50)
+    said = f"<p>{words(4, 90)}</p><p>{words(5, 40)}</p>"
+    for tag, name in (("div", "id='comments'"), ("ol", "id='comments'"), ("section", "id='comments'"), ("div", "id=respond"),
+                      ("div", "id='disqus_thread'"), ("section", "class='comments'"), ("div", "class='comment-list'"), ("ul", "aria-label='Comments'")):
+        for wrap in ("<article>{}</article>", "<main>{}</main>", "<div class=text>{}</div>"):
+            source = page(wrap.format(f"<h1>Head</h1><p>{a}</p><p>{b}</p><p>{c}</p><{tag} {name}>{said}</{tag}>"))
+            assert main_text(source) == "\n\n".join(["Head", a, b, c]), source
+    for kept in (f"<h2 id='comments'>Comments on it</h2><p>{c}</p>", f"<section id='comments-on-the-law'><h2>Comments on it</h2><p>{c}</p></section>"):
+        assert main_text(page(f"<article><h1>Head</h1><p>{a}</p>{kept}<p>{b}</p></article>")) == "\n\n".join(["Head", a, "Comments on it", c, b]), kept
+
+
+def test_topic_words_take_nothing_out_of_an_article():
+    a, b, c = words(1, 60), words(2, 80), words(3, 50)
+    for inner in (f"<p class='alert'>{b}</p>", f"<section class='privacy'><h2>Its title</h2><p>{b}</p></section>", f"<div class='legal notice'><p>{b}</p></div>",
+                  f"<ul class='menu'><li>{b}</li></ul>"):
+        source = page(f"<div class='menu'><a href=/>Home</a></div><article><h1>Head</h1><p>{a}</p>{inner}<p>{c}</p></article>")
+        assert main_text(source) == "\n\n".join(["Head", a, *["Its title"] * ("Its" in inner), b, c]), inner
+    for inner in (f"<p class='alert'>{b}</p>", f"<section class='privacy'><p>{b}</p></section>"):
+        assert main_text(page(f"<div class=text><h1>Head</h1><p>{a}</p>{inner}<p>{c}</p></div>")) == "\n\n".join(["Head", a, b, c]), inner
+    advert = f"<div class='ad'>{words(7, 30)}</div><p class='sponsored'>{words(8, 30)}</p>"
+    assert main_text(page(f"<article><h1>Head</h1><p>{a}</p>{advert}<p>{c}</p></article>")) == "\n\n".join(["Head", a, c])
+
+
+def test_unnamed_notices_and_footers_go():
+    a, b = words(1, 60), words(2, 80)
+    short = "A short closing line."
+    text = f"<div><h1>Head</h1><p>{a}</p><p>{b}</p><p>{short}</p></div>"
+    notice, footer = "We use cookies to improve the site. Accept.", "Copyright 2020 Someone. All rights reserved."
+    want = "\n\n".join(["Head", a, b, short])
+    menu = "<div><a href=/a>Home</a> <a href=/b>News</a> <a href=/c>About</a></div>"
+    for source in (f"{menu}{text}<div>{notice}</div><div>{footer}</div>", f"<div>{notice}</div>{menu}{text}<div><p>{footer}</p></div>",
+                   f"<div>{menu}{text}<div>{notice}</div></div><div>{footer}</div>"):
+        assert main_text(page(source)) == want, source
+    plain = f"<div>{a}</div><div>{b}</div><div>{words(3, 90)}</div>"  # the body itself is the article
+    assert main_text(page(f"<div>{notice}</div>{plain}<div>{footer}</div>")) == "\n\n".join([a, b, words(3, 90)])
+    about = f"<p>{a}</p><p>Nobody reads a cookie notice, says the copyright office.</p><p>{b}</p>"  # a topic of the article's own
+    assert main_text(page(f"{menu}<div>{about}</div>")).count("\n\n") == 2
+
+
+def test_the_title_before_the_text_stays():
+    a, b = words(1, 60), words(2, 80)
+    post = f"<div class=post><p>{a}</p><p>{b}</p></div>"
+    menu = "<div class=menu><a href=/>Home</a></div>"
+    for source in (f"{menu}<h1>Title</h1>{post}", f"{menu}<div><h1>Title</h1>{post}</div>", f"{menu}<div><div><h1>Title</h1>{post}</div></div>"):
+        assert main_text(page(source)) == "\n\n".join(["Title", a, b]), source
+    own = f"<h1>Site</h1><div class=post><h1>Title</h1><p>{a}</p><p>{b}</p></div>"  # the text has its own title
+    assert main_text(page(own)) == "\n\n".join(["Title", a, b])
