@@ -4,6 +4,8 @@ A test item with an error budget of e edits is split into e + 1 pieces: if the
 item occurs in a document with at most e edits, at least one piece occurs
 unchanged. Exact piece hits are found in one pass over each document, and
 every place they point to is verified with Myers' bit-parallel edit distance.
+An item too short for an error has one piece, itself, and is found where it
+stands unchanged between word borders.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from outletlab.session import cut_lineage
 
 ERROR_RATE = 0.06  # edits allowed a character of the item
-MIN_ITEM_CHARS = 20  # a shorter item can't be told from chance and isn't searched
 BROADCAST_CHARS = 16_000_000  # characters of items searched for in one pass
 
 _automata: dict[int, object] = {}
@@ -43,6 +44,12 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def bordered(text: str, start: int, end: int) -> bool:
+    """No word goes on over the place's start or end."""
+    return not (start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+                or end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+
+
 def masks(pattern: str) -> dict[str, int]:
     out: dict[str, int] = defaultdict(int)
     for i, c in enumerate(pattern):
@@ -100,6 +107,11 @@ class Matcher:
         for k, starts in places.items():
             key, item, errors, bits = self.items[k]
             m, best = len(item), (errors + 1, 0, 0)
+            if not errors:
+                exact = next((s for s in starts if bordered(text, s, s + m)), None)
+                if exact is not None:
+                    out.append((key, 0, exact, exact + m))
+                continue
             for lo, hi in _windows(sorted(starts), m, errors, len(text)):
                 distance, end = best_end(bits, m, text[lo:hi])
                 if distance < best[0]:
@@ -134,9 +146,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Items are sent to the tasks in parts of at most about BROADCAST_CHARS
     characters; a larger benchmark takes a pass over the documents for each
-    part. Null or empty texts hold nothing and are never matched; items with
-    fewer than MIN_ITEM_CHARS normalised characters are not searched; null
-    ids and repeated rows are reported as they are; of equal matches the
+    part. Null or empty texts hold nothing and are never matched, nor are items
+    without a character; items too short for an error must stand between word
+    borders; null ids and repeated rows are reported as they are; of equal matches the
     earliest end counts. Empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -149,7 +161,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = spark.createDataFrame([], schema)
     for part in range(parts):
         rows = tests.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).collect()
-        items = [(r.item, t) for r in rows if len(t := normalised(r.text)) >= MIN_ITEM_CHARS]
+        items = [(r.item, t) for r in rows if (t := normalised(r.text))]
         if items:
             found = found.union(source.mapInArrow(_matcher_batches(spark.sparkContext.broadcast((items, rate)), schema.names), schema))
     return found
@@ -176,7 +188,10 @@ def _matcher_batches(shared: Broadcast, names: list[str]):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in whose text no test item was found. The ids found
-    are stored first, so that a small set is broadcast by its known size."""
-    hit = cut_lineage(contamination(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__hit")).distinct(), "contaminated")
-    return docs.join(hit, docs[id_col] == F.col("__hit"), "left_anti")
+    """The rows of ``docs`` in whose text no test item was found; a row without
+    an id is known by its text. What was found is stored first, so that a small
+    set is broadcast by its known size."""
+    key = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.sha2(F.col(text_col).cast("string"), 256))
+    named = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    hit = cut_lineage(contamination(named, benchmark, "key").select(F.col("key").alias("__hit")).distinct(), "contaminated")
+    return docs.join(hit, key == F.col("__hit"), "left_anti")

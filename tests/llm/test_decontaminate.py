@@ -67,11 +67,29 @@ def test_edited_leaks_are_caught_and_clean_documents_stay(spark):
         rows.append((i, words(i, 300, 5000) + " " + "".join(leak).upper().replace(" ", "\n") + " " + words(i + 50, 100, 5000)))
         rows.append((1000 + i, words(2000 + i, 400, 5000)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    bench = spark.createDataFrame([*items, (98, None), (99, "short")], "item_id long, text string")
+    bench = spark.createDataFrame([*items, (98, None), (99, "")], "item_id long, text string")
     assert Counter((r.doc_id, r.item_id) for r in dc.contamination(docs, bench).collect()) == Counter((i, i) for i, _ in items)
     assert {r.doc_id for r in dc.decontaminate(docs, bench).collect()} == {1000 + i for i, _ in items}
 
 
+def test_short_items_stand_between_word_borders(spark):
+    bench = spark.createDataFrame([(1, "Is 2+2 = 4?"), (2, "ox"), (3, " \t"), (4, "(b) yes")], "item_id long, text string")
+    rows = [(1, "so: is  2+2 = 4? ok"), (2, "is 2+2 = 45?"), (3, "an OX, a fox"), (4, "foxes and boxes"), (5, "x(b) yes."), (6, "(b) yesterday"), (None, "the ox")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start) for r in dc.contamination(docs, bench).collect()}
+    assert got == {(1, 1, 4), (3, 2, 3), (5, 4, 1), (None, 2, 4)}
+    assert {r.doc_id for r in dc.decontaminate(docs, bench).collect()} == {2, 4, 6}
+
+
+def test_rows_without_an_id_go_by_their_text(spark):
+    item = words(1, 40)
+    rows = [(None, "x " + item), (None, words(2, 40)), (None, None), (7, item), (7, words(3, 40)), (8, words(4, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in dc.decontaminate(docs, bench).collect())
+    assert kept == sorted([(0, words(2, 40)), (0, ""), (8, words(4, 40))])
+
+
 def test_benchmark_in_parts(spark, monkeypatch):
     bench = spark.createDataFrame([(i, words(i, 20, 3000)) for i in range(20)], "item_id long, text string")
     docs = bench.selectExpr("item_id AS doc_id", "concat('x ', text, ' y') AS text")
