@@ -714,6 +714,16 @@ def model_roundtrip() -> str:
     return model_ctes() + "\nSELECT CUSTOMER, TRUE AS same FROM scored_rows"
 
 
+def model_search(num_trees=conf.GRID_NUM_TREES, max_depth=conf.GRID_MAX_DEPTH, max_bins=conf.GRID_MAX_BINS, folds=conf.CV_FOLDS) -> str:
+    """The grid, each set validated once on every train row that can be scored
+    (rows of the class left out of the report included)."""
+    grid = lambda name, values: f"(SELECT unnest([{', '.join(map(str, values))}]) AS {name})"
+    return model_ctes() + f"""
+SELECT CAST(num_trees AS INTEGER) AS num_trees, CAST(max_depth AS INTEGER) AS max_depth, CAST(max_bins AS INTEGER) AS max_bins,
+  {folds} AS folds, (SELECT count(*) FROM labelled WHERE is_train AND CUSTOMER NOT IN (SELECT CUSTOMER FROM incomplete)) AS validated, TRUE AS valid
+FROM {grid('num_trees', num_trees)}, {grid('max_depth', max_depth)}, {grid('max_bins', max_bins)}"""
+
+
 def model_shape() -> str:
     """A number takes one place in the vector, a category one for each value
     seen in training and one for all others."""
@@ -731,6 +741,7 @@ ORACLE.update({
     "mbt_base": mbt_base,
     "mbt_scores": mbt_scores,
     "model_roundtrip": model_roundtrip,
+    "model_search": model_search,
     "model_shape": model_shape,
 })
 

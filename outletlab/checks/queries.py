@@ -389,18 +389,18 @@ _models: dict = {}  # by application and tables: where the fitted model and its
 
 
 def _modelled(spark, sf):
-    """(base table, predictions, loaded model, kept features, data modelled):
-    fitted and saved by the first query that asks, read back by all."""
+    """(base table, predictions, loaded model, kept features, data modelled,
+    search scores): fitted and saved by the first query that asks, read back by all."""
     key = (spark.sparkContext.applicationId, sf, repr(MODEL_CONFIG))
     if key not in _models:
         root = scratch_path(spark, "mbt")
         abt = cut_lineage(cast_model_inputs(spark, sf), "model_abt")
         kept = mo.select_features(abt, selection_features())
-        mbt, preds, model = mo.model_base_table(abt, kept, cfg=MODEL_CONFIG)
+        mbt, preds, model, scores = mo.model_base_table(abt, kept, cfg=MODEL_CONFIG)
         mo.save_model(model, mbt, f"{root}/artifacts", f"{root}/data")
-        _models[key] = (f"{root}/artifacts", f"{root}/data", preds, kept, abt)
-    artifacts, data, preds, kept, abt = _models[key]
-    return spark.read.parquet(data), preds, mo.load_model(artifacts), kept, abt
+        _models[key] = (f"{root}/artifacts", f"{root}/data", preds, kept, abt, scores)
+    artifacts, data, *rest = _models[key]
+    return spark.read.parquet(data), rest[0], mo.load_model(artifacts), *rest[1:]
 
 
 PREDICTED = ["prediction", "PREDICTED_targetVar", *mo.CLASS_OUTPUTS]
@@ -425,7 +425,7 @@ def mbt_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Scored customers of each part, and how many of them have probabilities
     between 0 and 1 that don't add up to more than 1, a predicted class whose
     name is the indexed one, and the largest probability on that class."""
-    _, preds, model, _, _ = _modelled(spark, sf)
+    _, preds, model, *_ = _modelled(spark, sf)
     labels = F.array(*[F.lit(x) for x in model.stages[0].labels])
     probs = [F.coalesce(F.col(c), F.lit(0.0)) for c in mo.CLASS_OUTPUTS]
     own = F.element_at(F.map_from_arrays(F.array(*[F.lit(c) for c in mo.CLASS_OUTPUTS]), F.array(*probs)), F.col("PREDICTED_targetVar"))
@@ -436,16 +436,25 @@ def mbt_scores(spark: SparkSession, sf: str) -> DataFrame:
                                         F.sum(named.cast("long")).alias("named"))
 
 
+def model_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Every parameter set of the search: its folds, the rows it was validated
+    on, and whether it got at most these rows right."""
+    scores = _modelled(spark, sf)[5]
+    return scores.groupBy("num_trees", "max_depth", "max_bins").agg(
+        F.count(F.lit(1)).alias("folds"), F.sum("validated").alias("validated"),
+        F.min(F.col("correct").between(0, F.col("validated"))).alias("valid"))
+
+
 def model_shape(spark: SparkSession, sf: str) -> DataFrame:
     """Classes, width of the assembled vector, total of the importances."""
-    _, _, model, kept, abt = _modelled(spark, sf)
+    model = _modelled(spark, sf)[2]
     forest = mo.best_forest(model)
     return spark.createDataFrame([(len(model.stages[0].labels), forest.numFeatures, round(float(sum(forest.featureImportances.toArray())), 6))],
                                  "classes int, width int, importance double")
 
 
 def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, model, _, abt = _modelled(spark, sf)
+    _, _, model, _, abt, _ = _modelled(spark, sf)
     field = mo.assembled_features_field(model, abt.withColumnRenamed(LABEL, mo.LABEL).limit(0))
     rows = me.feature_importances(mo.best_forest(model).featureImportances, field)
     return spark.createDataFrame(rows, "feature string, idx int, score double")
@@ -454,7 +463,7 @@ def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Every scored customer, and whether the loaded pipeline gives the scores
     that the fitted one gave."""
-    _, preds, model, kept, abt = _modelled(spark, sf)
+    _, preds, model, kept, abt, _ = _modelled(spark, sf)
     data = (abt.filter(F.col(LABEL) != conf.LABEL_EXCLUDED)
             .select("CUSTOMER", *[f for f in kept if f != LABEL], F.col(LABEL).alias(mo.LABEL)))
     again = mo.score(model, data)
@@ -469,6 +478,7 @@ QUERIES.update({
     "mbt_base": mbt_base,
     "mbt_metrics": mbt_metrics,
     "mbt_scores": mbt_scores,
+    "model_search": model_search,
     "model_shape": model_shape,
     "feature_importances": feature_importances,
     "model_roundtrip": model_roundtrip,

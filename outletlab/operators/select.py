@@ -8,16 +8,19 @@ form, with NULL as a category of its own).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from outletlab import conf
 from outletlab.functions.stats import chi2_sf
+from outletlab.operators.gram import cross_products
 from outletlab.plans.joins import broadcast_counted, null_safe_keys
 from outletlab.session import cut_lineage
 
 NULL_CATEGORY = "<NULL>"
-CORRELATIONS_PER_PASS = 200
+SPREAD = 1e-12  # least share of a sum of squares that is a spread and not rounding
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
 
@@ -74,7 +77,7 @@ def chi_square(df: DataFrame, features, label: str, alpha: float = conf.CHI_SQUA
         "chi2_plain": F.col("obs_part") + (F.col("total") - F.col("obs_e")),
         "dof": (F.col("n_labels") - 1) * (F.col("n_values") - 1),
     })
-    plain = broadcast_counted(plain, "plain_statistics")  # one row a feature
+    plain = cut_lineage(plain, "plain_statistics")  # one row a feature
     # Yates: features with a 2x2 table, all four cells (unobserved ones with O = 0).
     two = plain.filter("dof = 1").select("feature", "total")
     small = cont.join(F.broadcast(two), "feature")  # four cells a feature at most
@@ -105,85 +108,48 @@ def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame
     Pearson correlation for two numeric features, Cramér's V for two
     categorical ones, correlation ratio (eta) for a categorical and a numeric
     one. Pairwise-complete rows only. Returns (feature_a, feature_b, kind,
-    assoc); one aggregation over the table per kind. With ``materialize`` the
-    feature columns are written once and the three kinds read that copy."""
+    assoc), read off the cross products of all pairs (``operators/gram.py``),
+    which one pass over the table sums around the columns' means. With
+    ``materialize`` the feature columns and the cross products are written once.
+    """
     features = list(features)
     if materialize:
         df = cut_lineage(df.select(*features), "association_input")
     numeric, categorical = _kinds(df, features)
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    parts = []
-
-    nn = [(a, b) for a, b in pairs if a in numeric and b in numeric]
-    if nn:
-        # in blocks: one aggregate with a correlation a pair grows as the columns squared
-        for lo in range(0, len(nn), CORRELATIONS_PER_PASS):
-            block = nn[lo:lo + CORRELATIONS_PER_PASS]
-            row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-                           for i, (a, b) in enumerate(block)])
-            parts.append(row.select(F.inline(F.array(*[
-                F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                         F.lit("pearson").alias("kind"),
-                         F.nanvl(F.col(f"p{i}"), F.lit(None).cast("double")).alias("assoc"))
-                for i, (a, b) in enumerate(block)]))))
-
-    cc = [(a, b) for a, b in pairs if a in categorical and b in categorical]
-    if cc:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pair"), F.col(a).cast("string").alias("va"),
-                     F.col(b).cast("string").alias("vb"))
-            for i, (a, b) in enumerate(cc)])).alias("x")).select("x.*")
-        long = long.filter(F.col("va").isNotNull() & F.col("vb").isNotNull())
-        cnt = long.groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("n"))
-        if materialize:
-            cnt = cut_lineage(cnt, "category_cells")
-        # margins as aggregates joined back (no window over a value's or a
-        # pair's rows, which a high-cardinality feature would make unbounded)
-        ma = cnt.groupBy("pair", "va").agg(F.sum("n").alias("A"))
-        mb = cnt.groupBy("pair", "vb").agg(F.sum("n").alias("B"))
-        mt = broadcast_counted(ma.groupBy("pair").agg(F.sum("A").alias("T"), F.count(F.lit(1)).alias("ra")), "pair_totals")
-        width = broadcast_counted(mb.groupBy("pair").agg(F.count(F.lit(1)).alias("rb")), "pair_widths")
-        cnt = cnt.join(ma, ["pair", "va"]).join(mb, ["pair", "vb"]).join(mt, "pair")
-        ex = F.col("A").cast("double") * F.col("B") / F.col("T")
-        per = cnt.groupBy("pair").agg(
-            F.sum((F.col("n") - ex) * (F.col("n") - ex) / ex).alias("obs_part"),
-            F.sum(ex).alias("obs_e"), F.first("T").alias("T"), F.first("ra").alias("ra")).join(width, "pair")
-        chi2 = F.col("obs_part") + (F.col("T") - F.col("obs_e"))
-        k = F.least("ra", "rb") - 1
-        v = F.when(k > 0, F.sqrt(chi2 / (F.col("T") * k)))
-        names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in cc])
-        parts.append(per.select(F.element_at(names, F.col("pair") + 1).a.alias("feature_a"),
-                                F.element_at(names, F.col("pair") + 1).b.alias("feature_b"),
-                                F.lit("cramers_v").alias("kind"), v.alias("assoc")))
-
-    cn = [(a, b) for a, b in pairs if (a in categorical) != (b in categorical)]
-    if cn:
-        def cat_num(a, b):
-            return (a, b) if a in categorical else (b, a)
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pair"), F.col(cat_num(a, b)[0]).cast("string").alias("va"),
-                     F.col(cat_num(a, b)[1]).cast("double").alias("y"))
-            for i, (a, b) in enumerate(cn)])).alias("x")).select("x.*")
-        long = long.filter(F.col("va").isNotNull() & F.col("y").isNotNull())
-        # centred second moments: sums of squares would cancel for large means
-        grp = long.groupBy("pair", "va").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v"))
-        if materialize:
-            grp = cut_lineage(grp, "category_means")
-        centre = broadcast_counted(grp.groupBy("pair").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("c")), "pair_means")
-        shift = (F.col("m") - F.col("c")) * (F.col("m") - F.col("c")) * F.col("n")
-        per = grp.join(centre, "pair").groupBy("pair").agg(
-            F.sum(shift).alias("between"), F.sum(F.col("n") * F.col("v")).alias("within"))
-        sst = F.col("between") + F.col("within")
-        eta = F.when(sst > 0, F.sqrt(F.col("between") / sst))
-        names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in cn])
-        parts.append(per.select(F.element_at(names, F.col("pair") + 1).a.alias("feature_a"),
-                                F.element_at(names, F.col("pair") + 1).b.alias("feature_b"),
-                                F.lit("eta").alias("kind"), eta.alias("assoc")))
-
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    kinds = ["pearson" if a in numeric and b in numeric else "cramers_v" if a in categorical and b in categorical else "eta" for a, b in pairs]
+    centres = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in numeric]).first().asDict() if numeric else {}
+    cells = cross_products(df, numeric, categorical, pairs, {c: m for c, m in centres.items() if m is not None and math.isfinite(m)})
+    if materialize:
+        cells = cut_lineage(cells, "cross_products")
+    spark = df.sparkSession
+    named = F.broadcast(spark.createDataFrame([(i, *p, k) for i, (p, k) in enumerate(zip(pairs, kinds, strict=True))],
+                                              "pair int, feature_a string, feature_b string, kind string"))
+    # spreads that are only what rounding left of equal values count as none
+    spread = lambda square, total, n: F.when(square - total * total / n > SPREAD * square, square - total * total / n)
+    sums = named.filter("kind = 'pearson'").join(cells.filter("n > 0"), "pair", "left")  # a pair without a complete row has no value
+    a, b = spread(F.col("aa"), F.col("a"), F.col("n")), spread(F.col("bb"), F.col("b"), F.col("n"))
+    pearson = sums.withColumn("assoc", F.nanvl((F.col("ab") - F.col("a") * F.col("b") / F.col("n")) / F.sqrt(a * b), F.lit(None).cast("double")))
+    mixed = cells.join(named.filter("kind = 'eta'"), "pair").groupBy("pair", "feature_a", "feature_b", "kind").agg(
+        F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("aa").alias("aa"), F.sum(F.col("a") * F.col("a") / F.col("n")).alias("groups"))
+    total = spread(F.col("aa"), F.col("a"), F.col("n"))
+    between = F.greatest(F.col("groups") - F.col("a") * F.col("a") / F.col("n"), F.lit(0.0))
+    eta = mixed.withColumn("assoc", F.when(total > 0, F.sqrt(F.least(between / total, F.lit(1.0)))))
+
+    counts = cells.join(named.filter("kind = 'cramers_v'"), "pair").select("pair", "va", "vb", "n")
+    # margins as aggregates joined back (no window over a value's or a
+    # pair's rows, which a high-cardinality feature would make unbounded)
+    ma = counts.groupBy("pair", "va").agg(F.sum("n").alias("A"))
+    mb = counts.groupBy("pair", "vb").agg(F.sum("n").alias("B"))
+    size = ma.groupBy("pair").agg(F.sum("A").alias("T"), F.count(F.lit(1)).alias("ra")).join(
+        mb.groupBy("pair").agg(F.count(F.lit(1)).alias("rb")), "pair")
+    # sum (n - e)^2 / e over all cells, with e = A B / T, is T (sum n^2 / (A B) - 1)
+    chi = counts.join(ma, ["pair", "va"]).join(mb, ["pair", "vb"]).groupBy("pair").agg(
+        F.sum(F.col("n").cast("double") * F.col("n") / (F.col("A").cast("double") * F.col("B"))).alias("q"))
+    k = F.least("ra", "rb") - 1
+    cramer = chi.join(size, "pair").join(named, "pair").withColumn("assoc", F.when(k > 0, F.sqrt(F.greatest(F.col("q") - 1, F.lit(0.0)) / k)))
+    out = ["feature_a", "feature_b", "kind", "assoc"]
+    return pearson.select(*out).unionByName(eta.select(*out)).unionByName(cramer.select(*out))
 
 
 def association_prune(assoc: DataFrame, features, threshold: float = conf.ASSOCIATION_THRESHOLD,

@@ -1,6 +1,6 @@
 """Modelling base table: label indexing, one-hot encoding, vector assembly,
-random forest with a cross-validated parameter grid, predictions for the
-train and test parts, class probabilities by class name, joined back to the
+random forest with a cross-validated parameter grid (plans/forest_search.py),
+predictions for the train and test parts, class probabilities by class name, joined back to the
 base table; save / load of the fitted pipeline and the table."""
 
 from __future__ import annotations
@@ -9,20 +9,20 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outletlab import conf
 from outletlab.operators import select as sel
+from outletlab.plans import forest_search as fos
 from outletlab.session import cut_lineage
 
 LABEL = "targetVar"
 LABEL_INDEX = "targetVarInd"
 CLASS_OUTPUTS = ["Iron", "Bronze", "Silver", "Gold"]
+PARTITION_BYTES = 32 << 20  # of dense vectors in one partition of the training copy
 
 
 @dataclass
@@ -44,11 +44,10 @@ def split_feature_types(df: DataFrame, exclude=(LABEL, "CUSTOMER")) -> tuple:
     return continuous, categorical
 
 
-def build_pipeline(categorical, continuous, cfg: ModelConfig | None = None) -> Pipeline:
-    cfg = cfg or ModelConfig()
-    label_indexer = StringIndexer(inputCol=LABEL, outputCol=LABEL_INDEX)
+def feature_pipeline(categorical, continuous) -> Pipeline:
+    """Label index, one-hot categories and the assembled vector."""
     indexed = [f"{c}_indexed" for c in categorical]
-    stages = [label_indexer]
+    stages = [StringIndexer(inputCol=LABEL, outputCol=LABEL_INDEX)]
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
         encoded = [f"{c}_encoded" for c in indexed]
@@ -57,17 +56,27 @@ def build_pipeline(categorical, continuous, cfg: ModelConfig | None = None) -> P
         encoded = []
     stages.append(VectorAssembler(inputCols=encoded + list(continuous), outputCol="features",
                                   handleInvalid="skip"))
-    rf = RandomForestClassifier(labelCol=LABEL_INDEX, featuresCol="features", seed=conf.FOREST_SEED)
-    grid = (ParamGridBuilder().addGrid(rf.numTrees, cfg.num_trees).addGrid(rf.maxDepth, cfg.max_depth)
-            .addGrid(rf.maxBins, cfg.max_bins).build())
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid,
-                        evaluator=MulticlassClassificationEvaluator(labelCol=LABEL_INDEX,
-                                                                    metricName="accuracy"),
-                        numFolds=cfg.folds, seed=conf.CV_SEED, parallelism=cfg.parallelism)
-    stages.append(cv)
     return Pipeline(stages=stages)
 
 
+def fit_model(train: DataFrame, categorical, continuous, cfg: ModelConfig, key: str = "CUSTOMER") -> tuple:
+    """(pipeline with the forest of the best parameter set, search scores).
+
+    The vectors are stored once, in as many files as their size asks for: every
+    level of every tree is a job over them. A row's fold is a hash of its key.
+    """
+    prepared = feature_pipeline(categorical, continuous).fit(train)
+    fold = F.pmod(F.xxhash64(key, F.lit(conf.CV_SEED)), F.lit(cfg.folds)).cast("int").alias("fold")
+    vectors = prepared.transform(train).select(key, LABEL_INDEX, "features", fold)
+    width = vectors.schema["features"].metadata["ml_attr"]["num_attrs"]
+    parts = -(-vectors.count() * width * 8 // PARTITION_BYTES) or 1
+    vectors = cut_lineage(vectors.repartition(parts, key), "model_vectors")
+    scores = cut_lineage(fos.nested_search(vectors, LABEL_INDEX, "features", "fold", cfg.folds, cfg.num_trees, cfg.max_depth,
+                                           cfg.max_bins, conf.FOREST_SEED, cfg.parallelism), "search_scores")
+    forest = RandomForestClassifier(labelCol=LABEL_INDEX, featuresCol="features", seed=conf.FOREST_SEED, **fos.best_set(scores))
+    return PipelineModel(stages=[*prepared.stages, forest.fit(vectors)]), scores
+
+
 def select_features(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP",
                     alpha: float = conf.CHI_SQUARE_ALPHA,
                     threshold: float = conf.ASSOCIATION_THRESHOLD) -> list:
@@ -89,7 +98,7 @@ def select_features(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP",
 
 def model_base_table(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP", key: str = "CUSTOMER",
                      cfg: ModelConfig | None = None) -> tuple:
-    """Fit on a stratified train part and return (mbt, predictions, model).
+    """Fit on a stratified train part and return (mbt, predictions, model, scores).
 
     ``predictions`` has one row per labelled customer that could be scored
     (rows with a missing continuous feature are skipped by the assembler):
@@ -103,12 +112,12 @@ def model_base_table(abt: DataFrame, features, label: str = "CUST_CCAF_GROUP", k
     data = cut_lineage(data, "model_input")
     continuous, categorical = split_feature_types(data, exclude=(LABEL, key))
     train, test = sel.stratified_split_train_test(data, cfg.train_fraction, LABEL, key)
-    model = build_pipeline(categorical, continuous, cfg).fit(train)
+    model, scores = fit_model(train, categorical, continuous, cfg, key)
     preds = score(model, train, key).withColumn("Holdout", F.lit("Train")).unionByName(
         score(model, test, key).withColumn("Holdout", F.lit("Test")))
     # scored once: the table, the metrics and the saved copy all read this
     preds = cut_lineage(preds, "predictions")
-    return abt.join(preds, key, "left"), preds, model
+    return abt.join(preds, key, "left"), preds, model, scores
 
 
 def score(model: PipelineModel, data: DataFrame, key: str = "CUSTOMER") -> DataFrame:
@@ -126,7 +135,7 @@ def score(model: PipelineModel, data: DataFrame, key: str = "CUSTOMER") -> DataF
 
 
 def best_forest(model: PipelineModel):
-    return model.stages[-1].bestModel
+    return model.stages[-1]
 
 
 def assembled_features_field(model: PipelineModel, sample: DataFrame):
@@ -173,7 +182,7 @@ def run_modelling(abt: DataFrame, features, cfg: ModelConfig | None = None,
     evaluate and (optionally) save. Returns (mbt, metrics, model)."""
     abt = cast_to_double(abt, conf.MODEL_DOUBLE_COLUMNS)
     kept = select_features(abt, features)
-    mbt, preds, model = model_base_table(abt, kept, cfg=cfg)
+    mbt, preds, model, _ = model_base_table(abt, kept, cfg=cfg)
     metrics = evaluate(preds)
     if artifact_dir and data_dir:
         save_model(model, mbt, artifact_dir, data_dir)

@@ -49,6 +49,14 @@ def test_model_queries_match_their_oracles(spark, small_search, key):
     assert res["ok"], res
 
 
+def test_search_scores_match_their_oracle(spark, small_search):
+    from outletlab.checks.oracle import model_search
+
+    sql = E.spark_rounding(model_search([5], [4], [8], 2))
+    res = compare(spark, duck(MODEL_SF), MODEL_SF, "model_search", Q.model_search, sql)
+    assert res["ok"], res
+
+
 def test_model_metrics_recomputed_from_the_predictions(spark, small_search):
     rows = {r.Holdout: r for r in Q.mbt_metrics(spark, MODEL_SF).collect()}
     table = Q.mbt(spark, MODEL_SF).filter("Holdout IS NOT NULL").toPandas()

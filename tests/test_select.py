@@ -134,3 +134,67 @@ def test_eta_does_not_depend_on_the_offset(spark):
         df = spark.createDataFrame([(k, y + offset) for k, y in rows], "k string, y double")
         eta.append(sel.associations(df, ["k", "y"]).first().assoc)
     assert abs(eta[0] - eta[1]) < 1e-6 and 0.3 < eta[0] < 1
+
+
+def test_associations_equal_sums_written_out(spark):
+    """All kinds, with nulls, a constant, a column without values and many categories."""
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(700):
+        x = rng.gauss(1e6, 3) if rng.random() > 0.1 else None
+        rows.append((x, None if x is None else x * 0.5 + rng.gauss(0, 1), 7.25, None, rng.choice(["a", "b", None]), rng.choice("wxyz"),
+                     f"v{rng.randrange(300)}", "one", i % 4))
+    df = spark.createDataFrame(rows, "x double, y double, c double, e double, k string, m string, v string, o string, d int").repartition(5)
+    feats = ["x", "k", "y", "c", "m", "e", "v", "o", "d"]
+    got = {(r.feature_a, r.feature_b): (r.kind, r.assoc) for r in sel.associations(df, feats).collect()}
+    column = {f: [r[i] for r in rows] for i, f in enumerate(["x", "y", "c", "e", "k", "m", "v", "o", "d"])}
+    numbers = {"x", "y", "c", "e", "d"}
+    for i, a in enumerate(feats):
+        for b in feats[i + 1:]:
+            both = [(p, q) for p, q in zip(column[a], column[b], strict=True) if p is not None and q is not None]
+            if a in numbers and b in numbers:
+                want = pearson(both)
+                assert got[(a, b)][0] == "pearson"
+            elif a in numbers or b in numbers:
+                want = eta([(q, p) for p, q in both] if a in numbers else both)
+                assert not both or got[(a, b)][0] == "eta"
+            else:
+                want = cramer(both)
+                assert got[(a, b)][0] == "cramers_v"
+            value = got.get((a, b), (None, None))[1]
+            assert (value is None) == (want is None), (a, b, value, want)
+            assert want is None or abs(value - want) < 1e-9, (a, b, value, want)
+
+
+def pearson(rows):
+    if not rows:
+        return None
+    ma, mb = (sum(c) / len(rows) for c in zip(*rows, strict=True))
+    saa, sbb = sum((a - ma) ** 2 for a, _ in rows), sum((b - mb) ** 2 for _, b in rows)
+    return sum((a - ma) * (b - mb) for a, b in rows) / math.sqrt(saa * sbb) if saa > 1e-9 and sbb > 1e-9 else None
+
+
+def eta(rows):
+    if not rows:
+        return None
+    groups = {}
+    for k, y in rows:
+        groups.setdefault(k, []).append(y)
+    mean = sum(y for _, y in rows) / len(rows)
+    total = sum((y - mean) ** 2 for _, y in rows)
+    between = sum(len(g) * (sum(g) / len(g) - mean) ** 2 for g in groups.values())
+    return math.sqrt(between / total) if total > 1e-9 else None
+
+
+def cramer(rows):
+    names = [sorted(set(c)) for c in zip(*rows, strict=True)]
+    k = min(map(len, names)) - 1
+    table = [[sum(1 for r in rows if r == (a, b)) for b in names[1]] for a in names[0]]
+    return math.sqrt(expected_chi2(table, False) / (len(rows) * k)) if k > 0 else None
+
+
+def test_associations_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "x double, y double, k string, m string")
+    assert [(r.feature_a, r.feature_b, r.assoc) for r in sel.associations(df, ["x", "y", "k", "m"]).collect()] == [("x", "y", None)]
