@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,10 @@ DEFAULT_CONF = {
 }
 
 
+ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS = 1_000
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "outletlab", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -82,11 +87,28 @@ def cut_lineage(df, name: str = "stage"):
     One job writes the data (an unpersisted ``Dataset.checkpoint`` would run
     the plan twice: once to count, once to write), the copy is columnar with
     statistics, and it lives on storage every executor reaches, so losing an
-    executor never sends recomputation further back than this point.
+    executor never sends recomputation further back than this point. Unless
+    the session says otherwise, Python workers get ARROW_ROWS rows at a time.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with _arrow_rows(spark):
+        df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def _arrow_rows(spark: SparkSession):
+    """Spark counts the rows of an Arrow batch, not its bytes: its default of
+    10,000 rows holds tens of megabytes of text off the heap in every task."""
+    free = spark.conf.get(ARROW_ROWS_KEY, None) is None
+    if free:
+        spark.conf.set(ARROW_ROWS_KEY, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        if free:
+            spark.conf.unset(ARROW_ROWS_KEY)
 
 
 __all__ = ["get_spark", "checkpoint_root", "scratch_path", "drop_scratch", "cut_lineage"]
