@@ -9,16 +9,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
 BYTE_CODES = np.random.Generator(np.random.PCG64(20240501)).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 
+CACHED_POWERS = 1 << 20
+WORD_BYTES = 1 << 20  # bytes of words hashed at once
+LONG_WORD = 64  # bytes beyond which a word is hashed by XXH3: long words can be built to collide in polynomial hashes modulo 2**64
+
 _powers: dict[str, np.ndarray] = {}
 
 
-def text_blocks(column: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) for runs of rows of at most
     ``max_bytes`` of UTF-8 (one longer row stands alone). Null counts as empty."""
     arr = pc.fill_null(column.cast(pa.large_string()), "")
@@ -42,12 +47,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """The first n powers of BASE or of its inverse."""
+    """The first n powers of BASE or of its inverse; at most CACHED_POWERS are kept."""
     key = "inverse" if inverse else "base"
     if key not in _powers or len(_powers[key]) < n:
         steps = np.full(max(n, 1 << 16), BASE_INVERSE if inverse else BASE, np.uint64)
         steps[0] = 1
-        _powers[key] = np.cumprod(steps, dtype=np.uint64)
+        made = np.cumprod(steps, dtype=np.uint64)
+        if len(made) > CACHED_POWERS:
+            return made[:n]
+        _powers[key] = made
     return _powers[key][:n]
 
 
@@ -63,10 +71,26 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * powers(len(sums), True)[start] + (end - start).astype(np.uint64) * BASE)
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of data[start:end] for ordered words, WORD_BYTES at a time: equal
+    words give equal hashes. Memory doesn't grow with the text but by the result."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + WORD_BYTES, side="right")))
+        lo = start[i]
+        if end[j - 1] - lo <= WORD_BYTES:
+            out[i:j] = range_hash(prefix_sums(data[lo: end[j - 1]]), start[i:j] - lo, end[i:j] - lo)
+        i = j
+    for k in np.flatnonzero(end - start > LONG_WORD):
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k]: end[k]].tobytes())
+    return out
+
+
 def bytes_hash(value: bytes) -> int:
-    """range_hash of one byte string."""
+    """word_hashes of one word."""
     data = np.frombuffer(value, np.uint8)
-    return int(range_hash(prefix_sums(data), np.array([0]), np.array([len(data)]))[0])
+    return int(word_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
 def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

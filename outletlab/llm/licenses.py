@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from outletlab.llm.common import bytes_hash, prefix_sums, range_hash, runs, text_blocks
+from outletlab.llm.common import bytes_hash, runs, text_blocks, word_hashes
 
 CONTAINMENT = 0.9  # share of a template's distinct words that a block must hold
 STRETCH = 2  # words a wrapped notice may take, as a multiple of its own: comment words, line numbers
@@ -64,7 +64,7 @@ class Block:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data = ASCII_LOWER[data]
         self.start, self.end = runs(WORD[self.data], offsets)
-        self.word = range_hash(prefix_sums(self.data), self.start, self.end)
+        self.word = word_hashes(self.data, self.start, self.end)
         self.row = np.searchsorted(offsets, self.start, side="right") - 1
         self.n_words = np.bincount(self.row, minlength=len(offsets) - 1)
         self.place = np.arange(len(self.word)) - (np.cumsum(self.n_words) - self.n_words)[self.row]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from outletlab.llm.common import U64, mix, prefix_sums, range_hash, runs, text_blocks
+from outletlab.llm.common import U64, mix, runs, text_blocks, word_hashes
 from outletlab.session import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -59,7 +59,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     start, end = runs(~BLANKS[data], offsets)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    word = range_hash(prefix_sums(low), start, end)
+    word = word_hashes(low, start, end)
     row = np.searchsorted(offsets, start, side="right") - 1
     n_words = np.bincount(row, minlength=len(offsets) - 1)
     position = np.arange(len(word)) - (np.cumsum(n_words) - n_words)[row]
@@ -168,18 +168,22 @@ def may_differ(total: Column, percent: int) -> Column:
     return F.floor(total * (100 - percent) / (100 + percent))
 
 
-def difference_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (rep, rep2) of ``nodes`` (centre, rep, n, label) with the same
-    centre and different labels that can meet the threshold: an exact
-    prefix-filter join on D, the symmetric difference with the centre.
+def difference_posts(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Posts (centre, h, rep, n, label, d, place, largest) of ``nodes`` (centre,
+    rep, n, label) for an exact prefix-filter join on D, the symmetric
+    difference with the centre.
 
     |x △ y| = |D(x) △ D(y)|, so with T = may_differ(|x| + |y|) a link
     needs |D(x) ∩ D(y)| >= o = (|D(x)| + |D(y)| - T) / 2. If o <= 0, x and y
     are both linked with the centre itself, which has been tested, and have its
-    label. Else, with differences in one order, the rarest first, they meet
-    among the first |D(x)| - o + 1 and |D(y)| - o + 1 of them; whatever the
-    partner, that is among the first T + 1. Differences of one document alone
-    take their places in the order but join nothing.
+    label. Else, with differences in one order, the rarest first, the first that
+    they share has a place (from 0) of at most |D(x)| - o in x and |D(y)| - o in
+    y; the two places add up to T at most. Differences of one document alone
+    take their places in the order but join nothing, so what has over T / 2 of
+    them meets only what has fewer. ``largest`` is the T of the largest partner.
+
+    Posted is what can still meet: another label at the same difference, and
+    the smallest place there within T.
     """
     named = lambda a, b: texts.select(F.col("id").alias(a), F.col("text").alias(b))
     both = nodes.select("centre", "rep").join(named("rep", "text"), "rep").join(named("centre", "text_c"), "centre")
@@ -190,18 +194,30 @@ def difference_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFr
     largest = may_differ(F.col("n") + F.floor(F.col("n") * 100 / percent), percent)
     ordered = (rows.join(held, ["centre", "h"]).groupBy("centre", "rep").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("in_order"))
                .join(sizes, ["centre", "rep"]).join(nodes, ["centre", "rep"])
-               .withColumn("alone", F.col("d") - F.size("in_order")))
-    places = (largest + 1 - F.col("alone")).cast("int")
+               .withColumn("alone", F.col("d") - F.size("in_order")).withColumn("largest", largest))
+    places = (F.col("largest") + 1 - F.col("alone")).cast("int")
     posts = (ordered.filter(places > 0)
-             .select("centre", "rep", "n", "label", "d", "alone", F.posexplode(F.slice("in_order", F.lit(1), places)).alias("place", "at"))
-             .select("centre", "at.h", "rep", "n", "label", "d", (F.col("alone") + F.col("place")).alias("place")))
+             .select("centre", "rep", "n", "label", "d", "largest", "alone", F.posexplode(F.slice("in_order", F.lit(1), places)).alias("place", "at"))
+             .select("centre", "at.h", "rep", "n", "label", "d", "largest", (F.col("alone") + F.col("place")).alias("place")))
     posts = cut_lineage(posts, "posts")
-    mixed = posts.groupBy("centre", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("centre", "h")
-    posts = cut_lineage(posts.join(mixed, ["centre", "h"], "left_semi"), "posts")
+    mixed = (posts.groupBy("centre", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("place").alias("first"), F.max("n").alias("widest"))
+             .filter("lo <> hi").select("centre", "h", "first", "widest"))
+    met = posts.join(mixed, ["centre", "h"]).withColumn("largest", F.least("largest", may_differ(F.col("n") + F.col("widest"), percent)))
+    return cut_lineage(met.filter("place + first <= largest").drop("first", "widest"), "posts")
+
+
+def difference_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (rep, rep2) of ``nodes`` with the same centre and different labels
+    that can meet the threshold: of each, the one with the smaller place (at
+    most half of T) comes first, so that documents that are all far from each
+    other are not paired. See ``difference_posts``."""
+    posts = difference_posts(nodes, texts, percent)
+    near = posts.filter("2 * place <= largest")
     other = posts.select("centre", "h", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label", "d", "place")])
-    overlap = F.ceil((F.col("d") + F.col("d2") - may_differ(F.col("n") + F.col("n2"), percent)) / 2)
-    return (posts.join(other, ["centre", "h"])
-            .filter((F.col("label") < F.col("label2")) & comparable("n", "n2", percent)
+    most = may_differ(F.col("n") + F.col("n2"), percent)
+    overlap = F.ceil((F.col("d") + F.col("d2") - most) / 2)
+    return (near.join(other, ["centre", "h"])
+            .filter((F.col("label") != F.col("label2")) & comparable("n", "n2", percent) & (F.col("place") <= F.col("place2"))
                     & (F.col("place") <= F.col("d") - overlap) & (F.col("place2") <= F.col("d2") - overlap))
             .select("rep", "rep2"))
 

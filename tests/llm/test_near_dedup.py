@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from corpus_pipeline import near_duplicates
+from outletlab.llm import common
 from outletlab.llm import near_dedup as nd
 from outletlab.llm.queries import QUERIES
 from tests.llm.conftest import SF, words
@@ -14,7 +15,7 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """{row: (shingles, smallest id reachable)} by comparing all pairs that share a shingle."""
     sets = {k: shingles(t) for k, t in rows}
     held, shared = defaultdict(list), Counter()
@@ -33,7 +34,7 @@ def brute(rows):
         return x
 
     for (a, b), c in shared.items():
-        if 100 * c >= 85 * (len(sets[a]) + len(sets[b]) - c):
+        if 100 * c >= percent * (len(sets[a]) + len(sets[b]) - c):
             a, b = find(a), find(b)
             root[max(a, b)] = min(a, b)
     return {k: (len(sets[k]), find(k)) for k in sets}
@@ -69,6 +70,64 @@ def test_drifting_chain_and_star(spark):
     check(nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect(), rows)
 
 
+def cloud(m, replaced):
+    """Copies of one text with so many words replaced, each in its own way."""
+    rng, base = random.Random(17), words(17, 300, 10_000).split()
+    rows = []
+    for i in range(m):
+        copy = list(base)
+        for at in rng.sample(range(300), rng.choice(replaced)):
+            copy[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_a_group_of_texts_that_are_nearly_close(spark):
+    """Most pairs of the cloud fall short of the threshold, a few reach it."""
+    rows = cloud(60, (2, 3, 4, 5, 6))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for percent in (85, 80, 75):
+        want = brute(rows, percent)
+        assert {r.doc_id: r.component_id for r in nd.near_duplicates(docs, percent=percent).collect()} == {i: root for i, (_, root) in want.items()}
+
+
+def test_pairs_met_in_a_hot_group_of_texts_that_are_not_close(spark):
+    from pyspark.sql import functions as F
+
+    m = 300
+    for replaced, most in (((6, 7, 8), m * m // 6), ((8, 9, 10), m)):
+        rows = cloud(m, replaced)
+        texts = spark.createDataFrame(rows, "id long, text string")
+        sizes = [(0, i, len(shingles(t)), i) for i, t in rows[1:]]
+        posts = nd.difference_posts(spark.createDataFrame(sizes, "centre long, rep long, n long, label long"), texts, 80)
+        keys = posts.filter("2 * place <= largest").groupBy("centre", "h").agg(F.count(F.lit(1)).alias("near"))
+        met = posts.join(keys, ["centre", "h"]).agg(F.sum("near")).first()[0] or 0
+        assert met <= most, (replaced, met)
+
+
+def test_words_built_to_collide(spark):
+    """A Thue-Morse word and its complement are equal to polynomial hashes modulo 2**64."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two {word} three four"), (2, f"one two {word.translate(str.maketrans('ab', 'ba'))} three four")]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2}
+
+
+def test_memory_of_a_long_text():
+    import resource
+    import tracemalloc
+
+    data = np.frombuffer(("word " * 1_600_000).encode(), np.uint8)
+    tracemalloc.start()
+    row, value = nd.shingle_sets(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(row) == 1 and peak < 26 * len(data), (peak, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+    assert sum(len(p) for p in common._powers.values()) <= 2 * common.CACHED_POWERS
+
+
 def test_edge_rows(edge_docs, edge_rows):
     got = nd.near_duplicates(edge_docs).collect()
     assert len(got) == len(edge_rows)
