@@ -55,7 +55,7 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     start = offsets[row] + nth * WINDOW
     at = start[None, :] + np.arange(WINDOW)[:, None]
     inside = at < offsets[row + 1][None, :]
-    return np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))], PAD).astype(np.int16), row
+    return np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))].astype(np.int16), np.int16(PAD)), row
 
 
 def _scan(x: np.ndarray, w: np.ndarray, u: np.ndarray, reverse: bool, keep: bool):
