@@ -26,7 +26,7 @@ def test_every_stage_equals_brute_force(spark):
             want = {i: text for i, text, _, _ in clean_lines(rows.items())}
             assert all(r.n_chars == len(r.text) for r in docs.collect())
         elif name == "near_dedup":
-            want = {k: rows[k] for k, (_, root) in near_brute(rows.items()).items() if k == root}
+            want = {k: rows[k] for k, (_, root) in near_brute(rows.items(), cp.NEAR_PERCENT).items() if k == root}
         else:
             want = {k: t for k, t in rows.items() if not any(
                 dc.best_end(dc.masks(i), len(i), dc.normalised(t))[0] <= dc.budget(i)
@@ -36,6 +36,15 @@ def test_every_stage_equals_brute_force(spark):
         assert rows == want
 
 
+def test_a_foreign_text_goes_by_its_score(spark):
+    """The model knows four languages, so the best one's mean probability can't fall below 0.25."""
+    greek = "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα."
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    with_foreign = docs.unionByName(spark.createDataFrame([(10 ** 9, greek, None, "src0", len(greek))], docs.schema))
+    kept = {r.doc_id for r in cp.language_id(spark, with_foreign, SF).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.filter("text RLIKE '[^\\\\W\\\\d_]'").collect()}
+
+
 def test_edge_rows_pass_every_stage(spark, edge_docs, no_docs):
     for source in (edge_docs.withColumn("lang", edge_docs["label"]), no_docs):
         docs = source
