@@ -17,14 +17,18 @@ from outletlab.llm.near_dedup import near_dedup
 from outletlab.llm.packing import packed_documents
 from outletlab.session import cut_lineage
 
-MIN_LANGUAGE_SCORE = 0.3  # mean probability of the best language below which a text has none
+MIN_LANGUAGE_SHARE = 0.15  # of the way from an even guess over the languages to certainty; a text whose best language stays below has none
 NEAR_PERCENT = 80  # shared share of five-word shingles from which texts are near duplicates; op4's contract has 85
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a letter and reads as one of the languages."""
+    """Documents whose text has a letter and reads as one of the languages:
+    with k of them the best one's mean probability is above the even 1 / k by
+    MIN_LANGUAGE_SHARE of what is left to 1."""
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
-    rejected = (label_languages(docs, model).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE))
+    even = 1 / max(len(model.languages) if model else 1, 1)
+    least = even + MIN_LANGUAGE_SHARE * (1 - even) if even < 1 else 0.0
+    rejected = (label_languages(docs, model).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
                 .select(F.col("doc_id").alias("__rejected")).distinct())
     rejected = cut_lineage(rejected, "rejected")  # stored: a small set is broadcast by its known size
     return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("__rejected")), "left_anti")
