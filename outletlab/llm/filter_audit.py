@@ -3,11 +3,15 @@
 Two streams process all files there are in micro-batches. The first reads each
 text once and marks which of the filters A to D it fails; of the copies of one
 text in a batch of rows only the smallest id can still be the first, so all
-others are marked as copies (E) at once. The second keeps, keyed by the text's
-SHA-256, the smallest id so far and who holds it: when a smaller id arrives, the
-earlier holder's mask is retracted from its part's counters and counted again
-with E. Marks and retractions add up to the counters, from which every order of
-the filters is read off.
+others are marked as copies (E) at once. The second keeps by the text's SHA-256
+the smallest id so far and who holds it: when a smaller id arrives, the earlier
+holder's mask is retracted from its part's counters and counted again with E.
+Marks and retractions add up to the counters, from which every order of the
+filters is read off.
+
+A state holds the texts whose hashes begin with the same bits, TEXTS_A_STATE on
+average however many texts there are: calling Python for every text would cost
+more than the rest of the job.
 """
 
 from __future__ import annotations
@@ -30,9 +34,12 @@ from outletlab.session import scratch_path
 
 FILTERS = "ABCDE"
 COPY = 16  # the mask's bit of filter E; A to D have 1, 2, 4 and 8
+TEXTS_A_STATE = 32
 KNOWN_TEXTS = 50_000  # texts whose smallest id a marking task remembers
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # it would reserve megabytes for every small store
               "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
               "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200"}
 
@@ -82,25 +89,30 @@ def _mark_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _retractions(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Changes of counters (id, part, mask, n) that new rows of a text bring.
-    The state is the smallest id (a null is larger than any) and the parts and
-    numbers of its rows; all its rows were counted without E."""
-    best, held, mask, gone = None, Counter(), 0, []
+    """Changes of counters (id, part, mask, n) that new rows of texts bring.
+    The state is, row by row, each text's smallest id (a null is larger than
+    any) and a part and number of its rows; all its rows were counted without E."""
+    best: dict = {}  # by text
+    held: dict = {}  # by text: rows of the smallest id, by part
+    gone = []
     if state.exists:
-        ident, parts, numbers = state.get
-        best, held = ident, Counter(dict(zip(parts, numbers, strict=True)))
+        for text, ident, part, n in zip(*state.get, strict=True):
+            best[text] = ident
+            held.setdefault(text, Counter())[part] += n
     for frame in frames:
-        for ident, part, mask, n in zip(frame["id"], frame["part"], frame["mask"], frame["n"], strict=True):  # noqa: B007
-            ident = None if pd.isna(ident) else ident
-            mask, n = int(mask), int(n)
-            if held and ident != best and (ident is None or (best is not None and ident > best)):
+        for text, ident, null, part, mask, n in zip(*(frame[c] for c in ("text_key", "id", "null", "part", "mask", "n")), strict=True):
+            text, ident, mask, n = bytes(text), None if null else ident, int(mask), int(n)
+            own, least = held.get(text), best.get(text)
+            if own and ident != least and (ident is None or (least is not None and ident > least)):
                 gone.append((ident, part, mask, n))
                 continue
-            if ident != best or not held:
-                gone += [(best, p, mask, k) for p, k in held.items()]
-                best, held = ident, Counter()
-            held[part] += n
-    state.update((best, list(held), list(held.values())))
+            if not own or ident != least:
+                gone += [(least, p, mask, k) for p, k in (own or {}).items()]
+                best[text], own = ident, Counter()
+                held[text] = own
+            own[part] += n
+    rows = [(text, best[text], part, n) for text, own in held.items() for part, n in own.items()]
+    state.update(tuple(list(c) for c in zip(*rows, strict=True)))
     if gone:
         rows = [row for ident, part, mask, n in gone for row in ((ident, part, mask, -n), (ident, part, mask | COPY, n))]
         yield pd.DataFrame({c: pd.Series([r[i] for r in rows], dtype=t) for i, (c, t) in enumerate(
@@ -140,16 +152,21 @@ def failure_changes(spark: SparkSession, documents_path: str, id_col: str = "doc
     ident = StructField("id", schema[id_col].dataType)
     change = StructType([ident, StructField("part", StringType()), StructField("mask", IntegerType()), StructField("n", LongType())])
     mark = StructType([*change.fields[:3], StructField("text_key", BinaryType()), change["n"], StructField("first", BooleanType())])
-    holder = StructType([ident, StructField("parts", ArrayType(StringType())), StructField("numbers", ArrayType(LongType()))])
+    holder = StructType([StructField(c, ArrayType(t)) for c, t in (("text_keys", BinaryType()), ("ids", ident.dataType),
+                                                                   ("parts", StringType()), ("numbers", LongType()))])
     root = scratch_path(spark, "filter_audit")
     marks = _run(source.mapInArrow(_mark_batches, mark), root, "marks")
     firsts = (spark.readStream.schema(mark).option("maxFilesPerTrigger", mark_files_per_batch or 4 * cores).parquet(f"{root}/marks")
-              .filter("first").select("text_key", "id", "part", "mask", "n"))
+              .filter("first"))
+    bits = max(0, (marks.filter("first").count() // TEXTS_A_STATE).bit_length())
+    prefix = F.shiftright(F.conv(F.hex(F.substring("text_key", 1, 4)), 16, 10).cast("long"), max(0, 32 - bits)).alias("prefix")
+    # pandas has no integers beside nulls
+    null, filled = F.col("id").isNull().alias("null"), F.coalesce("id", F.lit(0).cast(ident.dataType)).alias("id")
     before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     for k, v in STATE_CONF.items():
         spark.conf.set(k, v)
     try:
-        retracted = _run(firsts.groupBy("text_key").applyInPandasWithState(
+        retracted = _run(firsts.select(prefix, "text_key", filled, null, "part", "mask", "n").groupBy("prefix").applyInPandasWithState(
             _retractions, change, holder, "append", GroupStateTimeout.NoTimeout), root, "retractions")
     finally:
         for k, v in before.items():
