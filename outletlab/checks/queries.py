@@ -138,15 +138,24 @@ def abt(spark: SparkSession, sf: str) -> DataFrame:
 
 def abt_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs: the earlier one stores its CSV snapshot, the later one reads
-    the newest snapshot back, appends the new customers and stores its own,
-    whose rows are returned (typed as the base table)."""
-    sources = tuple(cut_lineage(s, "abt_source") for s in _sources(spark, sf))  # shared by both runs
+    the newest snapshot back, builds and appends the new customers and stores
+    its own, whose rows are returned (typed as the base table). Both runs join
+    the sources stored by customer."""
+    tag = uuid.uuid4().hex[:8]
+    sources = tuple(fs.save_bucketed(s, f"outletlab_{n}_{tag}", scratch_path(spark, n), "CUSTOMER")
+                    for n, s in zip(("demographics", "coolers", "sales"), _sources(spark, sf), strict=True))
     root = scratch_path(spark, "abt_snapshots")
-    bt.store_snapshot(spark, _abt(spark, sf, P.PREVIOUS_AS_OF, sources), root, P.COUNTRY, P.PREVIOUS_PARDT)
-    current = _abt(spark, sf, sources=sources)
-    bt.store_snapshot(spark, current, root, P.COUNTRY, P.RUN_PARDT)
+    types: dict = {}
+
+    def rounded(rows: DataFrame) -> DataFrame:
+        rows = round_means(rows, bt.SALES_IMPUTED.values())
+        types.update(rows.dtypes)
+        return rows
+
+    for as_of, pardt in ((P.PREVIOUS_AS_OF, P.PREVIOUS_PARDT), (P.AS_OF, P.RUN_PARDT)):
+        bt.build_and_store_base_table(spark, _customers(spark, sf, as_of), *sources, root, P.COUNTRY, pardt, f"{pardt}_000000", finish=rounded)
     stored = fs.load_latest_csv(spark, root)
-    return stored.select(*[F.col(c).try_cast(t).alias(c) for c, t in current.dtypes], "pardt")
+    return stored.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()], "pardt")
 
 
 QUERIES.update({

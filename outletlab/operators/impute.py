@@ -31,15 +31,19 @@ def completeness(cols) -> F.Column:
 
 def nearest_donors(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: str = "LATITUDE",
                    lon: str = "LONGITUDE", area: str = "_BIC_CDMD_AREA",
-                   max_km: float = conf.NEAREST_MAX_KM, materialize: bool = True) -> DataFrame:
+                   max_km: float = conf.NEAREST_MAX_KM, materialize: bool = True,
+                   wanted: DataFrame | None = None) -> DataFrame:
     """(key, DONOR, distance_km) for incomplete rows with coordinates whose
-    nearest complete row is closer than ``max_km``."""
+    nearest complete row is closer than ``max_km``. Of all rows only those with
+    a key in ``wanted`` are answered, if it is given; any row can give."""
     check = list(numeric_cols) + [lon, lat, area, key]
     base = df.select(key, lat, lon, completeness(check).alias("_complete"))
     if materialize:  # later steps read the narrow copy, not the upstream joins
         base = cut_lineage(base, "nearest_base")
     donors = base.filter("_complete").select(F.col(key).alias("DONOR"), lat, lon)
     queries = base.filter(~F.col("_complete")).select(key, lat, lon)
+    if wanted is not None:
+        queries = queries.join(wanted.select(key), key, "left_semi")
     return nearest_within(queries, donors, key=key, donor_key="DONOR", lat=lat, lon=lon,
                           max_km=max_km)
 
@@ -47,7 +51,8 @@ def nearest_donors(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: s
 def impute_nearest(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: str = "LATITUDE",
                    lon: str = "LONGITUDE", area: str = "_BIC_CDMD_AREA",
                    max_km: float = conf.NEAREST_MAX_KM,
-                   area_fallback: bool = False, materialize: bool = True) -> DataFrame:
+                   area_fallback: bool = False, materialize: bool = True,
+                   wanted: DataFrame | None = None) -> DataFrame:
     """Rows with any missing measure take each missing value from their
     nearest complete row within ``max_km``; other rows are unchanged.
 
@@ -57,20 +62,22 @@ def impute_nearest(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: s
     complete but is never filled. With ``materialize`` the input is written
     once for the three reads. ``area_fallback=True`` additionally fills values
     still missing on rows that have coordinates but no donor within range with
-    the mean of the known values in the same ``area``.
+    the mean of the known values in the same ``area``. With ``wanted`` only the
+    rows whose key it has are returned; all rows can give values.
     """
     numeric_cols = list(numeric_cols)
     if materialize:
         df = cut_lineage(df, "imputation_input")
     match = nearest_donors(df, numeric_cols, key=key, lat=lat, lon=lon, area=area,
-                           max_km=max_km, materialize=False)
+                           max_km=max_km, materialize=False, wanted=wanted)
     if materialize:
         match = cut_lineage(match, "nearest_donors")
     chosen = match.select("DONOR").distinct()
     donor_values = (df.withColumnRenamed(key, "DONOR").join(chosen, "DONOR", "left_semi")
                     .select("DONOR", *[F.col(c).alias(f"{c}__donor") for c in numeric_cols]))
     fills = match.join(donor_values, "DONOR").drop("distance_km")
-    out = df.join(fills, key, "left")
+    rows = df if wanted is None else df.join(wanted.select(key), key, "left_semi")
+    out = rows.join(fills, key, "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__donor")) for c in numeric_cols})
     if area_fallback:
         means = df.groupBy(area).agg(*[F.avg(c).alias(f"{c}__area") for c in numeric_cols])
@@ -85,14 +92,15 @@ def impute_nearest(df: DataFrame, numeric_cols, *, key: str = "CUSTOMER", lat: s
 
 def impute_hierarchical(df: DataFrame, columns: dict,
                         strata=("CUST_CTRADE_CH_DESC", "CUST_CDMD_AREA"),
-                        materialize: bool = True) -> DataFrame:
+                        materialize: bool = True, means_of: DataFrame | None = None) -> DataFrame:
     """``columns`` maps source column -> output column. Output = own value as
     double, else the mean over rows of the same (strata[0], strata[1]), else of
-    the same strata[0], else of all rows. NULL strata form a group."""
+    the same strata[0], else of all rows. NULL strata form a group. The means
+    are those of ``means_of``, if it is given, else of ``df``."""
     srcs = list(columns)
     strata = list(strata)
     v = {c: F.col(c).try_cast("double") for c in srcs}
-    fine = df.groupBy(*strata).agg(
+    fine = (df if means_of is None else means_of).groupBy(*strata).agg(
         *[F.sum(v[c]).alias(f"s{i}") for i, c in enumerate(srcs)],
         *[F.count(v[c]).alias(f"n{i}") for i, c in enumerate(srcs)])
     if materialize:  # one row per stratum; later levels and the join reuse it

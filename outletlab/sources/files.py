@@ -115,6 +115,15 @@ def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") ->
     return df.sparkSession.table(name)
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int | None = None, mode: str = "overwrite") -> DataFrame:
+    """``save_table`` dealt to ``buckets`` files by ``key`` (as many as the
+    session's shuffles have partitions, if not given). Tables of one number of
+    buckets are joined and grouped on the key without moving their rows."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, key).write.mode(mode).option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def load_latest_csv(spark: SparkSession, root: str, sep: str = ",") -> DataFrame:
     """The data set the newest file under ``root`` belongs to, read as CSV.
     Columns are strings named by the header, whatever their order, and a file
