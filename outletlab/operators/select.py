@@ -141,13 +141,13 @@ def associations(df: DataFrame, features, materialize: bool = True) -> DataFrame
     # pair's rows, which a high-cardinality feature would make unbounded)
     ma = counts.groupBy("pair", "va").agg(F.sum("n").alias("A"))
     mb = counts.groupBy("pair", "vb").agg(F.sum("n").alias("B"))
-    size = ma.groupBy("pair").agg(F.sum("A").alias("T"), F.count(F.lit(1)).alias("ra")).join(
-        mb.groupBy("pair").agg(F.count(F.lit(1)).alias("rb")), "pair")
+    totals = broadcast_counted(ma.groupBy("pair").agg(F.sum("A").alias("T"), F.count(F.lit(1)).alias("ra")), "pair_totals")  # one row a pair
+    widths = broadcast_counted(mb.groupBy("pair").agg(F.count(F.lit(1)).alias("rb")), "pair_widths")
     # sum (n - e)^2 / e over all cells, with e = A B / T, is T (sum n^2 / (A B) - 1)
     chi = counts.join(ma, ["pair", "va"]).join(mb, ["pair", "vb"]).groupBy("pair").agg(
         F.sum(F.col("n").cast("double") * F.col("n") / (F.col("A").cast("double") * F.col("B"))).alias("q"))
     k = F.least("ra", "rb") - 1
-    cramer = chi.join(size, "pair").join(named, "pair").withColumn("assoc", F.when(k > 0, F.sqrt(F.greatest(F.col("q") - 1, F.lit(0.0)) / k)))
+    cramer = chi.join(totals, "pair").join(widths, "pair").join(named, "pair").withColumn("assoc", F.when(k > 0, F.sqrt(F.greatest(F.col("q") - 1, F.lit(0.0)) / k)))
     out = ["feature_a", "feature_b", "kind", "assoc"]
     return pearson.select(*out).unionByName(eta.select(*out)).unionByName(cramer.select(*out))
 

@@ -71,3 +71,23 @@ def test_selection_cells_are_not_dealt_by_feature_or_pair(spark):
         plan = executed_plan(Q.QUERIES[key](spark, SF))
         final = plan.split("== Initial Plan ==")[0]
         assert not re.search(rf"SortMergeJoin \[{column}#\d+\], .*Inner", final), final
+
+
+def test_stored_sides_of_the_star_are_joined_where_they_are(spark):
+    """Sources bucketed by customer: no row of theirs is moved by the joins."""
+    from outletlab.session import scratch_path
+    from outletlab.sources import files as fs
+
+    sides = [Q._customers(spark, SF), Q._demographics(spark, SF).drop("LONGITUDE", "LATITUDE"), Q.cooler_features(spark, SF), Q.sales_features(spark, SF)]
+    sides = [fs.save_bucketed(s, f"star_side_{i}", scratch_path(spark, f"star_side_{i}"), "CUSTOMER") for i, s in enumerate(sides)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = sides[0]
+        for side in sides[1:]:
+            star = star.join(side, "CUSTOMER", "left")
+        plan = executed_plan(star)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") >= 3 and "Exchange" not in plan.split("== Initial Plan ==")[0]
+    assert star.count() == sides[0].count()
