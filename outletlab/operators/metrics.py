@@ -199,25 +199,53 @@ def auc_from_class_scores(df: DataFrame, label: str, score_columns: dict, by=Non
     return out.filter("class").select(*g, F.col("_cls").alias("class"), "auc")
 
 
+def _counts_before(scores: DataFrame, g, score: str, counts: list, partitions: int | None = None) -> DataFrame:
+    """For a table with one row a (group, score) add ``before_<c>`` for each of
+    ``counts``: its sum over the group's rows with a smaller score. As in
+    ``_average_ranks`` the table is dealt by ranges of (group, score), so that no
+    window spans more than a partition."""
+    spark = scores.sparkSession
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = scores.repartitionByRange(n, *g, score).withColumn("_p", F.spark_partition_id())
+    ordered = cut_lineage(ordered, "ranked_scores")  # one fixed assignment for both branches
+    earlier = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy(*g, "_p").agg(*[F.sum(c).alias(f"_{c}") for c in counts])
+    parts = parts.select(*g, "_p", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in counts])
+    inside = Window.partitionBy(*g, "_p").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = _join(ordered, parts, [*g, "_p"])
+    return ordered.withColumns({f"before_{c}": F.col(f"_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in counts}).drop(
+        "_p", *[f"_{c}" for c in counts])
+
+
 def auc_one_vs_one(df: DataFrame, label: str, score_columns: dict, by=None,
                    partitions: int | None = None) -> DataFrame:
     """(by..., auc): the mean over all pairs of classes of the AUC that tells
     the two apart, itself the mean of ranking their rows by the one class's
-    score and by the other's. Every row is stacked once for each pair its
-    label is in (classes - 1 times, two scores each) and all pairs are ranked
-    in one job. Rows without a label or without both scores of a pair are
-    left out of it, and pairs with one class missing are left out of the mean.
+    score and by the other's. Every row is ranked once by each class's score;
+    a score carries how many rows of its class and of each other class have it,
+    and the running counts of the others give the AUC of every pair with that
+    class (ties count half). Rows without a label or without both scores of a
+    pair are left out of it, and pairs with one class missing are left out of
+    the mean.
     """
     g = _group_cols(by)
     classes = list(score_columns)
-    sides = [(f"{a}|{b}|{own}", a, b, own) for i, a in enumerate(classes) for b in classes[i + 1:] for own in (a, b)]
-    both = lambda a, b: F.col(score_columns[a]).isNotNull() & F.col(score_columns[b]).isNotNull()
-    stacked = df.select(*g, F.col(label).alias("_label"), F.explode(F.array(*[
-        F.when(F.col(label).isin(a, b) & both(a, b),
-               F.struct(F.lit(name).alias("_side"), F.col(score_columns[own]).cast("double").alias("_score"),
-                        (F.col(label) == F.lit(own)).alias("_pos")))
-        for name, a, b, own in sides])).alias("_s")).filter("_s IS NOT NULL")
-    stacked = stacked.select(*g, "_s._side", "_s._score", "_s._pos")
-    auc = auc_one_vs_rest(stacked, label="_pos", score="_score", by=g + ["_side"], partitions=partitions).filter("class AND auc IS NOT NULL")
-    pair = F.regexp_replace("_side", "[|][^|]*$", "")
-    return auc.groupBy(*g, pair.alias("_pair")).agg(F.avg("auc").alias("auc")).groupBy(*g).agg(F.avg("auc").alias("auc"))
+    known = [F.col(score_columns[c]).isNotNull().alias(f"_has{i}") for i, c in enumerate(classes)]
+    stacked = df.filter(F.col(label).isin(*classes)).select(*g, F.col(label).alias("_label"), *known, F.posexplode(F.array(*[
+        F.col(score_columns[c]).cast("double") for c in classes])).alias("_own", "_score")).filter("_score IS NOT NULL")
+    names = F.array(*[F.lit(c) for c in classes])
+    mine = F.col("_label") == F.element_at(names, F.col("_own") + 1)
+    count = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    counts = [f"{kind}{i}" for kind in ("pos", "neg") for i in range(len(classes))]
+    scores = stacked.groupBy(*g, "_own", "_score").agg(
+        *[count(mine & F.col(f"_has{i}")).alias(f"pos{i}") for i in range(len(classes))],
+        *[count((F.col("_label") == F.lit(c)) & F.col(f"_has{i}")).alias(f"neg{i}") for i, c in enumerate(classes)])
+    before = _counts_before(scores, [*g, "_own"], "_score", counts[len(classes):], partitions)
+    won = lambda i: F.col(f"pos{i}") * (F.col(f"before_neg{i}") + F.col(f"neg{i}") / 2.0)
+    sums = before.groupBy(*g, "_own").agg(*[F.sum(won(i)).alias(f"won{i}") for i in range(len(classes))],
+                                          *[F.sum(c).alias(c) for c in counts])
+    rows = sums.select(*g, "_own", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_other"), F.col(f"won{i}").alias("won"), (F.col(f"pos{i}") * F.col(f"neg{i}")).alias("of"))
+        for i in range(len(classes))]))).filter("_own <> _other AND of > 0")
+    pairs = rows.groupBy(*g, F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b")).agg(F.avg(F.col("won") / F.col("of")).alias("auc"))
+    return pairs.groupBy(*g).agg(F.avg("auc").alias("auc"))
