@@ -256,20 +256,24 @@ def sales_amounts(lines: DataFrame) -> DataFrame:
     )
 
 
-def impute_unique_currency(lines: DataFrame, materialize: bool = False) -> DataFrame:
+def impute_unique_currency(lines: DataFrame, materialize: bool = True) -> DataFrame:
     """Customers with exactly one known currency get it on lines without one;
-    remaining gaps become 'NA'. Only lines with a gap are joined; the others
-    never leave their partition. The lines are read three times, once for two
-    columns only; ``materialize`` writes them first, for lines that are costly
-    to make."""
+    remaining gaps become 'NA'. With ``materialize`` the lines are made once and
+    stored in two directories, by whether the currency is known: the known part
+    is passed on as it is (and two of its columns give the customers'
+    currencies), only the gaps are joined. Without it the lines are made three
+    times."""
+    names = lines.columns
     if materialize:
-        lines = cut_lineage(lines, "currency_lines")
-    known, gaps = lines.filter("CURRENCY IS NOT NULL"), lines.filter("CURRENCY IS NULL")
+        lines = cut_lineage(lines.withColumn("currency_known", F.col("CURRENCY").isNotNull()), "currency_lines", "currency_known")
+        known, gaps = (lines.filter(F.col("currency_known") == part).select(*names) for part in (True, False))
+    else:
+        known, gaps = lines.filter("CURRENCY IS NOT NULL"), lines.filter("CURRENCY IS NULL")
     unique = (known.groupBy("CUSTOMER")
               .agg(F.min("CURRENCY").alias("UNIQUE_CURRENCY"), F.max("CURRENCY").alias("last_currency"))
               .filter("UNIQUE_CURRENCY = last_currency").drop("last_currency"))
     filled = gaps.join(unique, on="CUSTOMER", how="left").withColumn("CURRENCY", F.coalesce("UNIQUE_CURRENCY", F.lit("NA")))
-    return known.unionByName(filled.select(*lines.columns))
+    return known.unionByName(filled.select(*names))
 
 
 SALES_VOLUME_MEAN = "Sales_Volume_in_UC_rolling_xmonths_back_avg"

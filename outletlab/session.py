@@ -80,7 +80,7 @@ def drop_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
-def cut_lineage(df, name: str = "stage"):
+def cut_lineage(df, name: str = "stage", partition_by: str | None = None):
     """Materialise ``df`` as Parquet in the shared checkpoint folder and
     return a frame that reads it back.
 
@@ -89,11 +89,13 @@ def cut_lineage(df, name: str = "stage"):
     statistics, and it lives on storage every executor reaches, so losing an
     executor never sends recomputation further back than this point. Unless
     the session says otherwise, Python workers get ARROW_ROWS rows at a time.
+    With ``partition_by`` the copy has a directory for each value of that column.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    writer = df.write.mode("errorifexists")
     with _arrow_rows(spark):
-        df.write.mode("errorifexists").parquet(path)
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

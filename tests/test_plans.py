@@ -73,6 +73,13 @@ def test_selection_cells_are_not_dealt_by_feature_or_pair(spark):
         assert not re.search(rf"SortMergeJoin \[{column}#\d+\], .*Inner", final), final
 
 
+def test_currency_lines_are_made_once_and_gaps_read_apart(spark):
+    plan = formatted(spark, Q.currency_impute(spark, SF))
+    assert "lineitem" not in plan and plan.count("currency_lines") >= 2
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert sum("NOT" in f for f in filters) == 1 and len(filters) == 3, filters  # one scan of the gaps, two of the known part
+
+
 def test_stored_sides_of_the_star_are_joined_where_they_are(spark):
     """Sources bucketed by customer: no row of theirs is moved by the joins."""
     from outletlab.session import scratch_path
