@@ -671,7 +671,7 @@ def model_ctes() -> str:
     order = ", ".join(f"('{f}', {i})" for i, f in enumerate(feats))
     texts = ", ".join(f"coalesce(CAST({q(f)} AS VARCHAR), '<NULL>') AS {q(f)}" for f in feats)
     return p_value_ctes() + f""",
-cast_abt AS (SELECT {cast_columns()} FROM abt),
+cast_abt AS (SELECT {cast_columns('CAST({} AS VARCHAR)')} FROM abt),
 important AS (SELECT feature FROM pv WHERE p < {conf.CHI_SQUARE_ALPHA}),
 assoc AS ({_assoc_parts(feats, [c for c in feats if c in TEXT_COLUMNS]).replace("FROM abt", "FROM cast_abt")}),
 close AS (

@@ -325,7 +325,7 @@ def load_latest_abt(spark: SparkSession, sf: str) -> DataFrame:
     for modelling."""
     root = scratch_path(spark, "abt_out")
     fs.write_csv(_abt(spark, sf), f"{root}/{P.COUNTRY.upper()}/output/{P.COUNTRY}_abt_{P.RUN_PARDT}_000000.csv")
-    return mo.cast_to_double(fs.load_latest_csv(spark, root), conf.MODEL_DOUBLE_COLUMNS)
+    return mo.load_base_table(spark, root)
 
 
 def latest_file(spark: SparkSession, sf: str) -> DataFrame:
@@ -399,11 +399,12 @@ _models: dict = {}  # by application and tables: where the fitted model and its
 
 def _modelled(spark, sf):
     """(base table, predictions, loaded model, kept features, data modelled,
-    search scores): fitted and saved by the first query that asks, read back by all."""
+    search scores): fitted on the newest stored base table and saved by the
+    first query that asks, read back by all."""
     key = (spark.sparkContext.applicationId, sf, repr(MODEL_CONFIG))
     if key not in _models:
         root = scratch_path(spark, "mbt")
-        abt = cut_lineage(cast_model_inputs(spark, sf), "model_abt")
+        abt = cut_lineage(load_latest_abt(spark, sf), "model_abt")
         kept = mo.select_features(abt, selection_features())
         mbt, preds, model, scores = mo.model_base_table(abt, kept, cfg=MODEL_CONFIG)
         mo.save_model(model, mbt, f"{root}/artifacts", f"{root}/data")

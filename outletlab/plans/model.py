@@ -18,6 +18,7 @@ from outletlab import conf
 from outletlab.operators import select as sel
 from outletlab.plans import forest_search as fos
 from outletlab.session import cut_lineage
+from outletlab.sources.files import load_latest_csv
 
 LABEL = "targetVar"
 LABEL_INDEX = "targetVarInd"
@@ -160,6 +161,12 @@ def cast_to_double(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("double") for c in wanted})
 
 
+def load_base_table(spark, snapshot_root: str) -> DataFrame:
+    """The newest base table stored under ``snapshot_root``, typed for
+    modelling: the listed columns are numbers, all else is text."""
+    return cast_to_double(load_latest_csv(spark, snapshot_root), conf.MODEL_DOUBLE_COLUMNS)
+
+
 def evaluate(preds: DataFrame) -> DataFrame:
     """Metric table per Holdout from the prediction columns of
     ``model_base_table``: accuracy, weighted precision / recall / f1 on the
@@ -178,8 +185,9 @@ def evaluate(preds: DataFrame) -> DataFrame:
 
 def run_modelling(abt: DataFrame, features, cfg: ModelConfig | None = None,
                   artifact_dir: str | None = None, data_dir: str | None = None) -> tuple:
-    """Modelling entry point: cast inputs, select features, fit, score,
-    evaluate and (optionally) save. Returns (mbt, metrics, model)."""
+    """Modelling entry point: cast inputs (``load_base_table`` gives the newest
+    stored ones), select features, fit, score, evaluate and (optionally) save.
+    Returns (mbt, metrics, model)."""
     abt = cast_to_double(abt, conf.MODEL_DOUBLE_COLUMNS)
     kept = select_features(abt, features)
     mbt, preds, model, _ = model_base_table(abt, kept, cfg=cfg)
