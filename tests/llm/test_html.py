@@ -1,8 +1,12 @@
 import html
+import math
+import random
 import re
 import time
+from collections import Counter
+from html.parser import HTMLParser
 
-from outletlab.llm.html_text import extract_text, main_text
+from outletlab.llm.html_text import Tree, _select, extract_text, main_text
 from outletlab.llm.queries import QUERIES
 from tests.llm.conftest import SF, words
 
@@ -143,3 +147,75 @@ def test_the_title_before_the_text_stays():
         assert main_text(page(source)) == "\n\n".join(["Title", a, b]), source
     own = f"<h1>Site</h1><div class=post><h1>Title</h1><p>{a}</p><p>{b}</p></div>"  # the text has its own title
     assert main_text(page(own)) == "\n\n".join(["Title", a, b])
+
+
+class Plain(HTMLParser):
+    """Nodes of a well-formed page: name, parent and own text."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.nodes, self.stack = [["root", None, ""]], [0]
+        self.feed(source)
+
+    def handle_starttag(self, tag, attrs):
+        self.nodes.append([tag, self.stack[-1], ""])
+        self.stack.append(len(self.nodes) - 1)
+
+    def handle_endtag(self, tag):
+        self.stack.pop()
+
+    def handle_data(self, data):
+        self.nodes[self.stack[-1]][2] += data
+
+
+def plain_best(source):
+    """The text of the node with the largest sum of its children's densities, all counts by recursion."""
+    nodes = Plain(source).nodes
+    below = lambda k: [j for j in range(len(nodes)) if nodes[j][1] == k]
+    chars = lambda k: len("".join(nodes[k][2].split())) + sum(map(chars, below(k)))
+    links = lambda k: chars(k) if nodes[k][0] == "a" else sum(map(links, below(k)))
+    tags = lambda k: sum(1 + tags(j) for j in below(k))
+    anchors = lambda k: sum((nodes[j][0] == "a") + anchors(j) for j in below(k))
+    text = lambda k: "".join(nodes[k][2].split()) + "".join(map(text, below(k)))
+    body = next(k for k, n in enumerate(nodes) if n[0] == "body")
+
+    def density(k):
+        c, lc, t, lt = chars(k), links(k), max(tags(k), 1), max(anchors(k), 1)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * max(lc, 1) + links(body) / chars(body) * c + math.e)
+        return c / t * max(math.log(max(c / max(lc, 1) * t / lt, 1 + 1e-9)) / base, 0.0)
+
+    inside = [body]
+    for k in inside:
+        inside += below(k)
+    best = max(inside, key=lambda k: (sum(map(density, below(k))), density(k), -k))
+    return nodes[best][0], text(best)
+
+
+def test_density_sums_equal_a_plain_version():
+    rng = random.Random(12)
+
+    def some(depth):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            kind = rng.random()
+            n = rng.choice((2, 8, 30, 60))
+            if kind < 0.5 or depth == 0:
+                parts.append(f"<p>{words(rng.random(), n)}" + f"<a>{words(rng.random(), n // 4 + 1)}</a>" * rng.randrange(3) + "</p>")
+            elif kind < 0.6:
+                parts.append(f"<ul><li><a>{words(rng.random(), 2)}</a></li><li>{words(rng.random(), 3)}</li></ul>")
+            else:
+                parts.append(f"<{(tag := rng.choice(('div', 'section')))}>{some(depth - 1)}</{tag}>")
+        return "".join(parts)
+
+    for _ in range(120):
+        source = f"<html><body>{some(3)}</body></html>"
+        tree = Tree(source)
+        _, best = _select(tree, [False] * len(tree.name))
+        inside = [k == best for k in range(len(tree.name))]
+        for k in range(best + 1, len(tree.name)):
+            inside[k] = inside[tree.parent[k]]
+        own = Counter("".join("".join(t.split()) for k, t in tree.parts if inside[k]))
+        name, text = plain_best(source)
+        assert (tree.name[best], own) == (name, Counter(text)), source
