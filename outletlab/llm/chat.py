@@ -86,12 +86,12 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, d
 
     ``calls`` has conv_id, call_id, parent_id, name, arguments (JSON text);
     ``results`` has conv_id, call_id, content. The result has conv_id,
-    call_id, position (topological; null on a cycle), name, n_results, valid,
-    errors (text, empty if valid) and json.
+    call_id, position (topological; null on a cycle), name, n_calls, n_results,
+    valid, errors (text, empty if valid) and json.
 
     Rows repeating an identifier are one call or result: the smallest by
-    (name, arguments, parent_id), or by content, is used and n_results counts
-    the rows. A result without a call gives a row with a null name that isn't
+    (name, arguments, parent_id), or by content, is used, n_calls and n_results
+    count the rows, and rows that differ are an error. A result without a call gives a row with a null name that isn't
     valid; a call without a result is serialised with a null result. Rows
     with a null identifier or conversation are linked with nothing and left
     out, being addressable by nothing. An unknown tool, arguments that aren't
@@ -100,10 +100,13 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, d
     """
     keyed = "conv_id IS NOT NULL AND call_id IS NOT NULL"
     one = (calls.filter(keyed).groupBy("conv_id", "call_id")
-           .agg(F.min(F.struct("name", "arguments", "parent_id")).alias("c")).select("conv_id", "call_id", "c.*"))
+           .agg(F.min(F.struct("name", "arguments", "parent_id")).alias("c"), F.max(F.struct("name", "arguments", "parent_id")).alias("c2"),
+                F.count(F.lit(1)).alias("n_calls"))
+           .select("conv_id", "call_id", "c.*", "n_calls", (F.col("c") != F.col("c2")).alias("calls_differ")))
     one = cut_lineage(one, "calls")
     answers = (results.filter(keyed).groupBy("conv_id", "call_id")
-               .agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results")))
+               .agg(F.min(F.struct("content")).alias("r"), F.max(F.struct("content")).alias("r2"), F.count(F.lit(1)).alias("n_results"))
+               .select("conv_id", "call_id", "r.content", "n_results", (F.col("r") != F.col("r2")).alias("results_differ")))
     linked = (one.withColumn("called", F.lit(True)).join(call_positions(one), ["conv_id", "call_id"], "left")
               .join(answers, ["conv_id", "call_id"], "full"))
 
@@ -126,20 +129,21 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, d
                             errors.append("unknown tool")
                     if r["position"] is None:
                         errors.append("cycle of calls")
+                errors += [f"{what} of this id differ" for what in ("calls", "results") if r[f"{what}_differ"]]
                 record = {"id": r["call_id"], "name": r["name"], "arguments": arguments, "after": r["parent_id"],
                           "position": r["position"], "result": r["content"], "errors": errors}
                 out.append({"conv_id": r["conv_id"], "call_id": r["call_id"], "position": r["position"], "name": r["name"],
-                            "n_results": r["n_results"] or 0, "valid": not errors, "errors": "; ".join(errors), "json": canonical(record)})
+                            "n_calls": r["n_calls"] or 0, "n_results": r["n_results"] or 0, "valid": not errors, "errors": "; ".join(errors), "json": canonical(record)})
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
                     batch.schema.field("conv_id"), batch.schema.field("call_id"), ("position", pa.int64()), ("name", pa.string()),
-                    ("n_results", pa.int64()), ("valid", pa.bool_()), ("errors", pa.string()), ("json", pa.string())]))
+                    ("n_calls", pa.int64()), ("n_results", pa.int64()), ("valid", pa.bool_()), ("errors", pa.string()), ("json", pa.string())]))
 
     schema = StructType([StructField("conv_id", calls.schema["conv_id"].dataType), StructField("call_id", calls.schema["call_id"].dataType),
-                         StructField("position", LongType()), StructField("name", StringType()), StructField("n_results", LongType()),
+                         StructField("position", LongType()), StructField("name", StringType()), StructField("n_calls", LongType()), StructField("n_results", LongType()),
                          StructField("valid", BooleanType()), StructField("errors", StringType()), StructField("json", StringType())])
-    return linked.select("conv_id", "call_id", "parent_id", "name", "arguments", "position", "content", "n_results",
-                         F.coalesce("called", F.lit(False)).alias("called")).mapInArrow(batches, schema)
+    return linked.select("conv_id", "call_id", "parent_id", "name", "arguments", "position", "content", "n_calls", "n_results",
+                         "calls_differ", "results_differ", F.coalesce("called", F.lit(False)).alias("called")).mapInArrow(batches, schema)
 
 
 # The schemas of the calls read from plain conversations.

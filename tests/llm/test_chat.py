@@ -54,7 +54,8 @@ def test_linking_order_and_validation(spark):
     assert got[1, "d"].errors == "unknown tool" and got[1, "r"].errors == "cycle of calls" and got[3, "s"].errors == "cycle of calls"
     assert got[2, "a"].errors == got[2, "a2"].errors == "arguments are not JSON"
     assert (got[4, "a"].n_results, json.loads(got[4, "a"].json)["result"]) == (2, "y")
-    assert got[9, "lost"].name is None and not got[9, "lost"].valid
+    assert (got[4, "a"].n_calls, got[4, "a"].errors) == (2, "results of this id differ") and got[1, "a"].n_calls == 1
+    assert got[9, "lost"].name is None and not got[9, "lost"].valid and got[9, "lost"].n_calls == 0
     assert len(got) == 12 and '"arguments":{"a":1,"b":2.5}' in got[1, "a"].json
 
 
@@ -66,6 +67,17 @@ def test_long_chain_and_hub(spark):
     assert all(got[f"k{i}"] == i for i in range(300)) and all(got[f"h{i}"] == 6 for i in range(300))
 
 
+def test_repeated_rows_that_differ_are_counted_and_flagged(spark):
+    ok, other = '{"a":1,"b":null}', '{"a":2,"b":null}'
+    calls = [(1, "a", None, "add", ok, "", ""), (1, "a", None, "add", other, "", ""), (1, "a", None, None, ok, "", ""),
+             (1, "b", None, "add", ok, "", ""), (1, "b", None, "add", ok, "", "")]
+    results = [(1, "b", "x", ""), (1, "b", "x", ""), (2, "c", None, ""), (2, "c", "y", "")]
+    got = {(r.conv_id, r.call_id): r for r in chat.format_tool_calls(*frames(spark, calls, results), TOOL).collect()}
+    assert got[1, "a"].n_calls == 3 and "calls of this id differ" in got[1, "a"].errors and not got[1, "a"].valid
+    assert (got[1, "b"].n_calls, got[1, "b"].n_results, got[1, "b"].valid) == (2, 2, True)
+    assert got[2, "c"].errors == "result without a call; results of this id differ"
+
+
 def test_empty(spark):
     calls, results = frames(spark, [(1, "a", None, "add", "{}", "", "")], [(1, "a", "x", "")])
     assert chat.format_tool_calls(calls.limit(0), results.limit(0), TOOL).collect() == []
