@@ -1,6 +1,8 @@
 """Scores of the forests held in a larger one."""
 
 import random
+import threading
+import time
 
 import pytest
 from pyspark.ml import Pipeline
@@ -93,3 +95,50 @@ def test_search_keeps_every_score_and_names_the_best(vectors):
 def test_no_validated_row_is_an_error(spark):
     with pytest.raises(ValueError, match="no row to validate"):
         fos.best_set(spark.createDataFrame([], fos.SCORES))
+
+
+def test_pieces_of_a_fold_give_its_scores(vectors):
+    """Rows of a fold scored in pieces, each with its forest's stored nodes."""
+    rows = lambda pieces: sorted(map(tuple, fos.nested_search(vectors, "label", "features", "fold", 3, [2, 4], [3, 5], [8, 10], seed=1, pieces=pieces).collect()))
+    whole = rows(1)
+    assert len(whole) == 24 and rows(4) == whole
+
+
+def test_a_forest_is_the_same_with_its_node_ids_cached(vectors):
+    fit = lambda **more: RandomForestClassifier(labelCol="label", seed=5, numTrees=4, maxDepth=12, maxBins=9, **more).fit(vectors)
+    assert fit(cacheNodeIds=True).toDebugString.split("\n")[1:] == fit().toDebugString.split("\n")[1:]
+
+
+@pytest.mark.parametrize("room", [1, 2])
+def test_no_more_fits_at_once_than_the_driver_has_room_for(vectors, monkeypatch, room):
+    heap = vectors.sparkSession._jvm.Runtime.getRuntime().maxMemory()
+    lock, running, most, fit = threading.Lock(), set(), [0], RandomForestClassifier.fit
+
+    def counted(self, rows):
+        with lock:
+            running.add(self.uid)
+            most[0] = max(most[0], len(running))
+        try:
+            return fit(self, rows)
+        finally:
+            running.discard(self.uid)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted)
+    monkeypatch.setattr(fos, "FIT_BYTES", heap // room, raising=False)
+    scores = fos.nested_search(vectors, "label", "features", "fold", 3, [2], [3], [6, 8], seed=1, parallelism=6)
+    assert scores.count() == 6 and most[0] <= room
+
+
+def test_fits_have_local_properties_of_their_own(vectors, monkeypatch):
+    sc, fit, seen = vectors.sparkSession.sparkContext, RandomForestClassifier.fit, []
+
+    def marked(self, rows):
+        sc.setLocalProperty("fit", self.uid)
+        time.sleep(0.5)
+        seen.append(sc.getLocalProperty("fit") == self.uid)
+        return fit(self, rows)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", marked)
+    monkeypatch.setattr(fos, "FIT_BYTES", 1, raising=False)
+    fos.nested_search(vectors, "label", "features", "fold", 3, [2], [3], [6], seed=1, parallelism=3)
+    assert seen == [True] * 3
