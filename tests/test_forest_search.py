@@ -129,6 +129,35 @@ def test_no_more_fits_at_once_than_the_driver_has_room_for(vectors, monkeypatch,
     assert scores.count() == 6 and most[0] <= room
 
 
+def test_fits_of_many_rows_run_one_by_one(vectors, monkeypatch):
+    """600 rows and 2 trees, each of which asks for a 1000th of the heap."""
+    heap = vectors.sparkSession._jvm.Runtime.getRuntime().maxMemory()
+    lock, running, most, fit = threading.Lock(), set(), [0], RandomForestClassifier.fit
+
+    def counted(self, rows):
+        with lock:
+            running.add(self.uid)
+            most[0] = max(most[0], len(running))
+        try:
+            return fit(self, rows)
+        finally:
+            running.discard(self.uid)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted)
+    monkeypatch.setattr(fos, "FIT_BYTES", 1)
+    monkeypatch.setattr(fos, "TREE_ROW_BYTES", heap // 1000, raising=False)
+    scores = fos.nested_search(vectors, "label", "features", "fold", 3, [2], [3], [6], seed=1, parallelism=3)
+    assert scores.count() == 3 and most[0] == 1
+
+
+def test_the_driver_is_cleared_before_each_fit(vectors, monkeypatch):
+    done, fit, free = [], RandomForestClassifier.fit, getattr(fos, "free_driver", None)
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, rows: done.append("fit") or fit(self, rows))
+    monkeypatch.setattr(fos, "free_driver", lambda spark: done.append("free") or free(spark), raising=False)
+    fos.nested_search(vectors, "label", "features", "fold", 3, [2], [3], [6], seed=1, parallelism=1)
+    assert done == ["free", "fit"] * 3
+
+
 def test_fits_have_local_properties_of_their_own(vectors, monkeypatch):
     sc, fit, seen = vectors.sparkSession.sparkContext, RandomForestClassifier.fit, []
 
