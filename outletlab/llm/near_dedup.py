@@ -24,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -222,30 +222,35 @@ def difference_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFr
             .select("rep", "rep2"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (a, b): root is the smallest
-    node reachable. Alternates large-star and small-star steps; minima are
+def root_edges(links: DataFrame) -> DataFrame:
+    """(v, u) for every node v of ``links`` (a, b) that is not the smallest of
+    its component: u is. Alternates large-star and small-star steps; minima are
     combined before the shuffle and the joins can be split, so a hub of any
-    degree is spread out. Runs until a round changes nothing: then every node
-    points straight at its root.
+    degree is spread out. Runs until every node points straight at its root: no
+    node points at two, and none that is pointed at points on.
     """
-    edges = cut_lineage(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
-                        .filter("u <> v").distinct(), "edges")
-    before = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)")).alias("sum")).first()
-        if state == before or not state.n:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
-                edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
-        before = state
+    edges = cut_lineage(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("u <> v"), "edges")
+    more = not edges.isEmpty()
+    while more:
         both = edges.select("v", "u").union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.join(low, "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u <> v").distinct()
-        large = cut_lineage(large, "edges")
+        large = cut_lineage(both.join(low, "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("u <> v"), "edges")
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = (large.join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
                  .union(low.select("v", F.col("m").alias("u"))).filter("u <> v").distinct())
         edges = cut_lineage(small, "edges")
+        ends = edges.select(F.col("v").alias("node"), "u").union(edges.select(F.col("u").alias("node"), F.lit(None).alias("u")))
+        points = ends.groupBy("node").agg(F.count("u").alias("out"), F.count(F.lit(1)).alias("all"))
+        more = points.filter("out > 1 OR (out = 1 AND all > 1)").agg(F.count(F.lit(1))).first()[0] > 0
+    return edges
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``links`` (a, b): root is the smallest
+    node reachable. See ``root_edges``; a node linked with itself alone has no row."""
+    edges = root_edges(links)
+    return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(
+        edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -265,18 +270,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = cut_lineage(source.mapInArrow(partial(_sketch_batches, rows_a_band=band_rows(percent)), StructType(
         [StructField("id", id_type), *longs, StructField("bands", ArrayType(LongType()))])), "sketches")
     filled = sketches.filter("n > 0 AND id IS NOT NULL")
-    # stored, so that the rows of a hot set can be split over tasks when they join it
-    classes = cut_lineage(filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
-    members = cut_lineage(filled.select("id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).select("id", "n", "rep")
-                          .distinct(), "members")
-    reps = members.filter("id = rep").select("rep").distinct()
-    rows = (filled.join(reps, F.col("id") == F.col("rep"), "left_semi")
+    classes = filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
+    rows = (filled.join(classes.select("rep"), F.col("id") == F.col("rep"), "left_semi")
             .select(F.explode("bands").alias("key"), F.col("id").alias("rep"), "n").distinct())
     rows = cut_lineage(rows, "band_rows")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    sized = cut_lineage(rows.join(shared, "key"), "sized_rows")
-    company = sized.groupBy("rep").agg(F.sum("c").alias("company"))
-    buckets = cut_lineage(sized.drop("c").join(company, "rep"), "buckets")
+    company = F.sum("c").over(Window.partitionBy("rep")).alias("company")
+    buckets = cut_lineage(rows.join(shared, "key").select("rep", "key", "n", company), "buckets")
     nodes = buckets.select(F.col("rep").alias("id")).distinct()
     # always dealt by id: a plan that broadcast the ids of a small corpus would say nothing about a large one
     texts = cut_lineage(source.join(nodes.hint("merge"), "id", "left_semi"), "candidate_texts")
@@ -290,26 +290,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def root_of(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
         """``rows`` with ``column`` replaced by its root, if it has one."""
-        known = roots.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+        known = roots.select(F.col("v").alias("__node"), F.col("u").alias("__root"))
         return rows.join(known, F.col(column) == F.col("__node"), "left").withColumn(
             column, F.coalesce("__root", column)).drop("__node", "__root")
 
     best = F.min(F.struct((-F.col("company")).alias("o"), "rep", "n")).alias("c")
     centres = cut_lineage(buckets.groupBy("key").agg(best).select("key", F.col("c.rep").alias("rep2"), F.col("c.n").alias("n2")), "centres")
     to_centre = buckets.join(centres, "key").filter((F.col("rep") != F.col("rep2")) & comparable("n", "n2", percent))
-    roots = cut_lineage(components(linked(to_centre)), "roots")
+    roots = root_edges(linked(to_centre))
     labelled = cut_lineage(root_of(buckets.withColumn("label", F.col("rep")), roots, "label"), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
     open_members = (labelled.join(mixed, "key", "left_semi").join(centres.select("key", F.col("rep2").alias("centre")), "key")
                     .select("centre", "rep", "n", "label").distinct())
     more = linked(difference_pairs(cut_lineage(open_members, "open_members"), texts, percent))
-    joined = cut_lineage(components(root_of(root_of(more, roots, "a"), roots, "b")), "roots")  # roots that belong together
-    found = root_of(root_of(members.withColumn("component", F.col("rep")), roots, "component"), joined, "component").select(
-        F.col("id").alias("member"), F.col("n").alias("size"), "component")
-    return (sketches.select("id", "n").join(found, (F.col("id") == F.col("member")) & (F.col("n") == F.col("size")), "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "id").alias("component_id"),
-                    F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept")))
+    joined = root_edges(root_of(root_of(more, roots, "a"), roots, "b"))  # roots that belong together
+    # stored, so that the rows of a hot set can be split over tasks when they join it
+    found = cut_lineage(root_of(root_of(classes.withColumnRenamed("rep", "component"), roots, "component"), joined, "component"), "classes")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return (sketches.select("id", "n", "s1", "s2").join(found, ["n", "s1", "s2"], "left")
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+                    F.col("id").eqNullSafe(component).alias("kept")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -7,6 +7,7 @@ from corpus_pipeline import near_duplicates
 from outletlab.llm import common
 from outletlab.llm import near_dedup as nd
 from outletlab.llm.queries import QUERIES
+from outletlab.session import cut_lineage
 from tests.llm.conftest import SF, words
 
 
@@ -140,6 +141,25 @@ def test_edge_rows(edge_docs, edge_rows):
     assert kept.count() == sum(r.kept for r in got)
 
 
+def test_few_steps_are_stored(spark, monkeypatch):
+    """A stored step writes a file for each shuffle partition, also of a small table; a star needs no second round."""
+    stored = []
+    monkeypatch.setattr(nd, "cut_lineage", lambda df, name: stored.append(name) or cut_lineage(df, name))
+    rows = cloud(40, (1,)) + [(100 + i, words(40 + i, 300, 10_000)) for i in range(5)]
+    check(nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+    assert len(stored) <= 20, stored
+    stored.clear()
+    assert nd.components(spark.createDataFrame([(500, x) for x in range(100, 160)], "a long, b long")).count() == 61
+    assert len(stored) == 3, stored
+
+
+def test_an_id_of_two_texts_keeps_its_rows(spark):
+    """Texts of as many shingles each: a row gets the component of its own text, once."""
+    a, b = words(31, 100, 10_000), words(32, 100, 10_000)
+    docs = spark.createDataFrame([(3, a), (4, b), (5, a), (5, b)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in nd.near_duplicates(docs).collect()) == [(3, 3), (4, 4), (5, 3), (5, 4)]
+
+
 def test_empty(no_docs):
     assert nd.near_duplicates(no_docs).collect() == []
     assert nd.near_dedup(no_docs).collect() == []
